@@ -1,0 +1,58 @@
+"""Order-insensitive comparison of a Spark result with SQL run on DuckDB over the same files."""
+
+from __future__ import annotations
+
+import datetime as dt
+import glob
+import math
+import os
+
+import duckdb
+from pyspark.sql import DataFrame
+
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+         "boolean": "BOOLEAN"}
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for path in glob.glob(f"{sf_dir}/*.parquet"):
+        name = os.path.basename(path)[:-len(".parquet")]
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
+    return con
+
+
+def _plain(value: object) -> object:
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else repr(value + 0.0)
+    if isinstance(value, (dt.date, dt.datetime)):
+        return value.isoformat()
+    return value
+
+
+def _key(row: tuple) -> tuple:
+    return tuple((v is None, str(v)) for v in row)
+
+
+def _rows(rows, order: list[int]) -> list[tuple]:
+    return sorted((tuple(_plain(r[i]) for i in order) for r in rows), key=_key)
+
+
+def differences(result: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
+    """What differs: column names, types, row count, values. Empty when the results are equal."""
+    expected = con.sql(sql)
+    order = sorted(range(len(result.columns)), key=lambda i: result.columns[i])
+    wanted = sorted(range(len(expected.columns)), key=lambda i: expected.columns[i])
+    columns, expected_columns = [result.columns[i] for i in order], [expected.columns[i] for i in wanted]
+    if columns != expected_columns:
+        return [f"columns {columns} != {expected_columns}"]
+    types = [TYPES.get(result.dtypes[i][1], result.dtypes[i][1]) for i in order]
+    expected_types = [str(expected.types[i]) for i in wanted]
+    if types != expected_types:
+        return [f"types of {[c for c, a, b in zip(columns, types, expected_types) if a != b]}: "
+                f"{types} != {expected_types}"]
+    got, want = _rows(result.collect(), order), _rows(expected.fetchall(), wanted)
+    if len(got) != len(want):
+        return [f"{len(got)} rows, expected {len(want)}"]
+    bad = [(g, w) for g, w in zip(got, want) if g != w]
+    return [f"{len(bad)} rows differ, first {bad[0]}"] if bad else []
