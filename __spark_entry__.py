@@ -17,7 +17,7 @@ from wellops.operators.dedup import first_per_key
 from wellops.operators.metrics import METRICS, compare_predictors, metric_columns
 from wellops.operators.quality import violations
 from wellops.operators.split import is_train_by_key
-from wellops.plans import bi, features, forecast, gold, gold_sql, pipeline, rules, silver
+from wellops.plans import bi, features, forecast, gold, gold_sql, pipeline, rules, silver, silver_sql
 from wellops.plans.registry import CHALLENGER, CHAMPION, Registry
 from wellops.session import work_dir
 from wellops.sinks import datasets
@@ -120,33 +120,44 @@ def alias_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.resolved(name).drop("path")
 
 
-def _trained(spark: SparkSession, sf_dir: str, purpose: str) -> tuple[Registry, DataFrame, DataFrame]:
-    """Stored features, both models trained and registered, and their comparison."""
-    registry = _registry(spark, purpose)
-    rows = forecast.stored(_features(spark, sf_dir), f"{registry.layout.root}/features")
-    return registry, rows, forecast.train_and_register(registry, rows)
+_MODELS: dict[tuple[str, str], tuple[Registry, DataFrame]] = {}
+
+
+def _trained(spark: SparkSession, sf_dir: str) -> tuple[Registry, DataFrame]:
+    """Both models trained and registered, and the stored features; once per session and folder.
+
+    The queries below only load by alias and score, as batch jobs do in practice.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MODELS:
+        registry = _registry(spark, "forecast")
+        rows = forecast.stored(_features(spark, sf_dir), f"{registry.layout.root}/features")
+        forecast.train_and_register(registry, rows)
+        _MODELS[key] = (registry, rows)
+    return _MODELS[key]
 
 
 def forecast_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both models against the held-out weeks, metric by metric."""
-    return _trained(spark, sf_dir, "forecast_holdout")[2]
+    """Champion and challenger against the held-out weeks, metric by metric."""
+    registry, rows = _trained(spark, sf_dir)
+    return forecast.compare_registered(registry, rows.filter(~is_train_by_key()))
 
 
 def forecast_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The champion, loaded by its alias, over the whole feature table."""
-    registry, rows, _ = _trained(spark, sf_dir, "forecast_batch")
+    """The champion over the whole feature table."""
+    registry, rows = _trained(spark, sf_dir)
     return forecast.batch_scores(registry.load(forecast.MODEL_NAME), rows)
 
 
 def forecast_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Held-out weeks by absolute error of the champion."""
-    registry, rows, _ = _trained(spark, sf_dir, "forecast_errors")
+    registry, rows = _trained(spark, sf_dir)
     return forecast.holdout_errors(registry.load(forecast.MODEL_NAME), rows.filter(~is_train_by_key()))
 
 
 def scenario_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What-if rows derived from every feature row, scored by the champion."""
-    registry, rows, _ = _trained(spark, sf_dir, "scenario_scores")
+    registry, rows = _trained(spark, sf_dir)
     return forecast.scenario_scores(registry.load(forecast.MODEL_NAME), forecast.scenarios_from_features(rows))
 
 
@@ -278,8 +289,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "silver_wells": _wells,
         "silver_wells_plain": lambda spark, sf_dir: _wells(spark, sf_dir, "plain"),
         "silver_wells_expect_first": lambda spark, sf_dir: _wells(spark, sf_dir, "expect_then_dedup"),
+        "silver_wells_sql": lambda spark, sf_dir: silver_sql.wells(
+            fixtures.raw_wells(spark, sf_dir), fixtures.AS_OF),
         "silver_production": _production,
+        "silver_production_sql": lambda spark, sf_dir: silver_sql.production(
+            fixtures.raw_production(spark, sf_dir), fixtures.AS_OF),
         "silver_orders": _orders,
+        "silver_orders_sql": lambda spark, sf_dir: silver_sql.orders(
+            fixtures.raw_orders(spark, sf_dir), ORDER_RULES),
         "dq_wells": dq_wells,
         "dq_production": dq_production,
         "dq_orders": dq_orders,
@@ -312,6 +329,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "well_health": _over(bi.well_health, _PW),
         "top_field": _over(bi.top_field, _PW),
         "field_maintenance_spend": _over(bi.field_maintenance_spend, _OW, "Nation_5"),
+        "field_maintenance_spend_sql": _over(gold_sql.field_maintenance_spend, _OW, "Nation_5"),
         "high_bsw_wells": _over(bi.high_bsw_wells, _PW, BSW_THRESHOLD),
         "producing_by_basin": _over(bi.producing_by_basin, (_wells,)),
         "costliest_maint_type": _over(bi.costliest_maint_type, _OW),

@@ -1,0 +1,142 @@
+"""Edge cases of the validated layer, one row each."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+import rows
+from pyspark.errors import PySparkException
+
+from wellops.operators.dedup import first_per_key
+from wellops.operators.quality import violations
+from wellops.plans import silver, silver_sql
+from wellops.plans.rules import order_rules, production_rules, well_rules
+
+AS_OF = "2024-01-29"
+
+
+def _violations(df, rules):
+    return {r["rule"]: r["violations"] for r in violations(df, rules).collect()}
+
+
+def test_columns_are_typed_and_normalised(spark):
+    row = silver.wells(rows.wells(spark, {"status": " produzindo ", "field": " tubarao MARTELO "}), AS_OF).first()
+    assert (row["well_id"], row["well_name"], row["field"], row["status"]) == (1, "FRADE-1", "Tubarao Martelo",
+                                                                             "Produzindo")
+    assert row["drilled_on"] == dt.date(2010, 5, 17) and row["processed_at"] is not None
+    assert row["registered_at"] == "2018-01-01 00:00:00"
+
+
+def test_plain_variant_lists_columns_and_keeps_copies(spark):
+    df = silver.wells(rows.wells(spark, {"well_id": 1}, {"well_id": 2}), AS_OF, "plain", stamp=False)
+    assert "registered_at" not in df.columns and df.count() == 2
+
+
+def test_bad_first_copy_removes_a_good_second_one(spark):
+    raw = rows.wells(spark, {"well_id": 1, "depth_m": -10}, {"well_id": 2})
+    assert silver.wells(raw, AS_OF).count() == 0
+    assert [r["well_id"] for r in silver.wells(raw, AS_OF, "expect_then_dedup").collect()] == [2]
+
+
+def test_unknown_variant_is_refused(spark):
+    with pytest.raises(ValueError, match="unknown variant"):
+        silver.wells(rows.wells(spark, {}), AS_OF, "other")
+
+
+def test_malformed_number_and_date_drop_the_row(spark):
+    raw = rows.wells(spark, {"sap_code": "a", "depth_m": "abc"}, {"sap_code": "b", "drilled_on": "31/12/2020"},
+                     {"sap_code": "c"})
+    assert [r["sap_code"] for r in silver.wells(raw, AS_OF).collect()] == ["c"]
+
+
+def test_future_dates_follow_as_of(spark):
+    raw = rows.wells(spark, {"drilled_on": "2024-01-30"})
+    assert silver.wells(raw, "2024-01-29").count() == 0
+    assert silver.wells(raw, "2024-01-30").count() == 1
+    assert silver.wells(raw).count() == 1  # today lies later
+
+
+def test_missing_coordinates(spark):
+    raw = rows.wells(spark, {"sap_code": "a", "latitude": None}, {"sap_code": "b", "longitude": None})
+    assert silver.wells(raw, AS_OF).count() == 0
+
+
+def test_null_well_id_fails_wells_and_readings_but_drops_orders(spark):
+    with pytest.raises(PySparkException, match="well_id_present"):
+        silver.wells(rows.wells(spark, {"well_id": None}), AS_OF).collect()
+    with pytest.raises(PySparkException, match="well_id_present"):
+        silver.production(rows.readings(spark, {"well_id": None}), AS_OF).collect()
+    assert silver.orders(rows.orders(spark, {"well_id": None}, {})).count() == 1
+
+
+def test_volume_of_exactly_50000_violates_without_a_flag(spark):
+    raw = rows.readings(spark, {"oil_bbl": 50000})
+    typed = silver.production_before_rules(raw)
+    assert _violations(typed, production_rules(AS_OF))["oil_plausible"] == 1
+    row = silver.production(raw, AS_OF).first()
+    assert row["is_outlier"] is False
+    assert silver.production(rows.readings(spark, {"oil_bbl": 50000.5}), AS_OF).first()["is_outlier"] is True
+
+
+@pytest.mark.parametrize("bsw, flagged, violated", [(None, False, 1), (100, False, 0), (100.5, True, 1), (-1, False, 1)])
+def test_bsw_range_and_flag(spark, bsw, flagged, violated):
+    raw = rows.readings(spark, {"bsw_pct": bsw})
+    assert silver.production(raw, AS_OF).first()["is_high_bsw"] is flagged
+    assert _violations(silver.production_before_rules(raw), production_rules(AS_OF))["bsw_in_range"] == violated
+
+
+def test_calendar_columns(spark):
+    row = silver.production(rows.readings(spark, {"prod_date": "2023-12-31"}), AS_OF).first()
+    assert (row["year"], row["month"], row["day"]) == (2023, 12, 31)
+
+
+def test_null_volume_or_date_is_dropped(spark):
+    raw = rows.readings(spark, {"oil_bbl": None}, {"prod_date": None}, {"oil_bbl": 0}, {})
+    assert silver.production(raw, AS_OF).count() == 1
+
+
+def test_order_rules(spark):
+    raw = rows.orders(spark, {"order_id": 1, "status": "aberta"}, {"order_id": 2, "status": "CONC"},
+                      {"order_id": 3, "status": ""}, {"order_id": 4, "priority": "Alta"},
+                      {"order_id": 5, "description": None}, {"order_id": 6, "est_cost": -1},
+                      {"order_id": 7, "est_cost": None}, {"order_id": 8, "closed_on": "2019-01-01"})
+    seen = _violations(silver.orders_before_rules(raw), order_rules())
+    assert seen == {"cost_positive": 2, "status_known": 2, "priority_known": 1, "description_present": 1,
+                    "well_id_present": 0}
+    kept = {r["order_id"]: r for r in silver.orders(raw).collect()}
+    assert sorted(kept) == [1, 2, 3, 4, 5, 8]
+    assert kept[1]["status"] == "Aberta" and kept[1]["maint_type"] == "Preventiva"
+
+
+def test_rule_lists_are_parameters(spark):
+    typed = silver.normalise_wells(rows.wells(spark, {"status": "Teste"}))
+    assert _violations(typed, well_rules(AS_OF))["status_known"] == 1
+    assert _violations(typed, well_rules(AS_OF, statuses=("Teste", "D'Agua")))["status_known"] == 0
+
+
+def test_dedup_is_a_minimum_by_order_then_by_all_columns(spark):
+    df = spark.createDataFrame([("a", 2, "x"), ("a", 1, "z"), ("a", 1, "y"), (None, 5, "n"), (None, 4, "m")],
+                               "code string, id bigint, v string")
+    got = {r["code"]: (r["id"], r["v"]) for r in first_per_key(df, "code", ["id"]).collect()}
+    assert got == {"a": (1, "y"), None: (4, "m")}
+    assert first_per_key(df, "code", ["id"]).columns == df.columns
+
+
+def test_dedup_of_one_hot_key(spark):
+    """A key with most of the rows combines before the shuffle and leaves one row."""
+    df = spark.range(30_000).selectExpr("if(id % 3 = 0, 'hot', cast(id as string)) as code", "id")
+    result = first_per_key(df, "code", ["id"])
+    assert result.count() == 20_001
+    assert result.filter("code = 'hot'").first()["id"] == 0
+
+
+def test_sql_projections_equal_the_plain_variant(spark):
+    wells = rows.wells(spark, {"depth_m": "abc"}, {"status": " parado "}, {"drilled_on": "x"})
+    readings = rows.readings(spark, {"oil_bbl": "60000"}, {"bsw_pct": "120"}, {"oil_bbl": "-1"})
+    orders = rows.orders(spark, {"closed_on": None}, {"status": "aberta"}, {"est_cost": "x"})
+    for a, b in ((silver.wells(wells, AS_OF, "plain", stamp=False), silver_sql.wells(wells, AS_OF)),
+                 (silver.production(readings, AS_OF, "plain", stamp=False), silver_sql.production(readings, AS_OF)),
+                 (silver.orders(orders, "plain", stamp=False), silver_sql.orders(orders))):
+        assert a.columns == b.columns
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))

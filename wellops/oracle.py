@@ -157,8 +157,6 @@ def _query(text: str, *needs: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({_TEXTS[n]})" for n in chosen) + "\n" + text
 
 
-# The raw and validated wells carry a date where the landing files carry text.
-_STREAM_WELLS = "SELECT * FROM wells"
 _ALL_COUNTS = {
     "bronze_wells": "raw_wells", "bronze_production": "raw_production", "bronze_orders": "raw_orders",
     "silver_wells": "wells", "silver_production": "production", "silver_orders": "work_orders",
@@ -172,6 +170,10 @@ def queries() -> dict[str, str]:
     compared = "\nUNION ALL\n".join(
         f"SELECT '{m}' AS metric, {_metric(m, 'prev_week_oil_bbl')} AS champion, "
         f"{_metric(m, 'mean4_oil_bbl')} AS challenger FROM features" for m in ("mae", "rmse", "r2"))
+    spend = _query(
+        """SELECT field, count(*) AS orders, round(sum(est_cost), 2) AS total_est_cost,
+        round(sum(actual_cost), 2) AS total_actual_cost FROM located_orders WHERE field = 'Nation_5'
+        GROUP BY field""", "located_orders")
     counts = "\nUNION ALL\n".join(
         f"SELECT '{name.split('_')[0].upper()}' AS layer, '{name}' AS dataset, count(*) AS row_count, "
         f"'ok' AS status FROM {part}" for name, part in _ALL_COUNTS.items())
@@ -179,6 +181,9 @@ def queries() -> dict[str, str]:
         "silver_wells": _query("SELECT * FROM wells", "wells"),
         "silver_wells_plain": _query("SELECT * FROM wells_plain", "wells_plain"),
         "silver_wells_expect_first": _query("SELECT * FROM wells_rules_first", "wells_rules_first"),
+        "silver_wells_sql": _query("SELECT * FROM wells_plain", "wells_plain"),
+        "silver_production_sql": _query("SELECT * FROM production", "production"),
+        "silver_orders_sql": _query("SELECT * FROM work_orders", "work_orders"),
         "silver_production": _query("SELECT * FROM production", "production"),
         "silver_orders": _query("SELECT * FROM work_orders", "work_orders"),
         "dq_wells": _query(_rule_counts("unique_wells", WELL_RULES), "unique_wells"),
@@ -258,10 +263,8 @@ def queries() -> dict[str, str]:
         "top_field": _query(
             """SELECT field, round(sum(oil_bbl), 2) AS total_oil_bbl FROM located GROUP BY field
             ORDER BY total_oil_bbl DESC, field LIMIT 1""", "located"),
-        "field_maintenance_spend": _query(
-            """SELECT field, count(*) AS orders, round(sum(est_cost), 2) AS total_est_cost,
-            round(sum(actual_cost), 2) AS total_actual_cost FROM located_orders WHERE field = 'Nation_5'
-            GROUP BY field""", "located_orders"),
+        "field_maintenance_spend": spend,
+        "field_maintenance_spend_sql": spend,
         "high_bsw_wells": _query(
             """SELECT well_id, any_value(well_name) AS well_name, any_value(field) AS field,
             round(avg(bsw_pct), 2) AS mean_bsw_pct FROM located GROUP BY well_id HAVING avg(bsw_pct) > 55""",
@@ -277,7 +280,7 @@ def queries() -> dict[str, str]:
             ORDER BY est_cost DESC, order_id LIMIT 5""", "work_orders"),
         "stream_bronze_production": _query(
             "SELECT * REPLACE (CAST(prod_date AS VARCHAR) AS prod_date) FROM raw_production", "raw_production"),
-        "stream_silver_wells": _query(_STREAM_WELLS, "wells"),
+        "stream_silver_wells": _query("SELECT * FROM wells", "wells"),
         "stream_silver_production": _query("SELECT * FROM production", "production"),
         "stream_silver_orders": _query("SELECT * FROM work_orders", "work_orders"),
         "stream_incremental": _query(

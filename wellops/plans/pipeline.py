@@ -72,15 +72,14 @@ def layer_counts(spark: SparkSession, layout: Layout, names: Sequence[str] = DAT
 
     One lazy plan; counting parquet rows reads the file footers only.
     """
-    parts = []
+    parts, known = [], datasets.current(spark, layout)
     for name in names:
-        _, path, _ = datasets.latest(spark, layout, name)
-        if path is None:
+        if name not in known:
             parts.append(spark.range(1).select(
                 F.lit("?").alias("layer"), F.lit(name).alias("dataset"),
                 F.lit(None).cast("bigint").alias("row_count"), F.lit("not found").alias("status")))
         else:
-            parts.append(spark.read.parquet(path).agg(F.count(F.lit(1)).alias("row_count")).select(
+            parts.append(spark.read.parquet(known[name][1]).agg(F.count(F.lit(1)).alias("row_count")).select(
                 F.lit(name.split("_")[0].upper()).alias("layer"), F.lit(name).alias("dataset"), "row_count",
                 F.lit("ok").alias("status")))
     return reduce(DataFrame.unionByName, parts)

@@ -46,10 +46,9 @@ def save_table(df: DataFrame, name: str, comment: str = "") -> None:
 
 def expose(spark: SparkSession, layout: Layout, names: list[str], namespace: str) -> None:
     """Make the newest versions of datasets readable by name, with their comments."""
-    for name in names:
-        _, path, comment = datasets.latest(spark, layout, name)
-        if path is None:
-            continue
+    known = datasets.current(spark, layout)
+    for name in (n for n in names if n in known):
+        _, path, comment = known[name]
         table = _name(f"{namespace}.{name}")
         schema = spark.read.parquet(path).schema
         spark.sql(f"DROP TABLE IF EXISTS {table}")

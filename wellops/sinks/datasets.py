@@ -37,11 +37,16 @@ def append_history(spark: SparkSession, layout: Layout, rows: list[tuple]) -> No
     spark.createDataFrame(records, HISTORY_SCHEMA).coalesce(1).write.mode("append").parquet(layout.history())
 
 
+def current(spark: SparkSession, layout: Layout) -> dict[str, tuple[int, str, str]]:
+    """(version, path, comment) of the newest run per dataset; one row each, whatever their size."""
+    newest = (history(spark, layout).groupBy("dataset")
+              .agg(F.max(F.struct("version", "path", "comment")).alias("last")).select("dataset", "last.*"))
+    return {row["dataset"]: (row["version"], row["path"], row["comment"]) for row in newest.collect()}
+
+
 def latest(spark: SparkSession, layout: Layout, name: str) -> tuple[int, str | None, str | None]:
-    """(version, path, comment) of the newest run; version -1 where there is none."""
-    row = (history(spark, layout).filter(F.col("dataset") == name)
-           .agg(F.max(F.struct("version", "path", "comment")).alias("last")).first()["last"])
-    return (row["version"], row["path"], row["comment"]) if row else (-1, None, None)
+    """The same for one dataset; version -1 where there is none."""
+    return current(spark, layout).get(name, (-1, None, None))
 
 
 def publish(spark: SparkSession, layout: Layout, name: str, df: DataFrame, comment: str = "",
