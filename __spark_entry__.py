@@ -131,7 +131,7 @@ def _trained(spark: SparkSession, sf_dir: str) -> tuple[Registry, DataFrame]:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
         registry = _registry(spark, "forecast")
-        rows = forecast.stored(_features(spark, sf_dir), f"{registry.layout.root}/features")
+        rows = datasets.stored(_features(spark, sf_dir), f"{registry.layout.root}/features")
         forecast.train_and_register(registry, rows)
         _MODELS[key] = (registry, rows)
     return _MODELS[key]

@@ -154,7 +154,7 @@ def test_splits_cover_all_rows_once(spark):
 
 def test_train_register_promote_and_score(spark, layout):
     registry = Registry(spark, layout)
-    rows_ = forecast.stored(_features(spark), f"{layout.root}/features")
+    rows_ = datasets.stored(_features(spark), f"{layout.root}/features")
     small = {"num_trees": 3, "max_depth": 4}
     forecast.train_and_register(registry, rows_, champion=small, challenger={"num_trees": 2, "max_depth": 2})
     name = forecast.MODEL_NAME

@@ -5,7 +5,7 @@ import rows
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from wellops import names
+from wellops import names, schemas
 from wellops.plans import bronze, pipeline, silver
 from wellops.plans.rules import production_rules
 from wellops.sinks import datasets
@@ -26,7 +26,6 @@ def _history(spark, *changes):
 
 
 def _live(spark, *changes):
-    from wellops import schemas
     df = rows.readings(spark, *changes)
     return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schemas.PRODUCTION])
 
@@ -94,11 +93,24 @@ def test_schema_is_remembered_and_drift_is_listed(spark, layout):
     land_csv(rows.wells(spark, {}), path)
     schema = remembered_schema(spark, layout, "wells_csv", "csv")
     assert schema["depth_m"].dataType.simpleString() == "double"
-    land_csv(rows.wells(spark, {"depth_m": "deep"}).withColumn("extra", F.lit(1)), path)
+    assert schema_drift(spark, layout, "wells_csv", "csv") == []
+    land_csv(rows.wells(spark, {"depth_m": "deep", "well_id": "7"}).withColumn("extra", F.lit(1)), path)
     assert remembered_schema(spark, layout, "wells_csv", "csv") == schema
     assert schema_drift(spark, layout, "wells_csv", "csv") == ["new column extra",
                                                               "column depth_m: double became string"]
-    assert {f.dataType.simpleString() for f in infer_schema(spark, path, "csv", infer_types=False)} == {"string"}
+
+
+def test_known_columns_are_text_and_others_are_inferred(spark, layout):
+    path = layout.landing("wells_csv")
+    for depth in (1, 2, 3):
+        land_csv(rows.wells(spark, {"depth_m": depth}).withColumn("extra", F.lit(5)).coalesce(1), path, mode="append")
+    known = names.known_columns(schemas.WELLS, "wells")
+    schema = infer_schema(spark, path, "csv", known, max_files=2)
+    assert schema["depth_m"].dataType.simpleString() == "string"
+    assert schema["extra"].dataType.simpleString() == "int"
+    batch = bronze.wells(spark, layout, stream=False)
+    assert batch.schema["depth_m"].dataType.simpleString() == "double"
+    assert sorted(r["depth_m"] for r in batch.collect()) == [1.0, 2.0, 3.0]
 
 
 def test_header_that_differs_from_the_schema_stops_the_stream(spark, layout):

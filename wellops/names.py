@@ -138,3 +138,8 @@ def portuguese_schema(schema: T.StructType, glossary: str) -> T.StructType:
     """``schema`` with Portuguese field names, to read landing files that carry them."""
     reverse = {english: own for own, english in GLOSSARIES[glossary].items()}
     return T.StructType([T.StructField(reverse.get(f.name, f.name), f.dataType) for f in schema.fields])
+
+
+def known_columns(schema: T.StructType, glossary: str) -> set[str]:
+    """The columns of ``schema`` under both names."""
+    return {*schema.names, *portuguese_schema(schema, glossary).names}

@@ -14,22 +14,26 @@ AUDIT_COLUMNS = ["ingested_at", "source_file"]
 
 
 def _as_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Cast the columns ``df`` shares with ``schema`` so that both sides of a union agree."""
+    """Cast the columns ``df`` shares with ``schema``; others stay. Text that cannot be read gives null."""
     present = set(df.columns)
     return df.withColumns({f.name: F.col(f.name).try_cast(f.dataType) for f in schema if f.name in present})
 
 
-def wells(spark: SparkSession, layout: Layout, stream: bool = True, options: dict[str, str] | None = None,
-          **inference) -> DataFrame:
-    schema = remembered_schema(spark, layout, "wells_csv", "csv", **inference)
-    return names.to_english(scan(spark, layout.landing("wells_csv"), "csv", schema, stream, options), "wells")
+def _landed(spark: SparkSession, layout: Layout, source: str, fmt: str, schema: T.StructType, glossary: str,
+            stream: bool, options: dict[str, str] | None) -> DataFrame:
+    found = remembered_schema(spark, layout, source, fmt, names.known_columns(schema, glossary))
+    df = names.to_english(scan(spark, layout.landing(source), fmt, found, stream, options), glossary)
+    return _as_schema(df, schema)
+
+
+def wells(spark: SparkSession, layout: Layout, stream: bool = True,
+          options: dict[str, str] | None = None) -> DataFrame:
+    return _landed(spark, layout, "wells_csv", "csv", schemas.WELLS, "wells", stream, options)
 
 
 def production_history(spark: SparkSession, layout: Layout, stream: bool = True,
-                       options: dict[str, str] | None = None, **inference) -> DataFrame:
-    schema = remembered_schema(spark, layout, "production_csv", "csv", **inference)
-    return names.to_english(scan(spark, layout.landing("production_csv"), "csv", schema, stream, options),
-                            "production")
+                       options: dict[str, str] | None = None) -> DataFrame:
+    return _landed(spark, layout, "production_csv", "csv", schemas.PRODUCTION, "production", stream, options)
 
 
 def production_live(spark: SparkSession, layout: Layout, stream: bool = True,
@@ -47,15 +51,14 @@ def union_production(history: DataFrame, live: DataFrame) -> DataFrame:
 
 
 def production(spark: SparkSession, layout: Layout, stream: bool = True, options: dict[str, str] | None = None,
-               portuguese: bool = False, **inference) -> DataFrame:
-    return union_production(production_history(spark, layout, stream, options, **inference),
+               portuguese: bool = False) -> DataFrame:
+    return union_production(production_history(spark, layout, stream, options),
                             production_live(spark, layout, stream, options, portuguese))
 
 
-def orders(spark: SparkSession, layout: Layout, stream: bool = True, options: dict[str, str] | None = None,
-           **inference) -> DataFrame:
-    schema = remembered_schema(spark, layout, "orders_json", "json", **inference)
-    return names.to_english(scan(spark, layout.landing("orders_json"), "json", schema, stream, options), "orders")
+def orders(spark: SparkSession, layout: Layout, stream: bool = True,
+           options: dict[str, str] | None = None) -> DataFrame:
+    return _landed(spark, layout, "orders_json", "json", schemas.ORDERS, "orders", stream, options)
 
 
 def union_production_sql(history: DataFrame, live: DataFrame) -> DataFrame:

@@ -41,12 +41,6 @@ SCENARIO_RULES = (
 )
 
 
-def stored(df: DataFrame, path: str) -> DataFrame:
-    """Write a table once and go on from the files, which also ends the lineage."""
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def train(rows: DataFrame, num_trees: int, max_depth: int, min_rows_per_leaf: int = 1,
           seed: int = 42) -> PipelineModel:
     """Random forest on the eight features; every tree may use all of them at each split.
@@ -86,7 +80,7 @@ def train_and_register(registry: Registry, features: DataFrame, name: str = MODE
                        challenger: dict[str, int] | None = None) -> None:
     """Train both models on the same split; log, register and alias them.
 
-    ``features`` should be a stored table, see ``stored``.
+    ``features`` should be a stored table, see ``datasets.stored``.
     """
     train_rows, test_rows = split_by_key(features)
     for alias, params in ((CHAMPION, champion or CHAMPION_PARAMS), (CHALLENGER, challenger or CHALLENGER_PARAMS)):

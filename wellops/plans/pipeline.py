@@ -58,12 +58,17 @@ def refresh_silver(spark: SparkSession, layout: Layout, as_of: str | None = None
 
 
 def refresh_gold(spark: SparkSession, layout: Layout) -> None:
-    """Recompute the three aggregates from the validated datasets."""
+    """Recompute the three aggregates from the validated datasets.
+
+    Two of them start from the readings summed per well, so that rollup is stored and the readings
+    are scanned once.
+    """
     wells, production, orders = (datasets.read(spark, layout, f"silver_{name}")
                                  for name in ("wells", "production", "orders"))
-    for name, df in (("gold_production_by_field", gold.production_by_field(production, wells)),
+    per_well = datasets.stored(gold.readings_per_well(production), layout.scratch("readings_per_well"))
+    for name, df in (("gold_production_by_field", gold.production_of_wells(per_well, wells)),
                      ("gold_maintenance_cost", gold.maintenance_cost(orders)),
-                     ("gold_efficiency", gold.efficiency(production, wells, orders))):
+                     ("gold_efficiency", gold.efficiency_of_wells(per_well, wells, orders))):
         datasets.publish(spark, layout, name, df, COMMENTS[name])
 
 

@@ -84,3 +84,9 @@ def read_stream(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
     """A streaming table as the source of the next stream."""
     path = layout.stream(name)
     return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write a table once and go on from the files, for inputs that several jobs read."""
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

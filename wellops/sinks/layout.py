@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -30,6 +31,9 @@ class Layout:
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/checkpoints/{name}"
 
+    def scratch(self, name: str) -> str:
+        return f"{self.root}/scratch/{name}-{uuid.uuid4().hex}"
+
     def history(self) -> str:
         return f"{self.root}/run_history"
 

@@ -6,6 +6,8 @@ hidden ``_metadata`` column does not exist above a union.
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,20 +15,31 @@ from pyspark.sql import types as T
 from wellops.sinks.layout import Layout, save_schema, saved_schema
 
 
-def infer_schema(spark: SparkSession, path: str, fmt: str, infer_types: bool = True,
-                 sampling_ratio: float = 1.0) -> T.StructType:
+_WIDTH = {"int": 0, "bigint": 1, "double": 2}
+
+
+def infer_schema(spark: SparkSession, path: str, fmt: str, known: Collection[str] = (),
+                 max_files: int = 1000) -> T.StructType:
     """Schema of the files landed so far.
 
-    ``infer_types=False`` reads only the header line of CSV files and takes every column as text;
-    the validated layer casts in any case, so this spares a pass over a large history.
+    ``known`` columns are read as text, to be cast to the type they are known to have; text takes
+    every value a later file may bring. Only the others are inferred, from at most ``max_files``
+    files. A CSV source whose header holds known columns only is not read beyond that header.
     """
-    reader = spark.read.option("samplingRatio", sampling_ratio)
     if fmt == "csv":
-        return reader.option("header", True).option("inferSchema", infer_types).csv(path).schema
-    return reader.option("primitivesAsString", not infer_types).json(path).schema
-
-
-def remembered_schema(spark: SparkSession, layout: Layout, source: str, fmt: str, **inference) -> T.StructType:
+        columns = spark.read.option("header", True).csv(path).columns
+        if all(c in known for c in columns):
+            return T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    files = spark.read.text(path).inputFiles()
+    sample = sorted(files)[:max_files] if len(files) > max_files else path
+    reader = spark.read.option("header", True).option("inferSchema", True) if fmt == "csv" else spark.read
+    inferred = reader.csv(sample) if fmt == "csv" else reader.json(sample)
+    return T.StructType([T.StructField(f.name, T.StringType() if f.name in known else f.dataType)
+                         for f in inferred.schema])
+
+
+def remembered_schema(spark: SparkSession, layout: Layout, source: str, fmt: str,
+                      known: Collection[str] = ()) -> T.StructType:
     """The schema saved for a source; inferred and saved the first time.
 
     A file stream needs its schema up front and must see the same one after every restart.
@@ -34,22 +47,28 @@ def remembered_schema(spark: SparkSession, layout: Layout, source: str, fmt: str
     location = layout.schema(source)
     schema = saved_schema(spark, location)
     if schema is None:
-        schema = infer_schema(spark, layout.landing(source), fmt, **inference)
+        schema = infer_schema(spark, layout.landing(source), fmt, known)
         save_schema(spark, location, schema)
     return schema
 
 
-def schema_drift(spark: SparkSession, layout: Layout, source: str, fmt: str, **inference) -> list[str]:
+def _fits(seen: T.DataType, kept: T.DataType) -> bool:
+    """Whether values of the type seen can be read as the type kept."""
+    a, b = seen.simpleString(), kept.simpleString()
+    return a == b or b == "string" or (a in _WIDTH and b in _WIDTH and _WIDTH[a] <= _WIDTH[b])
+
+
+def schema_drift(spark: SparkSession, layout: Layout, source: str, fmt: str) -> list[str]:
     """Differences between the saved schema of a source and the files now present.
 
     New columns need a decision, so they are reported and never taken over silently.
     """
-    known = {f.name: f.dataType for f in remembered_schema(spark, layout, source, fmt, **inference)}
-    seen = {f.name: f.dataType for f in infer_schema(spark, layout.landing(source), fmt, **inference)}
-    return ([f"new column {c}" for c in seen if c not in known]
-            + [f"missing column {c}" for c in known if c not in seen]
-            + [f"column {c}: {known[c].simpleString()} became {seen[c].simpleString()}"
-               for c in known if c in seen and known[c] != seen[c]])
+    kept = {f.name: f.dataType for f in remembered_schema(spark, layout, source, fmt)}
+    seen = {f.name: f.dataType for f in infer_schema(spark, layout.landing(source), fmt)}
+    return ([f"new column {c}" for c in seen if c not in kept]
+            + [f"missing column {c}" for c in kept if c not in seen]
+            + [f"column {c}: {kept[c].simpleString()} became {seen[c].simpleString()}"
+               for c in kept if c in seen and not _fits(seen[c], kept[c])])
 
 
 def with_audit(df: DataFrame) -> DataFrame:
