@@ -307,7 +307,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gold_maintenance_cost_sql": _over(gold_sql.maintenance_cost, (_orders,)),
         "gold_efficiency": _over(gold.efficiency, _PWO, sort=True),
         "gold_efficiency_sql": _over(gold_sql.efficiency, _PWO),
-        "weekly_production": _over(features.weekly_production, _PW),
+        "weekly_production": _over(features.weekly_production, _PW, sort=True),
         "weekly_features": _features,
         "weekly_features_noleak": lambda spark, sf_dir: _features(spark, sf_dir, frame=(-4, -1)),
         "weekly_features_iso": lambda spark, sf_dir: _features(spark, sf_dir, iso_year=True),

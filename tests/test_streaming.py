@@ -81,6 +81,19 @@ def test_dedup_state_survives_a_restart(spark, layout):
     assert sorted(r["well_id"] for r in datasets.read(spark, layout, "silver_wells").collect()) == [2, 7]
 
 
+def test_stream_dedup_of_a_hot_code(spark, layout):
+    """One code with a third of all rows, in many files: still one row per code."""
+    raw = rows.wells(spark, {}).drop("well_id", "sap_code").crossJoin(spark.range(3_000).select(
+        F.col("id").alias("well_id"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("sap_code")))
+    for part in range(2):
+        half = raw.filter(F.col("well_id") % 2 == part).repartition(6)
+        land_csv(half.select(schemas.WELLS.names), layout.landing("wells_csv"), mode="append")
+        _run(spark, layout, "bronze_wells", "silver_wells")
+    stored = datasets.read(spark, layout, "silver_wells")
+    assert stored.count() == stored.select("sap_code").distinct().count() == 2_001
+
+
 def test_orders_from_json_with_inferred_schema(spark, layout):
     land_json(rows.orders(spark, {"status": "aberta"}, {"est_cost": -1}), layout.landing("orders_json"))
     _run(spark, layout, "bronze_orders", "silver_orders")
@@ -145,6 +158,26 @@ def test_service_keeps_running_and_takes_new_files(spark, layout):
     assert datasets.history(spark, layout).count() == 2
 
 
+def test_all_tables_as_a_service_then_aggregates(spark, layout, capsys):
+    land_csv(rows.wells(spark, {}), layout.landing("wells_csv"))
+    land_csv(_history(spark, {}), layout.landing("production_csv"))
+    land_json(rows.orders(spark, {}), layout.landing("orders_json"))
+    running = streaming.start_all(spark, layout, "200 milliseconds", as_of=AS_OF)
+    try:
+        assert [q.name for q in running] == [*streaming.BRONZE, *streaming.SILVER]
+        land_feed_batch(_live(spark, {"well_id": 1}), layout.landing("production_live"))
+        running[1].processAllAvailable()
+        running[4].processAllAvailable()
+        streaming.record(spark, layout, "silver_production", running[4])
+    finally:
+        for query in running:
+            query.stop()
+    pipeline.refresh_gold(spark, layout)
+    assert datasets.read(spark, layout, "gold_production_by_field").first()["readings"] == 2
+    pipeline.show_counts(spark, layout)
+    assert "gold_efficiency" in capsys.readouterr().out
+
+
 def test_union_by_name_and_by_position_agree(spark):
     audit = {"ingested_at": F.lit("2020-01-01 00:00:00").cast("timestamp"), "source_file": F.lit("f")}
     history = _history(spark, {"well_id": 1}).withColumns(audit)

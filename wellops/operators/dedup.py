@@ -20,8 +20,17 @@ def first_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     return df.groupBy(key).agg(row).select(*[F.col(c) if c == key else F.col(f"row.{c}") for c in df.columns])
 
 
+def first_arrival(df: DataFrame, key: str, spread: int = 16) -> DataFrame:
+    """On a stream: the first row to arrive per key, with the keys seen kept as state.
+
+    A streaming dedup sends every row to the task of its key and cannot combine before that. So it
+    runs twice: first per key and input partition group, which spreads the copies of a frequent key
+    over ``spread`` tasks, then per key over the few rows left.
+    """
+    group = F.pmod(F.spark_partition_id(), F.lit(spread))
+    return (df.withColumn("_group", group).dropDuplicates([key, "_group"]).drop("_group")
+            .dropDuplicates([key]))
+
+
 def one_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """On a stream the first arrival wins and the keys seen are kept as state; in batch see above."""
-    if df.isStreaming:
-        return df.dropDuplicates([key])
-    return first_per_key(df, key, order)
+    return first_arrival(df, key) if df.isStreaming else first_per_key(df, key, order)

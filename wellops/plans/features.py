@@ -14,7 +14,8 @@ FEATURE_COLUMNS = ["week", "mean_bsw_pct", "mean_wellhead_psi", "mean_temp_c", "
 TARGET = "weekly_oil_bbl"
 
 
-def weekly_production(production: DataFrame, wells: DataFrame, iso_year: bool = False) -> DataFrame:
+def weekly_production(production: DataFrame, wells: DataFrame, iso_year: bool = False,
+                      sort: bool = False) -> DataFrame:
     """Volumes, mean conditions and active wells by field, year and ISO week.
 
     By default the year is the calendar year, so the last days of December may fall in week 1 of
@@ -25,14 +26,15 @@ def weekly_production(production: DataFrame, wells: DataFrame, iso_year: bool =
         calendar_year("prod_date", iso_year).alias("year"), F.weekofyear("prod_date").alias("week"))
     per_well = partials_per_well(dated, ["well_id", "year", "week"], "reading_id",
                                  ["oil_bbl", "bsw_pct", "wellhead_psi", "temp_c", "hours_on"])
-    return (per_well.join(wells.select("well_id", "field"), "well_id")
-            .groupBy("field", "year", "week")
-            .agg(total("oil_bbl").alias("weekly_oil_bbl"),
-                 mean("bsw_pct").alias("mean_bsw_pct"),
-                 mean("wellhead_psi", 1).alias("mean_wellhead_psi"),
-                 mean("temp_c", 1).alias("mean_temp_c"),
-                 mean("hours_on", 1).alias("mean_hours_on"),
-                 F.countDistinct("well_id").alias("active_wells")))
+    result = (per_well.join(wells.select("well_id", "field"), "well_id")
+              .groupBy("field", "year", "week")
+              .agg(total("oil_bbl").alias("weekly_oil_bbl"),
+                   mean("bsw_pct").alias("mean_bsw_pct"),
+                   mean("wellhead_psi", 1).alias("mean_wellhead_psi"),
+                   mean("temp_c", 1).alias("mean_temp_c"),
+                   mean("hours_on", 1).alias("mean_hours_on"),
+                   F.countDistinct("well_id").alias("active_wells")))
+    return result.orderBy("field", "year", "week") if sort else result
 
 
 def with_earlier_weeks(weekly: DataFrame, frame: tuple[int, int] = (-3, 0)) -> DataFrame:

@@ -90,6 +90,11 @@ def layer_counts(spark: SparkSession, layout: Layout, names: Sequence[str] = DAT
     return reduce(DataFrame.unionByName, parts)
 
 
+def show_counts(spark: SparkSession, layout: Layout) -> None:
+    """Print the counts as a table."""
+    layer_counts(spark, layout).show(len(DATASETS), truncate=False)
+
+
 def rule_metrics(spark: SparkSession, layout: Layout) -> DataFrame:
     """Violations per rule, dataset and version, from the run history."""
     return (datasets.history(spark, layout).filter(F.col("layer") == "SILVER")

@@ -14,6 +14,8 @@ SOURCES = ("wells_csv", "production_csv", "orders_json", "production_live")
 
 @dataclass(frozen=True)
 class Layout:
+    """One root holds the tables of either the batch jobs or the streams, not of both."""
+
     root: str
 
     def landing(self, source: str) -> str:
