@@ -82,9 +82,18 @@ def test_namespace_and_named_tables(spark, layout):
         comments = spark.sql("DESCRIBE TABLE EXTENDED ana_silva.t").filter("col_name = 'Comment'").first()
         assert comments["data_type"] == "it's a table"
         _bronze(spark, layout)
-        catalog.expose(spark, layout, list(pipeline.DATASETS), "ana_silva")
+        pipeline.refresh_silver(spark, layout, AS_OF)
+        pipeline.refresh_gold(spark, layout)
+        for _ in range(2):
+            catalog.expose(spark, layout, "ana_silva", portuguese=True)
         assert spark.table("ana_silva.bronze_orders").count() == 2
         assert spark.catalog.getTable("ana_silva.bronze_orders").description == pipeline.COMMENTS["bronze_orders"]
+        own = spark.sql("""SELECT p.campo, count(pr.id_producao) AS medicoes, sum(pr.vol_oleo_bbl) AS total
+                           FROM silver_producao pr JOIN silver_pocos p ON pr.id_poco = p.id_poco
+                           WHERE pr.ano = 2020 GROUP BY p.campo""").first()
+        assert tuple(own) == ("Frade", 1, 100.0)
+        assert spark.table("gold_eficiencia_operacional").first()["producao_media_por_poco"] == 100.0
+        assert spark.table("gold_custos_manutencao").first()["pocos_afetados"] == 1
     finally:
         spark.catalog.setCurrentDatabase(before)
         catalog.drop_namespace(spark, "ana_silva")

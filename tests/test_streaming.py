@@ -202,6 +202,14 @@ def test_portuguese_landing_files(spark, layout):
         names.to_portuguese(produced, "production").columns)
 
 
+def test_bounded_micro_batches_become_one_version_each(spark, layout):
+    for well in (1, 2, 3):
+        land_csv(rows.wells(spark, {"well_id": well}).coalesce(1), layout.landing("wells_csv"), mode="append")
+    streaming.run_available(spark, layout, ["bronze_wells"], options={"maxFilesPerTrigger": "1"})
+    versions = datasets.history(spark, layout).orderBy("version").collect()
+    assert [(r["version"], r["operation_metrics"]["rows"]) for r in versions] == [(0, "1"), (1, "1"), (2, "1")]
+
+
 def test_feed_batches_add_files_and_compose_ids(spark, layout):
     path = layout.landing("production_live")
     for day in ("2020-01-01", "2020-01-02"):

@@ -123,6 +123,19 @@ GLOSSARIES = {
     "features": FEATURES,
 }
 
+# Dataset -> (Portuguese table name, glossary of its columns).
+DATASETS = {
+    "bronze_wells": ("bronze_pocos", "wells"),
+    "bronze_production": ("bronze_producao", "production"),
+    "bronze_orders": ("bronze_ordens", "orders"),
+    "silver_wells": ("silver_pocos", "wells"),
+    "silver_production": ("silver_producao", "production"),
+    "silver_orders": ("silver_ordens", "orders"),
+    "gold_production_by_field": ("gold_producao_por_campo", "gold_production_by_field"),
+    "gold_maintenance_cost": ("gold_custos_manutencao", "gold_maintenance_cost"),
+    "gold_efficiency": ("gold_eficiencia_operacional", "gold_efficiency"),
+}
+
 
 def to_english(df: DataFrame, glossary: str) -> DataFrame:
     """Rename the Portuguese columns that are present; others stay as they are."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wellops import names
 from wellops.functions.columns import namespace_name
 from wellops.sinks import datasets
 from wellops.sinks.layout import Layout
@@ -44,13 +45,22 @@ def save_table(df: DataFrame, name: str, comment: str = "") -> None:
         df.sparkSession.sql(f"COMMENT ON TABLE {_name(name)} IS {_text(comment)}")
 
 
-def expose(spark: SparkSession, layout: Layout, names: list[str], namespace: str) -> None:
-    """Make the newest versions of datasets readable by name, with their comments."""
+def expose(spark: SparkSession, layout: Layout, namespace: str, portuguese: bool = False) -> None:
+    """Make the newest versions of all datasets readable by name, with their comments.
+
+    With ``portuguese`` each also gets a view under its Portuguese table and column names, so that
+    existing SQL runs as it is.
+    """
     known = datasets.current(spark, layout)
-    for name in (n for n in names if n in known):
+    for name in (n for n in names.DATASETS if n in known):
         _, path, comment = known[name]
         table = _name(f"{namespace}.{name}")
         schema = spark.read.parquet(path).schema
         spark.sql(f"DROP TABLE IF EXISTS {table}")
         spark.catalog.createTable(f"{namespace}.{name}", path=path, source="parquet", schema=schema,
                                   description=comment or "")
+        if portuguese:
+            own_name, glossary = names.DATASETS[name]
+            own = {english: column for column, english in names.GLOSSARIES[glossary].items()}
+            columns = ", ".join(f"{_name(c)} AS {_name(own.get(c, c))}" for c in schema.names)
+            spark.sql(f"CREATE OR REPLACE VIEW {_name(f'{namespace}.{own_name}')} AS SELECT {columns} FROM {table}")
