@@ -67,7 +67,7 @@ def start(spark: SparkSession, layout: Layout, name: str, interval: str | None =
     """Create or continue a streaming table. Without ``interval`` it takes what is there and ends."""
     df = build(spark, layout, name, **settings)
     _check_schema(spark, layout, name, df)
-    writer = (df.writeStream.format("parquet").outputMode("append").queryName(f"{name}")
+    writer = (df.writeStream.format("parquet").outputMode("append").queryName(f"{name}@{layout.root}")
               .option("checkpointLocation", layout.checkpoint(name)))
     if name == "silver_production":
         writer = writer.partitionBy("year")
