@@ -6,11 +6,16 @@ results in SQL. The jobs themselves live in the package ``wellops``.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+if (_ROOT := os.path.dirname(os.path.abspath(__file__))) not in sys.path:
+    sys.path.insert(0, _ROOT)  # the package lies beside this file, wherever it is loaded from
+
 from wellops import names, oracle
 from wellops.functions.columns import namespace_name
 from wellops.operators.dedup import first_per_key
