@@ -6,6 +6,7 @@ results in SQL. The jobs themselves live in the package ``wellops``.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -31,6 +32,12 @@ from wellops.sinks.layout import Layout, create_landing
 from wellops.sources import fixtures
 from wellops.streaming import pipeline as streaming
 
+# The operators for training data are an optional part: without their folder everything else still works.
+if importlib.util.find_spec("wellops.llm") and importlib.util.find_spec("wellops.llm.catalog"):
+    from wellops.llm import catalog as training_data
+else:
+    training_data = None
+
 ORDER_RULES = rules.order_rules(priorities=fixtures.ORDER_PRIORITIES)
 AUDIT = ("ingested_at", "source_file", "processed_at")
 # Mean BSW per well is near 52 in the test tables, so the list is asked for from 55 on.
@@ -348,8 +355,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "layer_counts": layer_counts,
         "run_history": run_history,
         "namespace_names": namespace_names,
+        **(training_data.queries() if training_data else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.queries()
+    return {**oracle.queries(), **(training_data.oracle_sql() if training_data else {})}
