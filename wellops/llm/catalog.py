@@ -7,11 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wellops.llm.language_id import op9_language_id
+from wellops.llm.minhash_dedup import op7_minhash_dedup
 from wellops.llm.token_files import op10_token_files
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op9_language_id": op9_language_id, "op10_token_files": op10_token_files}
+    return {
+        "op7_minhash_dedup": op7_minhash_dedup,
+        "op9_language_id": op9_language_id,
+        "op10_token_files": op10_token_files,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
