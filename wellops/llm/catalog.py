@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wellops.llm.decontamination import op2_decontamination
 from wellops.llm.language_id import op9_language_id
 from wellops.llm.minhash_dedup import op7_minhash_dedup
+from wellops.llm.mixing import op4_source_mixing
 from wellops.llm.token_files import op10_token_files
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_decontamination": op2_decontamination,
+        "op4_source_mixing": op4_source_mixing,
         "op7_minhash_dedup": op7_minhash_dedup,
         "op9_language_id": op9_language_id,
         "op10_token_files": op10_token_files,
