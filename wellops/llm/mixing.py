@@ -165,13 +165,19 @@ def _parsed(pattern: str) -> Pattern:
     return tuple(pattern.split("\x00"))
 
 
+def _level() -> Column:
+    return F.when(F.col("_size") * 50 > F.col("more"),
+                  F.ceil(F.log2(F.col("_size") * 50 / F.col("more")))).otherwise(0).cast("long")
+
+
 def _place() -> Column:
     """Where a document stands in the selection of its pattern; needs the column ``more``.
 
     By the seeded hash (as an unsigned number), but documents that alone are over a fiftieth of the words
-    wanted come last. Those exist in small sources only, where they would make the mix miss its target.
+    wanted come last, by powers of two. Those exist in small sources only, where they would make the mix
+    miss its target.
     """
-    return F.struct((F.col("_size") * 50 > F.col("more")).alias("big"),
+    return F.struct(_level().alias("level"),
                     F.col("_hash").bitwiseXOR(F.lit(-2**63)).alias("hash"),
                     F.coalesce("doc_id", F.lit(-2**63)).alias("id"))
 
@@ -203,7 +209,7 @@ def plan(sizes: DataFrame, weights: dict[str, float] | None = None, total: float
         uses = min(max_uses, flow // n) if n else 1
         shares.append(("\x00".join(pattern), int(uses), int(flow - uses * n) if n and uses < max_uses else 0))
     share = spark.createDataFrame(shares, "_pattern string, uses long, more long")
-    bin_ = (F.col("_size") * 50 > F.col("more")).cast("long") * 2**_BIN_BITS + F.shiftrightunsigned("_hash", 64 - _BIN_BITS)
+    bin_ = _level() * 2**_BIN_BITS + F.shiftrightunsigned("_hash", 64 - _BIN_BITS)
     binned = sizes.join(share.filter("more > 0").select("_pattern", "more"), "_pattern").withColumn("bin", bin_)
     upto = Window.partitionBy("_pattern").orderBy("bin")
     last = binned.groupBy("_pattern", "more", "bin").agg(F.sum("_size").alias("words")).withColumn(
@@ -216,7 +222,7 @@ def plan(sizes: DataFrame, weights: dict[str, float] | None = None, total: float
     ends = reached.groupBy("_pattern", "more", "bin", "before").agg(
         F.max(F.when(within, F.col("place"))).alias("end"), F.max(F.when(within, F.col("reached"))).alias("got"))
     # Without any document of that bin the selection ends where the bin begins.
-    begin = F.struct((F.col("bin") >= 2**_BIN_BITS).alias("big"),
+    begin = F.struct(F.floor(F.col("bin") / 2**_BIN_BITS).alias("level"),
                      F.shiftleft(F.col("bin") % 2**_BIN_BITS, 64 - _BIN_BITS).bitwiseXOR(F.lit(-2**63)).alias("hash"),
                      F.lit(-2**63).alias("id"))
     ends = ends.select("_pattern", "more", F.coalesce("end", begin).alias("end"),
