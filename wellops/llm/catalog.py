@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wellops.llm import url_filter
+from wellops.llm.chat_windows import op8_chat_windows
 from wellops.llm.decontamination import op2_decontamination
 from wellops.llm.language_id import op9_language_id
 from wellops.llm.minhash_dedup import op7_minhash_dedup
 from wellops.llm.mixing import op4_source_mixing
+from wellops.llm.quality import op6_quality
 from wellops.llm.token_files import op10_token_files
 
 
@@ -17,11 +20,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_decontamination": op2_decontamination,
         "op4_source_mixing": op4_source_mixing,
+        "op5_url_filter": url_filter.op5_url_filter,
+        "op6_quality": op6_quality,
         "op7_minhash_dedup": op7_minhash_dedup,
+        "op8_chat_windows": op8_chat_windows,
         "op9_language_id": op9_language_id,
         "op10_token_files": op10_token_files,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_url_filter": url_filter.ORACLE_SQL}
