@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wellops.llm import url_filter
+from wellops.llm import revisits, url_filter
 from wellops.llm.chat_windows import op8_chat_windows
 from wellops.llm.decontamination import op2_decontamination
+from wellops.llm.embedding_dedup import op1_embedding_dedup
 from wellops.llm.language_id import op9_language_id
 from wellops.llm.minhash_dedup import op7_minhash_dedup
 from wellops.llm.mixing import op4_source_mixing
@@ -18,7 +19,9 @@ from wellops.llm.token_files import op10_token_files
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_embedding_dedup": op1_embedding_dedup,
         "op2_decontamination": op2_decontamination,
+        "op3_revisits": revisits.op3_revisits,
         "op4_source_mixing": op4_source_mixing,
         "op5_url_filter": url_filter.op5_url_filter,
         "op6_quality": op6_quality,
@@ -30,4 +33,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_url_filter": url_filter.ORACLE_SQL}
+    return {"op3_revisits": revisits.ORACLE_SQL, "op5_url_filter": url_filter.ORACLE_SQL}
