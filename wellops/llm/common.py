@@ -6,11 +6,10 @@ import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 _SHIPPED: set[str] = set()
 
@@ -53,18 +52,12 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
-def text_batches(batches: Iterable[pa.RecordBatch], max_bytes: int) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of at most about ``max_bytes`` in memory, one row at least."""
-    for batch in batches:
-        start, rows = 0, batch.num_rows
-        step = max(1, min(rows, int(max_bytes * rows / max(1, batch.nbytes)))) if rows else 1
-        while start < rows:
-            take = step
-            while take > 1 and batch.slice(start, take).get_total_buffer_size() and \
-                    batch.slice(start, take).nbytes > max_bytes:
-                take = max(1, take // 2)
-            yield batch.slice(start, take)
-            start += take
+def unused(columns: Iterable[str], name: str) -> str:
+    """``name``, with underscores before it until no column is called so."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 def utf8(column: pa.Array) -> list[bytes]:

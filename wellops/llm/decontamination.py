@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wellops.llm.common import ship, table, utf8
+from wellops.llm.common import ship, table, unused, utf8
 from wellops.llm.words import NOT_ALPHANUMERIC, Hasher
 
 WINDOW = 10
@@ -220,25 +220,25 @@ def _blocks(benchmark: DataFrame, window: int, block_bytes: int) -> Iterator[Ind
         yield build_index(sorted((r["item_id"], r["text"].encode()) for r in part.collect()), window)
 
 
-def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` with a column ``hits`` (and every other column as it is).
+def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
+           name: str = "hits") -> DataFrame:
+    """``docs`` with a column ``name`` (replacing one of that name) and every other column as it is.
 
-    ``hits``: n_words, n_hit (words inside any occurrence of a window), runs (begin and end of the hit words,
+    The column holds n_words, n_hit (words inside any occurrence of a window), runs (begin and end of the hit words,
     flat), items (distinct item_ids, sorted), longest, longest_item and longest_at (the longest verbatim
-    match in words, its item and first word). Words are lower-cased runs of digits, letters a-z and anything beyond ASCII. An
-    item of fewer words than ``window`` is one window; an item without words, or null, has none. A null text
-    has no words. Items without an id are named by an empty string. Repeated documents are answered each,
-    repeated items count once, an empty benchmark hits nothing.
+    match in words, its item and first word). Words are lower-cased runs of digits, letters a-z and anything
+    beyond ASCII. An item of fewer words than ``window`` is one window; an item without words, or null, has
+    none. A null text has no words. Items without an id are named by an empty string. Repeated documents are
+    answered each, repeated items count once, an empty benchmark hits nothing.
     """
     spark = docs.sparkSession
     ship(spark)
-    columns = docs.columns
-    state = docs.select(F.struct(*columns).alias("_row"), F.col("text").alias("_text"),
-                        F.lit(None).cast(_STATE).alias("hits"))
+    columns = [c for c in docs.columns if c != name]
+    state = docs.select(*columns).withColumn(name, F.lit(None).cast(_STATE))
     schema = state.schema
     indexes = list(_blocks(benchmark, window, block_bytes)) or [build_index([], window)]
     for index in indexes:
-        shared = spark.sparkContext.broadcast(index)
+        shared = spark.sparkContext.broadcast(index)  # of bounded size
 
         def step(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             hasher, own = Hasher(NOT_ALPHANUMERIC), shared.value
@@ -246,20 +246,20 @@ def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_by
                 size = max(1, batch.num_rows * _SHARD_BYTES // max(_SHARD_BYTES, batch.nbytes))
                 for start in range(0, batch.num_rows, size):
                     part = batch.slice(start, size)
-                    new = search_shard(own, hasher, utf8(part.column("_text")))
-                    hits = [_joined(a, b) for a, b in zip(part.column("hits").to_pylist(), new)]
-                    kind = part.schema.field("hits").type
-                    yield pa.RecordBatch.from_arrays([part.column("_row"), part.column("_text"), pa.array(hits, kind)],
-                                                     names=["_row", "_text", "hits"])
+                    new = search_shard(own, hasher, utf8(part.column("text")))
+                    hits = [_joined(a, b) for a, b in zip(part.column(name).to_pylist(), new)]
+                    kind = part.schema.field(name).type
+                    yield pa.RecordBatch.from_arrays([*[part.column(c) for c in columns], pa.array(hits, kind)],
+                                                     names=[*columns, name])
 
         state = state.mapInArrow(step, schema)
-    return state.select("_row.*", "hits")
+    return state
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` without any hit, with the same columns."""
-    plain = docs.select(F.struct(*docs.columns).alias("_doc"), "text")
-    return search(plain, benchmark, window).filter("hits.n_hit = 0").select("_doc.*")
+    name = unused(docs.columns, "hits")
+    return search(docs, benchmark, window, name=name).filter(F.col(name)["n_hit"] == 0).drop(name)
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wellops.llm import gru
-from wellops.llm.common import ship, table, utf8
+from wellops.llm.common import ship, table, unused, utf8
 
 UNDETERMINED = "und"
 HAS_LETTER = r"\p{L}"
@@ -83,42 +83,45 @@ def pooled(model: Model, texts: list[bytes]) -> np.ndarray:
     return total / np.maximum(1, lengths)[:, None]
 
 
-def predict(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` added (replacing columns of those names).
+def predict(docs: DataFrame, model: Model | None, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with the predicted language and its score (replacing columns of those names).
 
     ``und`` with score 0 where the text is null, empty or has no letter, or where there is no model. All
     other columns pass through unchanged; repeated rows get equal answers; an empty table stays empty.
     """
     spark = docs.sparkSession
     ship(spark)
-    kept = docs.drop("lang_pred", "score")
-    rows = kept.withColumn("_read", F.when(F.col("text").rlike(HAS_LETTER), F.col("text")))
+    kept = docs.drop(*names)
     columns = kept.columns
+    flag = unused(columns, "_has_letter")
+    rows = kept.withColumn(flag, F.coalesce(F.col("text").rlike(HAS_LETTER), F.lit(False)))
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             step = max(1, batch.num_rows * _BATCH_BYTES // max(_BATCH_BYTES, batch.nbytes))
             for start in range(0, batch.num_rows, step):
                 part = batch.slice(start, step)
-                texts = utf8(part.column("_read"))
+                letters = part.column(flag).to_pylist()
+                texts = [t if known else b"" for t, known in zip(utf8(part.column("text")), letters)]
                 if model is None:
                     best, score = np.zeros(len(texts), int), np.zeros(len(texts))
                 else:
                     p = pooled(model, texts)
                     best, score = p.argmax(axis=1), np.minimum(p.max(axis=1), 1.0)
-                names = [model.labels[b] if model and t else UNDETERMINED for b, t in zip(best.tolist(), texts)]
+                found = [model.labels[b] if model and t else UNDETERMINED for b, t in zip(best.tolist(), texts)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(c) for c in columns] + [pa.array(names, pa.string()), pa.array(score, pa.float64())],
-                    names=[*columns, "lang_pred", "score"])
+                    [part.column(c) for c in columns] + [pa.array(found, pa.string()), pa.array(score, pa.float64())],
+                    names=[*columns, *names])
 
-    schema = kept.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
+    schema = kept.withColumns({names[0]: F.lit(""), names[1]: F.lit(0.0)}).schema
     return rows.mapInArrow(label, schema)
 
 
 def accepted(docs: DataFrame, model: Model | None, min_score: float = 0.4) -> DataFrame:
     """The rows of ``docs`` whose language is known with at least ``min_score``, with the same columns."""
-    scored = predict(docs.withColumn("_row", F.struct(*docs.columns)).select("text", "_row"), model)
-    return scored.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score)).select("_row.*")
+    lang, score = unused(docs.columns, "_lang_pred"), unused(docs.columns, "_lang_score")
+    scored = predict(docs, model, (lang, score))
+    return scored.filter((F.col(lang) != UNDETERMINED) & (F.col(score) >= min_score)).drop(lang, score)
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
