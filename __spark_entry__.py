@@ -34,6 +34,7 @@ from wellops.streaming import pipeline as streaming
 
 # The operators for training data are an optional part: without their folder everything else still works.
 if importlib.util.find_spec("wellops.llm") and importlib.util.find_spec("wellops.llm.catalog"):
+    import corpus_pipeline
     from wellops.llm import catalog as training_data
 else:
     training_data = None
@@ -355,7 +356,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "layer_counts": layer_counts,
         "run_history": run_history,
         "namespace_names": namespace_names,
-        **(training_data.queries() if training_data else {}),
+        **({**training_data.queries(), "pipeline": corpus_pipeline.run} if training_data else {}),
     }
 
 
