@@ -9,24 +9,26 @@ from __future__ import annotations
 import importlib.util
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 if (_ROOT := os.path.dirname(os.path.abspath(__file__))) not in sys.path:
     sys.path.insert(0, _ROOT)  # the package lies beside this file, wherever it is loaded from
 
 from wellops import names, oracle
-from wellops.functions.columns import namespace_name
+from wellops.functions.columns import namespace_name, reading_id
 from wellops.operators.dedup import first_per_key
 from wellops.operators.metrics import METRICS, compare_predictors, metric_columns
 from wellops.operators.quality import violations
 from wellops.operators.split import is_train_by_key
-from wellops.plans import bi, features, forecast, gold, gold_sql, pipeline, rules, silver, silver_sql
+from wellops.plans import bi, bronze, features, forecast, gold, gold_sql, pipeline, rules, silver, silver_sql
 from wellops.plans.registry import CHALLENGER, CHAMPION, Registry
 from wellops.session import work_dir
-from wellops.sinks import datasets
+from wellops.sinks import catalog, datasets
 from wellops.sinks.landing import land_csv, land_feed_batch, land_json
 from wellops.sinks.layout import Layout, create_landing
 from wellops.sources import fixtures
@@ -40,7 +42,7 @@ else:
     training_data = None
 
 ORDER_RULES = rules.order_rules(priorities=fixtures.ORDER_PRIORITIES)
-AUDIT = ("ingested_at", "source_file", "processed_at")
+AUDIT = ("ingested_at", "source_file", "processed_at", "rescued")
 # Mean BSW per well is near 52 in the test tables, so the list is asked for from 55 on.
 BSW_THRESHOLD = 55.0
 
@@ -150,28 +152,74 @@ def _trained(spark: SparkSession, sf_dir: str) -> tuple[Registry, DataFrame]:
     return _MODELS[key]
 
 
+def _champion(spark: SparkSession, sf_dir: str):
+    registry, rows = _trained(spark, sf_dir)
+    return registry.load(forecast.MODEL_NAME), rows
+
+
+def _in_range(rows: DataFrame) -> Column:
+    """Whether a prediction lies within the targets trained on, as every mean of leaves does."""
+    low, high = rows.filter(is_train_by_key()).agg(F.min(forecast.TARGET), F.max(forecast.TARGET)).first()
+    return F.coalesce(F.col(forecast.PREDICTION).between(low - 1e-6, high + 1e-6), F.lit(False)).alias("in_range")
+
+
+# A forest has no counterpart in SQL, so these four show the keys and targets of what was scored, and per row
+# whether the predictions have the properties of a forest's.
+
 def forecast_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Champion and challenger against the held-out weeks, metric by metric."""
+    """Champion and challenger against the held-out weeks: which metrics are there, and who is better."""
     registry, rows = _trained(spark, sf_dir)
-    return forecast.compare_registered(registry, rows.filter(~is_train_by_key()))
+    table = forecast.compare_registered(registry, rows.filter(~is_train_by_key()))
+    wins = F.when(F.col("metric") == "r2", F.col("challenger") > F.col("champion")).otherwise(
+        F.col("challenger") < F.col("champion"))
+    winner = F.when(wins, "challenger").otherwise("champion")
+    return table.select("metric", (F.col("champion").isNotNull() & F.col("challenger").isNotNull()).alias("known"),
+                        (F.col("better") == winner).alias("better_fits"))
 
 
 def forecast_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The champion over the whole feature table."""
-    registry, rows = _trained(spark, sf_dir)
-    return forecast.batch_scores(registry.load(forecast.MODEL_NAME), rows)
+    model, rows = _champion(spark, sf_dir)
+    difference = F.abs(F.col("error_bbl") - (F.col(forecast.TARGET) - F.col(forecast.PREDICTION))) < 1e-6
+    return forecast.batch_scores(model, rows).select(
+        "field", "year", "week", forecast.TARGET, _in_range(rows), difference.alias("error_is_difference"))
 
 
 def forecast_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Held-out weeks by absolute error of the champion."""
-    registry, rows = _trained(spark, sf_dir)
-    return forecast.holdout_errors(registry.load(forecast.MODEL_NAME), rows.filter(~is_train_by_key()))
+    model, rows = _champion(spark, sf_dir)
+    errors = forecast.holdout_errors(model, rows.filter(~is_train_by_key()))
+    difference = F.abs(F.col("abs_error_bbl") - F.abs(F.col(forecast.TARGET) - F.col(forecast.PREDICTION))) < 1e-6
+    return errors.select("field", "year", "week", forecast.TARGET, _in_range(rows), difference.alias("error_is_difference"))
 
 
 def scenario_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What-if rows derived from every feature row, scored by the champion."""
+    model, rows = _champion(spark, sf_dir)
+    scored = forecast.scenario_scores(model, forecast.scenarios_from_features(rows))
+    return scored.select("field", "year", "week", "scenario", "mean_bsw_pct", "mean_hours_on", _in_range(rows),
+                         F.array_join("out_of_range", ",").alias("out_of_range"))
+
+
+def forecast_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows scored and held out, rows without a prediction, predictions out of range, versions behind the aliases."""
     registry, rows = _trained(spark, sf_dir)
-    return forecast.scenario_scores(registry.load(forecast.MODEL_NAME), forecast.scenarios_from_features(rows))
+    scored = forecast.batch_scores(registry.load(forecast.MODEL_NAME), rows)
+    counts = scored.agg(
+        F.count(F.lit(1)).alias("scored"), F.count_if(~is_train_by_key()).alias("held_out"),
+        F.count_if(F.col(forecast.PREDICTION).isNull()).alias("without_prediction"),
+        F.count_if(~_in_range(rows)).alias("out_of_range"))
+    versions = {r["alias"]: r["version"] for r in registry.aliases().collect()}
+    return counts.withColumns({f"{a}_version": F.lit(versions[a]).cast("bigint") for a in (CHAMPION, CHALLENGER)})
+
+
+def forecast_features_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vector of eight features of every row, as the models get it."""
+    model, rows = _champion(spark, sf_dir)
+    vector = vector_to_array(F.col("features"))
+    return model.stages[0].transform(rows).select(
+        "field", "year", "week", F.size(vector).alias("n_features"),
+        *[vector[k].alias(f"feature_{k}") for k in range(len(features.FEATURE_COLUMNS))])
 
 
 def forecast_delta_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,6 +290,37 @@ def stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
         "version", F.col("operation_metrics")["rows"].cast("bigint").alias("new_rows"))
 
 
+def stream_rescued_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Work orders land with values that do not fit, a column nobody knows and broken lines; the raw layer keeps all."""
+    layout = _landing(spark, "stream_rescued_values")
+    known = fixtures.raw_orders(spark, sf_dir)
+    key = F.col("order_id")
+    row = F.to_json(F.struct(*[F.when((F.lit(c) == "order_id") & (key % 10 == 3), F.concat(F.lit("x"), key.cast("string")))
+                               .otherwise(F.col(c).cast("string")).alias(c) for c in known.columns],
+                             F.when(key % 10 == 4, "ACME").alias("vendor")))
+    lines = known.select(F.when(key % 10 == 5, F.concat(F.lit("no json "), key.cast("string"))).otherwise(row).alias("value"))
+    land_json(known, layout.landing("orders_json"))  # the schema is remembered from plain files
+    _stream(spark, layout, "bronze_orders")
+    lines.write.mode("append").text(layout.landing("orders_json"))
+    _stream(spark, layout, "bronze_orders")
+    return datasets.read(spark, layout, "bronze_orders").filter("rescued IS NOT NULL").select("order_id", "rescued")
+
+
+def stream_audit_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, and how many carry each audit column, of a raw and a validated table."""
+    layout = _landing(spark, "stream_audit_columns")
+    land_json(fixtures.raw_orders(spark, sf_dir), layout.landing("orders_json"))
+    _stream(spark, layout, "bronze_orders", "silver_orders")
+    parts = []
+    for name in ("bronze_orders", "silver_orders"):
+        rows = datasets.read(spark, layout, name)
+        stamp = F.col("processed_at") if "processed_at" in rows.columns else F.col("ingested_at")
+        parts.append(rows.agg(
+            F.lit(name).alias("dataset"), F.count(F.lit(1)).alias("row_count"), F.count("ingested_at").alias("with_time"),
+            F.count_if(F.col("source_file").startswith("part-")).alias("with_file"), F.count(stamp).alias("with_stamp")))
+    return parts[0].union(parts[1])
+
+
 def stream_dq_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Violations per rule and micro-batch, as reported by the running stream."""
     layout = _streamed_production(spark, sf_dir, "stream_dq_metrics", "bronze_production", "silver_production")
@@ -272,6 +351,34 @@ def run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         "dataset", "version", "operation", F.col("operation_metrics")["kept"].cast("bigint").alias("written_rows"))
 
 
+def table_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Named tables in a schema of their own: exposed with comments, read by name, counted, then dropped with it."""
+    layout = _batch_pipeline(spark, sf_dir, "table_comments")
+    before, namespace = spark.catalog.currentDatabase(), f"wellops_{uuid.uuid4().hex}"
+    catalog.use_namespace(spark, namespace, f"{layout.root}/tables")
+    try:
+        catalog.expose(spark, layout, namespace)
+        found = [(name, spark.catalog.getTable(f"{namespace}.{name}").description or "", spark.table(f"{namespace}.{name}").count())
+                 for name in pipeline.DATASETS]
+    finally:
+        spark.sql(f"USE {before}")
+        catalog.drop_namespace(spark, namespace)
+    return datasets.stored(spark.createDataFrame(found, "name string, comment string, row_count bigint"),
+                           layout.scratch("table_comments"))
+
+
+def union_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History and feed united by the position of their columns."""
+    parts = [rows.withColumns({"ingested_at": F.current_timestamp(), "source_file": F.lit("x"), "rescued": F.lit(None).cast("string")})
+             for rows in (fixtures.raw_history(spark, sf_dir), fixtures.raw_live(spark, sf_dir))]
+    return bronze.union_production_sql(*parts).drop(*AUDIT)
+
+
+def composed_reading_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    live = fixtures.raw_live(spark, sf_dir)
+    return live.select("reading_id", reading_id("well_id", "prod_date", F.substring_index("reading_id", "_", 1)).alias("composed"))
+
+
 def namespace_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     user = F.concat(F.translate("c_name", "#", "."), F.lit("-"), F.col("c_mktsegment"), F.lit("@example.com"))
     return fixtures.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_key"),
@@ -285,6 +392,29 @@ def entry(spark: SparkSession) -> DataFrame:
     return gold_production_by_field(spark, "/root/testdata/sf0.001")
 
 
+def _silver(spark: SparkSession, sf_dir: str) -> Layout:
+    """Raw and validated datasets stored once per session and folder; the dashboard reads those."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SILVER:
+        layout = Layout(work_dir(spark, "silver"))
+        pipeline.refresh_bronze(spark, layout, fixtures.raw_wells(spark, sf_dir),
+                                fixtures.raw_production(spark, sf_dir), fixtures.raw_orders(spark, sf_dir))
+        pipeline.refresh_silver(spark, layout, fixtures.AS_OF, order_rules=ORDER_RULES)
+        _SILVER[key] = layout
+    return _SILVER[key]
+
+
+_SILVER: dict[tuple[str, str], Layout] = {}
+
+
+def _tile(plan: Callable[..., DataFrame], *inputs: str, **options) -> Callable[[SparkSession, str], DataFrame]:
+    """A dashboard tile over the stored validated datasets, with filters."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        layout = _silver(spark, sf_dir)
+        return plan(*[datasets.read(spark, layout, f"silver_{name}") for name in inputs], filters=_FILTERS, **options)
+    return run
+
+
 _FILTERS = bi.Filters(field="Nation_7", well_type="BUILDING", first_day="1996-01-01", last_day="1998-12-31")
 
 # Each query takes the session and the folder of the tables.
@@ -332,9 +462,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "forecast_batch": forecast_batch,
         "forecast_errors": forecast_errors,
         "scenario_scores": scenario_scores,
+        "forecast_checks": forecast_checks,
+        "forecast_features_vector": forecast_features_vector,
         "forecast_delta_bands": forecast_delta_bands,
         "kpi_cards": _over(bi.kpi_cards, _PWO),
-        "kpi_cards_filtered": _over(bi.kpi_cards, _PWO, _FILTERS),
+        "kpi_cards_filtered": _tile(bi.kpi_cards, "production", "wells", "orders"),
+        "production_by_field_filtered": _tile(bi.production_by_field, "production", "wells"),
+        "monthly_evolution_filtered": _tile(bi.monthly_evolution, "production", "wells"),
+        "cost_by_equipment_filtered": _tile(bi.cost_by_equipment, "orders", "wells"),
+        "well_health_filtered": _tile(bi.well_health, "production", "wells"),
+        "top_costs_filtered": _tile(bi.top_costs, "orders", "wells"),
+        "costliest_maint_type_filtered": _tile(bi.costliest_maint_type, "orders", "wells"),
+        "producing_by_basin_filtered": _tile(bi.producing_by_basin, "wells"),
         "production_by_field": _over(bi.production_by_field, _PW),
         "monthly_evolution": _over(bi.monthly_evolution, _PW),
         "monthly_evolution_field": _over(bi.monthly_evolution, _PW, bi.Filters(field="Nation_3")),
@@ -344,6 +483,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "field_maintenance_spend": _over(bi.field_maintenance_spend, _OW, "Nation_5"),
         "field_maintenance_spend_sql": _over(gold_sql.field_maintenance_spend, _OW, "Nation_5"),
         "high_bsw_wells": _over(bi.high_bsw_wells, _PW, BSW_THRESHOLD),
+        "high_bsw_wells_80": _over(bi.high_bsw_wells, _PW),
         "producing_by_basin": _over(bi.producing_by_basin, (_wells,)),
         "costliest_maint_type": _over(bi.costliest_maint_type, _OW),
         "top5_costs": _over(bi.top_costs, _OW),
@@ -353,6 +493,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_silver_orders": stream_silver_orders,
         "stream_incremental": stream_incremental,
         "stream_dq_metrics": stream_dq_metrics,
+        "stream_rescued_values": stream_rescued_values,
+        "stream_audit_columns": stream_audit_columns,
+        "table_comments": table_comments,
+        "union_by_position": union_by_position,
+        "composed_reading_ids": composed_reading_ids,
         "layer_counts": layer_counts,
         "run_history": run_history,
         "namespace_names": namespace_names,

@@ -87,7 +87,7 @@ def test_top_costs_do_not_sort_the_whole_table(stored):
 
 
 @pytest.mark.parametrize("name", [n for n in entry.queries() if not n.startswith(
-    ("stream", "forecast_hold", "forecast_batch", "forecast_err", "scenario", "layer", "run_h", "alias"))])
+    ("op", "pipeline", "table_", "stream", "forecast_hold", "forecast_batch", "forecast_err", "scenario", "layer", "run_h", "alias"))])
 def test_no_python_no_cross_join_in_any_query(spark, sf_dir, name):
     tree = _tree(entry.queries()[name](spark, sf_dir))
     for operator in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin", "Scan ExistingRDD"):

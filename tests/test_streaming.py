@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import pytest
 import rows
 from pyspark.errors import StreamingQueryException
@@ -118,7 +119,7 @@ def test_known_columns_are_text_and_others_are_inferred(spark, layout):
     for depth in (1, 2, 3):
         land_csv(rows.wells(spark, {"depth_m": depth}).withColumn("extra", F.lit(5)).coalesce(1), path, mode="append")
     known = names.known_columns(schemas.WELLS, "wells")
-    schema = infer_schema(spark, path, "csv", known, max_files=2)
+    schema = infer_schema(spark, path, "csv", known)
     assert schema["depth_m"].dataType.simpleString() == "string"
     assert schema["extra"].dataType.simpleString() == "int"
     batch = bronze.wells(spark, layout, stream=False)
@@ -126,6 +127,41 @@ def test_known_columns_are_text_and_others_are_inferred(spark, layout):
     assert sorted(r["depth_m"] for r in batch.collect()) == [1.0, 2.0, 3.0]
 
 
+def test_column_of_the_last_file_is_seen(spark, layout):
+    path = layout.landing("orders_json")
+    for _ in range(4):
+        land_json(rows.orders(spark, {}).coalesce(1), path, mode="append")
+    land_json(rows.orders(spark, {}).withColumn("late", F.lit(1)).coalesce(1), path, mode="append")
+    assert "late" in infer_schema(spark, path, "json").names
+    _run(spark, layout, "bronze_orders")
+    assert "late" in datasets.read(spark, layout, "bronze_orders").columns
+
+
+def test_what_does_not_fit_is_rescued(spark, layout):
+    path = layout.landing("orders_json")
+    land_json(rows.orders(spark, {}), path)
+    _run(spark, layout, "bronze_orders")
+    good = json.loads(rows.orders(spark, {}).toJSON().first())
+    odd = [json.dumps({**good, "order_id": "x7", "vendor": "ACME"}), "not json", "", json.dumps(good)]
+    spark.createDataFrame([(line,) for line in odd], "value string").coalesce(1).write.mode("append").text(path)
+    _run(spark, layout, "bronze_orders", "silver_orders")
+    kept = [json.loads(r["rescued"]) for r in datasets.read(spark, layout, "bronze_orders").filter("rescued is not null").collect()]
+    assert sorted(kept, key=len) == [{"_line": "not json"}, {"vendor": "ACME", "order_id": "x7"}]
+    with pytest.raises(ValueError, match="new columns: vendor"):
+        streaming.run_available(spark, layout, ["bronze_orders"], options={"newColumns": "fail"})
+
+
+def test_broken_csv_lines_are_rescued(spark, layout):
+    path = layout.landing("wells_csv")
+    land_csv(rows.wells(spark, {"depth_m": "deep"}), path)
+    line = ",".join(["1"] * (len(schemas.WELLS) + 2))
+    header = ",".join(schemas.WELLS.names)
+    spark.createDataFrame([(header,), (line,)], "value string").coalesce(1).write.mode("append").text(path)
+    kept = sorted(r["rescued"] for r in bronze.wells(spark, layout, stream=False).collect())
+    assert json.loads(kept[0]) == {"_line": line} or json.loads(kept[1])["_line"] == line
+    assert {"depth_m": "deep"} in [json.loads(k) for k in kept]
+
+
 def test_header_that_differs_from_the_schema_stops_the_stream(spark, layout):
     path = layout.landing("wells_csv")
     land_csv(rows.wells(spark, {}), path)
@@ -217,3 +253,30 @@ def test_feed_batches_add_files_and_compose_ids(spark, layout):
         land_feed_batch(batch, path, suffix=F.lit("abc123"))
     ids = sorted(r["reading_id"] for r in spark.read.json(path).collect())
     assert ids == ["4_20200101_abc123", "4_20200102_abc123"]
+
+
+def test_serve_records_and_refreshes(spark, layout):
+    land_csv(rows.wells(spark, {}), layout.landing("wells_csv"))
+    land_csv(_history(spark, {}), layout.landing("production_csv"))
+    land_json(rows.orders(spark, {}), layout.landing("orders_json"))
+    turns = iter([False, True])
+    streaming.serve(spark, layout, "200 milliseconds", record_every=0.5, stop=lambda: next(turns), as_of=AS_OF)
+    done = {(r["dataset"], r["operation"]) for r in datasets.history(spark, layout).collect()}
+    assert ("silver_production", "STREAMING UPDATE") in done and ("gold_efficiency", "CREATE OR REFRESH") in done
+    assert not [q for q in spark.streams.active if layout.root in (q.name or "")]
+
+
+class _Query:
+    """Progress reports of a query whose ring has turned."""
+
+    runId = "run"
+
+    def __init__(self, *batches):
+        self.recentProgress = [{"batchId": b, "observedMetrics": None} for b in batches]
+
+
+def test_lost_reports_are_an_error(spark, layout):
+    streaming.record(spark, layout, "bronze_orders", _Query(0, 1))
+    streaming.record(spark, layout, "bronze_orders", _Query(1, 2, 3))
+    with pytest.raises(RuntimeError, match="micro-batches 4 to 5 are gone"):
+        streaming.record(spark, layout, "bronze_orders", _Query(6, 7))

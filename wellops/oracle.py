@@ -17,6 +17,7 @@ def _initcap(column: str) -> str:
             "lambda w: upper(w[1]) || lower(w[2:])), ' ')")
 
 
+# Fixed values of the rules.
 _WELL_STATUS_OK = "status IN ('Produzindo', 'Parado', 'Manutencao', 'Abandonado', 'Completacao')"
 _ORDER_STATUS_OK = "status IN ('Aberta', 'Em Execucao', 'Concluida', 'Cancelada', 'Aguardando Material')"
 _PRIORITY_OK = "priority IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '5-LOW')"
@@ -171,7 +172,98 @@ _ALL_COUNTS = {
 }
 
 
+_FIELD, _KIND, _FIRST, _LAST = "Nation_7", "BUILDING", "DATE '1996-01-01'", "DATE '1998-12-31'"
+_TILE = f"field = '{_FIELD}' AND well_type = '{_KIND}'"
+_READ = f"{_TILE} AND prod_date BETWEEN {_FIRST} AND {_LAST}"
+_OPENED = (f"opened_on BETWEEN {_FIRST} AND {_LAST} AND well_id IN (SELECT well_id FROM wells WHERE {_TILE})")
+_HELD_OUT = "(year * 53 + week) % 5 = 0"
+_COMMENTS = {
+    "bronze_wells": "Raw wells (CSV)", "bronze_production": "Raw readings: CSV history and live feed",
+    "bronze_orders": "Raw work orders (JSON)", "silver_wells": "Validated wells, one row per code",
+    "silver_production": "Validated daily production", "silver_orders": "Validated work orders",
+    "gold_production_by_field": "Production by field", "gold_maintenance_cost": "Maintenance cost by type and equipment",
+    "gold_efficiency": "Operational efficiency by field"}
+
+
+def _what_if() -> str:
+    """Every feature row three times, and the ranges it leaves."""
+    rows = "\nUNION ALL\n".join(
+        f"SELECT * REPLACE ({change}), '{name}' AS scenario FROM features" for name, change in (
+            ("as_is", "week AS week"), ("full_hours", "24.0::DOUBLE AS mean_hours_on"),
+            ("more_water", "mean_bsw_pct + 10 AS mean_bsw_pct")))
+    ranges = (("week_in_range", "week BETWEEN 1 AND 53"), ("bsw_in_range", "mean_bsw_pct BETWEEN 0 AND 100"),
+              ("pressure_in_range", "mean_wellhead_psi BETWEEN 50 AND 5000"),
+              ("temperature_in_range", "mean_temp_c BETWEEN 30 AND 150"), ("hours_in_range", "mean_hours_on BETWEEN 0 AND 24"),
+              ("wells_in_range", "active_wells >= 1"),
+              ("volumes_not_negative", "prev_week_oil_bbl >= 0 AND mean4_oil_bbl >= 0"))
+    named = ", ".join(f"CASE WHEN NOT ({test}) THEN '{name}' END" for name, test in ranges)
+    return (f"SELECT field, year, week, scenario, mean_bsw_pct, mean_hours_on, true AS in_range, "
+            f"concat_ws(',', {named}) AS out_of_range FROM ({rows})")
+
+
+def _more() -> dict[str, str]:
+    scored = "SELECT field, year, week, weekly_oil_bbl, true AS in_range, true AS error_is_difference FROM features"
+    vector = ("week", "mean_bsw_pct", "mean_wellhead_psi", "mean_temp_c", "mean_hours_on", "active_wells",
+              "prev_week_oil_bbl", "mean4_oil_bbl")
+    return {
+        "forecast_holdout": "SELECT unnest(['mae', 'rmse', 'r2']) AS metric, true AS known, true AS better_fits",
+        "forecast_batch": _query(scored, "features"),
+        "forecast_errors": _query(f"{scored} WHERE {_HELD_OUT}", "features"),
+        "scenario_scores": _query(_what_if(), "features"),
+        "forecast_checks": _query(
+            f"""SELECT count(*) AS scored, count(*) FILTER (WHERE {_HELD_OUT}) AS held_out, 0::BIGINT AS without_prediction,
+            0::BIGINT AS out_of_range, 1::BIGINT AS champion_version, 2::BIGINT AS challenger_version FROM features""", "features"),
+        "forecast_features_vector": _query(
+            "SELECT field, year, week, 8::INTEGER AS n_features, " + ", ".join(
+                f"{c}::DOUBLE AS feature_{k}" for k, c in enumerate(vector)) + " FROM features", "features"),
+        "production_by_field_filtered": _query(
+            f"SELECT field, round(sum(oil_bbl), 2) AS total_oil_bbl FROM located WHERE {_READ} GROUP BY field", "located"),
+        "monthly_evolution_filtered": _query(
+            f"""SELECT year, month, round(sum(oil_bbl), 2) AS total_oil_bbl FROM located WHERE {_READ}
+            GROUP BY year, month""", "located"),
+        "cost_by_equipment_filtered": _query(
+            f"""SELECT equipment, round(sum(est_cost), 2) AS total_est_cost FROM work_orders WHERE {_OPENED}
+            GROUP BY equipment ORDER BY total_est_cost DESC, equipment LIMIT 5""", "work_orders", "wells"),
+        "well_health_filtered": _query(
+            f"""SELECT well_id, any_value(well_name) AS well_name, any_value(field) AS field,
+            any_value(well_type) AS well_type, {_mean_2('bsw_pct')} AS mean_bsw_pct,
+            round(sum(oil_bbl), 2) AS total_oil_bbl FROM located WHERE {_READ} GROUP BY well_id""", "located"),
+        "top_costs_filtered": _query(
+            f"""SELECT order_id, well_id, maint_type, equipment, est_cost FROM work_orders WHERE {_OPENED}
+            ORDER BY est_cost DESC, order_id LIMIT 5""", "work_orders", "wells"),
+        "costliest_maint_type_filtered": _query(
+            f"""SELECT maint_type, round(sum(est_cost), 2) AS total_est_cost FROM work_orders WHERE {_OPENED}
+            GROUP BY maint_type ORDER BY total_est_cost DESC, maint_type LIMIT 1""", "work_orders", "wells"),
+        "producing_by_basin_filtered": _query(
+            f"""SELECT basin, count(*) AS producing_wells FROM wells WHERE status = 'Produzindo' AND {_TILE}
+            GROUP BY basin""", "wells"),
+        "high_bsw_wells_80": _query(
+            f"""SELECT well_id, any_value(well_name) AS well_name, any_value(field) AS field,
+            {_mean_2('bsw_pct')} AS mean_bsw_pct FROM located GROUP BY well_id HAVING avg(bsw_pct) > 80""", "located"),
+        "stream_rescued_values": _query(
+            """SELECT CASE WHEN order_id % 10 = 4 THEN order_id END AS order_id,
+            CASE order_id % 10 WHEN 3 THEN '{"order_id":"x' || order_id || '"}' WHEN 4 THEN '{"vendor":"ACME"}'
+                 ELSE '{"_line":"no json ' || order_id || '"}' END AS rescued
+            FROM raw_orders WHERE order_id % 10 IN (3, 4, 5)""", "raw_orders"),
+        "stream_audit_columns": _query(
+            """SELECT 'bronze_orders' AS dataset, count(*) AS row_count, count(*) AS with_time, count(*) AS with_file,
+            count(*) AS with_stamp FROM raw_orders UNION ALL
+            SELECT 'silver_orders', count(*), count(*), count(*), count(*) FROM work_orders""", "raw_orders", "work_orders"),
+        "table_comments": _query("\nUNION ALL\n".join(
+            f"SELECT '{name}' AS name, '{_COMMENTS[name]}' AS comment, count(*) AS row_count FROM {part}"
+            for name, part in _ALL_COUNTS.items()), *_ALL_COUNTS.values()),
+        "union_by_position": _query(
+            "SELECT * REPLACE (CAST(prod_date AS VARCHAR) AS prod_date) FROM raw_production", "raw_production"),
+        "composed_reading_ids": """SELECT event_id || '_s' AS reading_id,
+            user_id || '_' || strftime(CAST(ts AS DATE), '%Y%m%d') || '_' || event_id AS composed FROM events""",
+    }
+
+
 def queries() -> dict[str, str]:
+    return {**_main(), **_more()}
+
+
+def _main() -> dict[str, str]:
     naive = [(m, p) for m in ("mae", "rmse", "r2") for p in ("prev_week_oil_bbl", "mean4_oil_bbl")]
     compared = "\nUNION ALL\n".join(
         f"SELECT '{m}' AS metric, {_metric(m, 'prev_week_oil_bbl')} AS champion, "

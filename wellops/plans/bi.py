@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wellops.operators.rollup import mean, partials_per_well, total
@@ -34,14 +34,16 @@ class Filters:
         return wells
 
     def period(self, df: DataFrame, column: str) -> DataFrame:
-        if self.first_day is not None:
-            df = df.filter(F.col(column) >= F.lit(self.first_day).cast("date"))
-        if self.last_day is not None:
-            df = df.filter(F.col(column) <= F.lit(self.last_day).cast("date"))
+        by_year = column == "prod_date" and "year" in df.columns  # readings are stored by year
+        for day, within in ((self.first_day, Column.__ge__), (self.last_day, Column.__le__)):
+            if day is not None:
+                df = df.filter(within(F.col(column), F.lit(day).cast("date")))
+                if by_year:
+                    df = df.filter(within(F.col("year"), F.lit(int(day[:4]))))
         return df
 
     def of_wells(self, df: DataFrame, wells: DataFrame) -> DataFrame:
-        """Rows of the selected wells; without a well filter nothing is joined."""
+        """Rows of the selected wells, best summed per well before; without a well filter nothing is joined."""
         if self.field is None and self.well_type is None:
             return df
         return df.join(self.wells(wells).select("well_id"), "well_id", "left_semi")
@@ -60,12 +62,14 @@ def kpi_cards(production: DataFrame, wells: DataFrame, orders: DataFrame, filter
                                   ["oil_bbl", "bsw_pct"]))
     readings = filters.of_wells(readings, wells).agg(total("oil_bbl").alias("total_oil_bbl"),
                                                      mean("bsw_pct").alias("mean_bsw_pct"))
-    open_orders = filters.of_wells(filters.period(orders, "opened_on").filter(F.col("status") == "Aberta"), wells)
+    open_orders = partials_per_well(filters.period(orders, "opened_on").filter(F.col("status") == "Aberta"),
+                                    ["well_id"], "order_id", [])
+    open_orders = filters.of_wells(open_orders, wells)
     parts = [
         _kpi(filters.wells(wells).filter(F.col("status") == "Produzindo"), "producing_wells", F.count("well_id")),
         readings.select(F.inline(F.array(*[F.struct(F.lit(k).alias("kpi"), F.col(k).alias("value"))
                                            for k in ("total_oil_bbl", "mean_bsw_pct")]))),
-        _kpi(open_orders, "open_orders", F.count("order_id")),
+        _kpi(open_orders, "open_orders", F.coalesce(F.sum("n_rows"), F.lit(0))),
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -88,10 +92,16 @@ def monthly_evolution(production: DataFrame, wells: DataFrame, filters: Filters
             .agg(total("oil_bbl").alias("total_oil_bbl")).orderBy("year", "month"))
 
 
+def _cost_per(by: list[str], orders: DataFrame, wells: DataFrame, filters: Filters) -> DataFrame:
+    """Estimated cost per group; with a filter on wells, summed per well before the wells are joined."""
+    keys = by if filters.field is None and filters.well_type is None else [*by, "well_id"]
+    sums = partials_per_well(filters.period(orders, "opened_on"), keys, "order_id", ["est_cost"])
+    return filters.of_wells(sums, wells).groupBy(*by).agg(total("est_cost").alias("total_est_cost"))
+
+
 def cost_by_equipment(orders: DataFrame, wells: DataFrame, k: int = 5, filters: Filters = NO_FILTERS) -> DataFrame:
     """The ``k`` equipment types with the largest estimated cost."""
-    chosen = filters.of_wells(filters.period(orders, "opened_on"), wells)
-    return (chosen.groupBy("equipment").agg(F.round(F.sum("est_cost"), 2).alias("total_est_cost"))
+    return (_cost_per(["equipment"], orders, wells, filters)
             .orderBy(F.desc("total_est_cost"), "equipment").limit(k))
 
 
@@ -138,8 +148,7 @@ def producing_by_basin(wells: DataFrame, filters: Filters = NO_FILTERS) -> DataF
 
 def costliest_maint_type(orders: DataFrame, wells: DataFrame, filters: Filters = NO_FILTERS) -> DataFrame:
     """The maintenance type with the largest estimated cost."""
-    chosen = filters.of_wells(filters.period(orders, "opened_on"), wells)
-    return (chosen.groupBy("maint_type").agg(F.round(F.sum("est_cost"), 2).alias("total_est_cost"))
+    return (_cost_per(["maint_type"], orders, wells, filters)
             .orderBy(F.desc("total_est_cost"), "maint_type").limit(1))
 
 

@@ -1,4 +1,8 @@
-"""Raw layer: the landing files as they are, plus ingestion time and file name."""
+"""Raw layer: the landing files as they are, plus ingestion time and file name.
+
+Known columns get their types; the text of a value that cannot be read as its type, a column that is not known
+and a line that is no row are kept in ``rescued``, a JSON object of names and texts.
+"""
 
 from __future__ import annotations
 
@@ -8,20 +12,33 @@ from pyspark.sql import types as T
 
 from wellops import names, schemas
 from wellops.sinks.layout import Layout
-from wellops.sources.landing import remembered_schema, scan
+from wellops.sources.landing import RESCUED, remembered_schema, scan, unknown_json_columns
 
-AUDIT_COLUMNS = ["ingested_at", "source_file"]
+AUDIT_COLUMNS = ["ingested_at", "source_file", RESCUED]
 
 
 def _as_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Cast the columns ``df`` shares with ``schema``; others stay. Text that cannot be read gives null."""
+    """Cast the columns ``df`` shares with ``schema``; others stay. Text that cannot be read is rescued."""
     present = set(df.columns)
-    return df.withColumns({f.name: F.col(f.name).try_cast(f.dataType) for f in schema if f.name in present})
+    cast = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema if f.name in present}
+    texts = [c for c in cast if dict(df.dtypes)[c] == "string" and schema[c].dataType != T.StringType()]
+    if RESCUED in present and texts:
+        none = F.create_map().cast("map<string,string>")
+        unread = F.map_filter(F.create_map(*[x for c in texts for x in (F.lit(c), F.when(cast[c].isNull(), F.col(c)))]),
+                              lambda name, text: text.isNotNull() & (F.trim(text) != ""))
+        both = F.map_concat(F.coalesce(F.from_json(RESCUED, "map<string,string>"), none), unread)
+        cast[RESCUED] = F.when(F.size(both) > 0, F.to_json(both))
+    return df.withColumns(cast)
 
 
 def _landed(spark: SparkSession, layout: Layout, source: str, fmt: str, schema: T.StructType, glossary: str,
             stream: bool, options: dict[str, str] | None) -> DataFrame:
-    found = remembered_schema(spark, layout, source, fmt, names.known_columns(schema, glossary))
+    known = names.known_columns(schema, glossary)
+    found = remembered_schema(spark, layout, source, fmt, known)
+    options = dict(options or {})
+    if fmt == "json" and options.pop("newColumns", "rescue") == "fail":
+        if unknown := unknown_json_columns(spark, layout, source, known):
+            raise ValueError(f"{source} has new columns: {', '.join(sorted(unknown))}")
     df = names.to_english(scan(spark, layout.landing(source), fmt, found, stream, options), glossary)
     return _as_schema(df, schema)
 
@@ -40,8 +57,9 @@ def production_live(spark: SparkSession, layout: Layout, stream: bool = True,
                     options: dict[str, str] | None = None, portuguese: bool = False) -> DataFrame:
     """The live feed has a fixed schema, because its folder starts empty."""
     schema = names.portuguese_schema(schemas.PRODUCTION, "production") if portuguese else schemas.PRODUCTION
-    return names.to_english(scan(spark, layout.landing("production_live"), "json", schema, stream, options),
-                            "production")
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
+    df = names.to_english(scan(spark, layout.landing("production_live"), "json", text, stream, options), "production")
+    return _as_schema(df, schemas.PRODUCTION)
 
 
 def union_production(history: DataFrame, live: DataFrame) -> DataFrame:

@@ -37,11 +37,11 @@ def refresh_bronze(spark: SparkSession, layout: Layout, wells: DataFrame, produc
 
 
 def refresh_silver(spark: SparkSession, layout: Layout, as_of: str | None = None, variant: str = "dedup",
-                   order_rules: Sequence[Rule] | None = None, gather_years: bool = False) -> None:
+                   order_rules: Sequence[Rule] | None = None, gather_years: bool = True) -> None:
     """Validate the stored raw datasets; the rule metrics are taken while the rows are written.
 
-    Readings are partitioned by year. They arrive roughly in order of time, so each task writes few
-    years and no shuffle is needed; ``gather_years`` adds one for a history without such an order.
+    Readings are partitioned by year, so the rows of a year are gathered first; a large year takes many tasks.
+    ``gather_years=False`` saves that shuffle where the input is in order of time already.
     """
     columns = "plain" if variant == "plain" else "all"
     seen = {name: Observation(f"dq_{name}") for name in ("wells", "production", "orders")}

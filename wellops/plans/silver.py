@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from wellops import schemas
-from wellops.functions.columns import as_date, as_type, flag, title_trimmed, upper_trimmed
+from wellops.functions.columns import flag
 from wellops.operators.dedup import one_per_key
 from wellops.operators.quality import Rule, apply_rules
+from wellops.plans.columns_of import typed
 from wellops.plans.rules import MAX_BSW_PCT, OUTLIER_OIL_BBL, order_rules, production_rules, well_rules
 
 WELL_VARIANTS = ("dedup", "plain", "expect_then_dedup")
@@ -25,16 +26,7 @@ def _stamped(df: DataFrame, stamp: bool) -> DataFrame:
 
 
 def normalise_wells(raw: DataFrame) -> DataFrame:
-    return raw.withColumns({
-        "well_id": as_type("well_id", "bigint"),
-        "depth_m": as_type("depth_m", "double"),
-        "latitude": as_type("latitude", "double"),
-        "longitude": as_type("longitude", "double"),
-        "drilled_on": as_date("drilled_on", raw.schema["drilled_on"].dataType),
-        "well_name": upper_trimmed("well_name"),
-        "field": title_trimmed("field"),
-        "status": title_trimmed("status"),
-    })
+    return typed(raw, schemas.WELLS)
 
 
 def wells_before_rules(raw: DataFrame, variant: str = "dedup") -> DataFrame:
@@ -68,16 +60,10 @@ def production_before_rules(raw: DataFrame, variant: str = "all") -> DataFrame:
 
     Typed values come first and the columns derived from them second, so that each cast is written once.
     """
-    typed = raw.withColumns({
-        "reading_id": as_type("reading_id", "string"),
-        "well_id": as_type("well_id", "bigint"),
-        "prod_date": as_date("prod_date", raw.schema["prod_date"].dataType),
-        **{c: as_type(c, "double") for c in ("oil_bbl", "gas_mm3", "water_bbl", "bsw_pct", "wellhead_psi",
-                                             "temp_c", "hours_on")},
-    })
+    readings = typed(raw, schemas.PRODUCTION)
     if variant == "plain":
-        typed = typed.select(*schemas.PRODUCTION_COLUMNS)
-    return typed.withColumns({
+        readings = readings.select(*schemas.PRODUCTION_COLUMNS)
+    return readings.withColumns({
         "is_outlier": flag(F.col("oil_bbl") > OUTLIER_OIL_BBL),
         "is_high_bsw": flag(F.col("bsw_pct") > MAX_BSW_PCT),
         "year": F.year("prod_date"),
@@ -103,17 +89,8 @@ def production(raw: DataFrame, as_of: str | None = None, variant: str = "all",
 
 
 def orders_before_rules(raw: DataFrame, variant: str = "all") -> DataFrame:
-    typed = raw.withColumns({
-        "order_id": as_type("order_id", "bigint"),
-        "well_id": as_type("well_id", "bigint"),
-        "est_cost": as_type("est_cost", "double"),
-        "actual_cost": as_type("actual_cost", "double"),
-        "opened_on": as_date("opened_on", raw.schema["opened_on"].dataType),
-        "closed_on": as_date("closed_on", raw.schema["closed_on"].dataType),
-        "maint_type": title_trimmed("maint_type"),
-        "status": title_trimmed("status"),
-    })
-    return typed.select(*schemas.ORDER_COLUMNS) if variant == "plain" else typed
+    rows = typed(raw, schemas.ORDERS)
+    return rows.select(*schemas.ORDER_COLUMNS) if variant == "plain" else rows
 
 
 def orders(raw: DataFrame, variant: str = "all", rules: Sequence[Rule] | None = None,

@@ -10,43 +10,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from wellops import schemas
 from wellops.operators.quality import Rule, apply_rules
-from wellops.plans.rules import order_rules, production_rules, well_rules
-
-WELLS = """
-SELECT try_cast(well_id AS BIGINT) AS well_id, sap_code, upper(trim(well_name)) AS well_name,
-       initcap(trim(field)) AS field, basin, well_type, lift_method,
-       try_cast(depth_m AS DOUBLE) AS depth_m,
-       try_cast(latitude AS DOUBLE) AS latitude, try_cast(longitude AS DOUBLE) AS longitude,
-       initcap(trim(status)) AS status,
-       try_to_date(drilled_on, 'yyyy-MM-dd') AS drilled_on, operator
-FROM {raw}
-"""
-
-PRODUCTION = """
-WITH typed AS (
-  SELECT try_cast(reading_id AS STRING) AS reading_id, try_cast(well_id AS BIGINT) AS well_id,
-         try_to_date(prod_date, 'yyyy-MM-dd') AS prod_date,
-         try_cast(oil_bbl AS DOUBLE) AS oil_bbl, try_cast(gas_mm3 AS DOUBLE) AS gas_mm3,
-         try_cast(water_bbl AS DOUBLE) AS water_bbl, try_cast(bsw_pct AS DOUBLE) AS bsw_pct,
-         try_cast(wellhead_psi AS DOUBLE) AS wellhead_psi, try_cast(temp_c AS DOUBLE) AS temp_c,
-         try_cast(hours_on AS DOUBLE) AS hours_on, reading_type, source
-  FROM {raw}
-)
-SELECT typed.*,
-       CASE WHEN oil_bbl > 50000 THEN true ELSE false END AS is_outlier,
-       CASE WHEN bsw_pct > 100 THEN true ELSE false END AS is_high_bsw,
-       year(prod_date) AS year, month(prod_date) AS month, day(prod_date) AS day
-FROM typed
-"""
-
-ORDERS = """
-SELECT try_cast(order_id AS BIGINT) AS order_id, sap_om, try_cast(well_id AS BIGINT) AS well_id,
-       initcap(trim(maint_type)) AS maint_type, equipment, priority, initcap(trim(status)) AS status, description,
-       try_to_date(opened_on, 'yyyy-MM-dd') AS opened_on, try_to_date(closed_on, 'yyyy-MM-dd') AS closed_on,
-       try_cast(est_cost AS DOUBLE) AS est_cost, try_cast(actual_cost AS DOUBLE) AS actual_cost,
-       cost_center, crew
-FROM {raw}
+from wellops.plans.columns_of import select_list
+from wellops.plans.rules import MAX_BSW_PCT, OUTLIER_OIL_BBL, order_rules, production_rules, well_rules
+
+WELLS = f"SELECT {select_list(schemas.WELLS, schemas.WELL_COLUMNS)} FROM {{raw}}"
+ORDERS = f"SELECT {select_list(schemas.ORDERS, schemas.ORDER_COLUMNS)} FROM {{raw}}"
+_FLAGS = {"is_outlier": f"oil_bbl > {OUTLIER_OIL_BBL}", "is_high_bsw": f"bsw_pct > {MAX_BSW_PCT}"}
+_DERIVED = [f"coalesce({test}, false) AS {name}" for name, test in _FLAGS.items()] + [
+    f"{part}(prod_date) AS {part}" for part in ("year", "month", "day")]
+PRODUCTION = f"""
+WITH typed AS (SELECT {select_list(schemas.PRODUCTION, schemas.PRODUCTION_COLUMNS)} FROM {{raw}})
+SELECT *, {", ".join(_DERIVED)} FROM typed
 """
 
 

@@ -1,4 +1,4 @@
-"""Column types of the three landing sources and the order of the validated columns.
+"""Column types of the three landing sources and the order of the validated columns.
 
 Keys are 64-bit: 32-bit keys overflow long before 100 TB of readings. Dates travel as
 ``yyyy-MM-dd`` text until the validated layer.

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -39,12 +38,8 @@ def build_session(app_name: str = "wellops", master: str | None = None,
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder for one run, below the folder the cluster names in ``spark.checkpoint.dir``.
 
-    Without that setting a local session gets a temporary folder; on a cluster a folder of one
-    machine would be invisible to the others, so there the setting is required.
+    Where that is unset it is below the warehouse, which a cluster shares as well. Folders are named after the
+    run and never removed here: their owner decides when a result is no longer read.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-        base = tempfile.mkdtemp(prefix="wellops-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/wellops/{purpose}-{uuid.uuid4().hex}"

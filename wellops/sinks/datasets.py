@@ -55,8 +55,8 @@ def publish(spark: SparkSession, layout: Layout, name: str, df: DataFrame, comme
 
     ``metrics`` is an observation already attached to ``df``; without one the rows written are
     counted while they pass. The observation sits in the last stage of the job, where the result of
-    a lost task is counted once. With ``partition_by`` the rows are spread so that one value may
-    take many tasks and small values share one.
+    a lost task is counted once. With ``partition_by`` each value is a folder; gather its rows before
+    (see ``silver.production``), or every task writes a file for every value it holds.
     """
     version = latest(spark, layout, name)[0] + 1
     path = layout.dataset(name, version)

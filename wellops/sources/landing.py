@@ -15,27 +15,29 @@ from pyspark.sql import types as T
 from wellops.sinks.layout import Layout, save_schema, saved_schema
 
 
+# What a row holds beyond its columns: a JSON object of names and texts. A line that is no row is under LINE.
+RESCUED, LINE = "rescued", "_line"
 _WIDTH = {"int": 0, "bigint": 1, "double": 2}
 
 
-def infer_schema(spark: SparkSession, path: str, fmt: str, known: Collection[str] = (),
-                 max_files: int = 1000) -> T.StructType:
-    """Schema of the files landed so far.
+def infer_schema(spark: SparkSession, path: str, fmt: str, known: Collection[str] = ()) -> T.StructType:
+    """Schema of all files landed so far, from one distributed pass over them.
 
     ``known`` columns are read as text, to be cast to the type they are known to have; text takes
-    every value a later file may bring. Only the others are inferred, from at most ``max_files``
-    files. A CSV source whose header holds known columns only is not read beyond that header.
+    every value a later file may bring. Only the others are inferred. CSV columns come from the
+    header of one file, and a source whose header holds known columns only is not read beyond it; a
+    file with another header stops the scan later (see ``scan``).
     """
     if fmt == "csv":
-        columns = spark.read.option("header", True).csv(path).columns
+        reader = spark.read.option("header", True)
+        columns = reader.csv(path).columns
         if all(c in known for c in columns):
             return T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    files = spark.read.text(path).inputFiles()
-    sample = sorted(files)[:max_files] if len(files) > max_files else path
-    reader = spark.read.option("header", True).option("inferSchema", True) if fmt == "csv" else spark.read
-    inferred = reader.csv(sample) if fmt == "csv" else reader.json(sample)
+        inferred = reader.option("inferSchema", True).csv(path)
+    else:
+        inferred = spark.read.option("columnNameOfCorruptRecord", LINE).json(path)
     return T.StructType([T.StructField(f.name, T.StringType() if f.name in known else f.dataType)
-                         for f in inferred.schema])
+                         for f in inferred.schema if f.name not in (RESCUED, LINE)])
 
 
 def remembered_schema(spark: SparkSession, layout: Layout, source: str, fmt: str,
@@ -75,15 +77,51 @@ def with_audit(df: DataFrame) -> DataFrame:
     return df.select("*", F.current_timestamp().alias("ingested_at"), F.col("_metadata.file_name").alias("source_file"))
 
 
+def unknown_json_columns(spark: SparkSession, layout: Layout, source: str, known: Collection[str] = ()) -> list[str]:
+    """Columns in the landed files that the saved schema of a JSON source lacks."""
+    kept = {f.name for f in remembered_schema(spark, layout, source, "json", known)}
+    return [f.name for f in infer_schema(spark, layout.landing(source), "json") if f.name not in kept]
+
+
+def _json_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """JSON lines as columns; what the columns do not hold stays in ``RESCUED``.
+
+    That is the fields that are not in ``schema``, values that are not of the type there, or the whole
+    line under ``_line`` if it is no JSON object. Null where nothing was left over.
+    """
+    fields = F.from_json("value", "map<string,string>")
+    known, row = [f.name for f in schema], F.from_json("value", schema)
+    typed = [f.name for f in schema if f.dataType != T.StringType()]
+
+    def left_over(name, text):
+        out = ~name.isin(*known)
+        for c in typed:
+            out = out | ((name == c) & row[c].isNull() & text.isNotNull())
+        return out
+
+    extra = F.map_filter(fields, left_over)
+    broken = (F.trim("value") != "") & (fields.isNull() | ~F.trim("value").startswith("{"))
+    rescued = F.when(broken, F.create_map(F.lit(LINE), F.col("value"))).when(F.size(extra) > 0, extra)
+    return lines.filter(F.trim("value") != "").select(
+        row.alias("_row"), F.to_json(rescued).alias(RESCUED), "_metadata").select("_row.*", RESCUED, "_metadata")
+
+
 def scan(spark: SparkSession, path: str, fmt: str, schema: T.StructType, stream: bool = True,
          options: dict[str, str] | None = None) -> DataFrame:
     """Scan of one landing folder. As a stream it takes each file once.
 
     ``options`` pass through, for example ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` to bound
-    a micro-batch. A CSV header that differs from the schema stops the run.
+    a micro-batch. A CSV header that differs from the schema stops the run. The column ``rescued``
+    keeps what does not fit: unknown fields and broken lines of JSON, CSV lines with too many or
+    too few values.
     """
-    reader = spark.readStream if stream else spark.read
-    reader = reader.schema(schema).options(**(options or {}))
+    reader = (spark.readStream if stream else spark.read).options(**(options or {}))
     if fmt == "csv":
-        return with_audit(reader.option("header", True).option("enforceSchema", False).csv(path))
-    return with_audit(reader.json(path))
+        kept = T.StructType([*schema, T.StructField(LINE, T.StringType())])
+        rows = (reader.schema(kept).option("header", True).option("enforceSchema", False)
+                .option("columnNameOfCorruptRecord", LINE).csv(path).select("*", "_metadata"))
+        rescued = F.when(F.col(LINE).isNotNull(), F.create_map(F.lit(LINE), F.col(LINE)))
+        rows = rows.withColumn(RESCUED, F.to_json(rescued)).drop(LINE)
+    else:
+        rows = _json_lines(reader.text(path).select("value", "_metadata"), schema)
+    return with_audit(rows).drop("_metadata")

@@ -8,8 +8,8 @@ each query and go to the run history, one version per micro-batch.
 
 from __future__ import annotations
 
-import warnings
-from collections.abc import Sequence
+import time
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,11 +17,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wellops.operators.quality import Rule
 from wellops.plans import bronze, silver
-from wellops.plans.pipeline import COMMENTS
+from wellops.plans.pipeline import COMMENTS, refresh_gold
 from wellops.sinks import datasets
 from wellops.sinks.layout import Layout, save_schema, saved_schema
 
 METRICS = "dq"
+_REPORTED: dict[str, int] = {}
 BRONZE = ("bronze_wells", "bronze_production", "bronze_orders")
 SILVER = ("silver_wells", "silver_production", "silver_orders")
 
@@ -76,18 +77,27 @@ def start(spark: SparkSession, layout: Layout, name: str, interval: str | None =
 
 
 def record(spark: SparkSession, layout: Layout, name: str, query: StreamingQuery) -> None:
-    """Add the micro-batches finished since the last call to the run history."""
+    """Add the micro-batches finished since the last call to the run history.
+
+    Metrics come from the reports that a query keeps, a bounded number of them. If some are gone before
+    they were recorded, this is an error: call it more often, or keep more reports.
+    """
     last, _, _ = datasets.latest(spark, layout, name)
-    rows, before = [], None
+    # The last report taken of this run; a ring of reports that has turned since then has lost some.
+    rows, before = [], _REPORTED.get(str(query.runId))
     for progress in query.recentProgress:
         batch, seen = progress["batchId"], (progress["observedMetrics"] or {}).get(METRICS)
+        if before is not None and batch <= before:
+            continue
         if before is not None and batch > before + 1:
-            warnings.warn(f"{name}: reports of micro-batches {before + 1} to {batch - 1} are gone", stacklevel=2)
+            raise RuntimeError(f"{name}: reports of micro-batches {before + 1} to {batch - 1} are gone")
         before = batch
         if batch > last and seen and seen["rows"]:
             rows.append((name, batch, "STREAMING UPDATE", seen.asDict(), layout.stream(name), COMMENTS[name]))
             last = batch
     datasets.append_history(spark, layout, rows)
+    if before is not None:
+        _REPORTED[str(query.runId)] = before
 
 
 def run_available(spark: SparkSession, layout: Layout, names: Sequence[str] = BRONZE + SILVER, **settings) -> None:
@@ -99,9 +109,35 @@ def run_available(spark: SparkSession, layout: Layout, names: Sequence[str] = BR
 
 
 def start_all(spark: SparkSession, layout: Layout, interval: str = "30 seconds", **settings) -> list[StreamingQuery]:
-    """Always-on service: first catch up, then keep all six tables running.
-
-    The caller refreshes the aggregates and calls ``record`` at its own pace.
-    """
+    """First catch up, then keep all six tables running. ``serve`` does the rest as well."""
     run_available(spark, layout, **settings)
     return [start(spark, layout, name, interval, **settings) for name in BRONZE + SILVER]
+
+
+def serve(spark: SparkSession, layout: Layout, interval: str = "30 seconds", record_every: float = 60.0,
+          refresh_every: float = 900.0, stop: Callable[[], bool] = lambda: False, **settings) -> None:
+    """Always-on service: tables running, metrics recorded, aggregates refreshed, until ``stop`` says so.
+
+    A stream that fails, or metrics that are lost, end the service with an error; the streams are
+    stopped in any case and go on from their checkpoints at the next start.
+    """
+    running = dict(zip(BRONZE + SILVER, start_all(spark, layout, interval, **settings)))
+    refreshed = float("-inf")
+    try:
+        while True:
+            ending = stop()
+            for name, query in running.items():
+                if ending:
+                    query.processAllAvailable()
+                record(spark, layout, name, query)
+                if (failure := query.exception()) is not None:
+                    raise failure
+            if ending or time.monotonic() - refreshed >= refresh_every:
+                refresh_gold(spark, layout)
+                refreshed = time.monotonic()
+            if ending:
+                return
+            time.sleep(record_every)
+    finally:
+        for query in running.values():
+            query.stop()
