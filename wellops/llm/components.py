@@ -27,16 +27,25 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return tied.union(least.select("u", F.col("m").alias("v")))
 
 
+def joined(links: DataFrame) -> DataFrame:
+    """One round: links (u, v) of the same connectivity, each from a node to a smaller one of its component.
+
+    Each half is a minimum per node and a join, both of which split a node with many links over tasks.
+    """
+    return _small_star(_large_star(links)).distinct()
+
+
 def components(links: DataFrame, folder: str, name: str) -> DataFrame:
     """(node, component) for every node of ``links`` (u, v); the component is its smallest node.
 
-    Each step is a minimum per node and a join, both of which split a node with many links over tasks,
-    and each round is written to ``folder``. The number of rounds grows with the logarithm of the longest chain.
+    Each round is written to ``folder``. Their number grows with the logarithm of the longest chain.
     """
-    edges = stored(links.filter("u <> v").distinct(), folder, f"{name}-0")
-    before, step = None, 0
-    while (now := _signature(edges)) != before:
-        before, step = now, step + 1
-        edges = stored(_small_star(_large_star(edges).distinct()).distinct(), folder, f"{name}-{step}")
+    edges, seen, step = links.filter("u <> v"), None, 0
+    while True:
+        step += 1
+        edges = stored(joined(edges), folder, f"{name}-{step}")
+        if (now := _signature(edges)) == seen:
+            break
+        seen = now
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         edges.select("v", "v").distinct())

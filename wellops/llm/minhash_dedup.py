@@ -1,18 +1,20 @@
 """Near-duplicate texts by MinHash with tensored banding.
 
 A table key of ordinary banding takes its own ``rows`` hashes, so 256 tables of 10 rows cost 2,560 hashes.
-Here a text has three small collections A, B and C of ``keys`` half-keys with ``rows`` hashes each; table
-(i, j) has the key (A_i, B_j). 16 + 16 half-keys of 5 hashes, 160 in all, give the same 256 tables. Two
-texts meet in a table if they agree in some half-key of A and in some of B: at similarity 0.85 one of 16
-half-keys agrees with probability 0.99992, so 0.02 % of such pairs are missed, of pairs at 0.9 practically none.
+Here a text has two small collections A and B of ``keys`` half-keys with ``rows`` hashes each; table (i, j)
+has the key (A_i, B_j). 16 + 16 half-keys of 5 hashes, 160 in all, give the same 256 tables. Two texts meet
+in a table if they agree in some half-key of A and in some of B: at similarity 0.85 one of 16 half-keys
+agrees with probability 0.99992, so 0.02 % of such pairs are missed, of pairs at 0.9 practically none.
 
 1. One pass over the texts: shingle sets, their sizes, fingerprints and half-keys. Equal sets are one class.
 2. Half-keys that only one class has are dropped before any two are combined, which loses no pair.
 3. In each table group the class that shares most half-keys is the hub, and all others are verified
    against it: one pair per member, not all pairs of a group.
 4. Where the verified links leave a group in several components, its members are compared across the
-   components, if they agree in a half-key of C as well (which parts large groups of merely similar texts)
-   and their sizes allow the similarity. So no link of a group is lost to the choice of the hub.
+   components by longer sketches (1,024 hashes of these texts alone), in blocks of bounded size, each pair in the
+   first group it shares. First each member is verified against its nearest one of another component only,
+   which joins most; then all pairs that are still apart and may be similar enough. So no link of a group
+   is lost to the choice of the hub, and no group is expanded into pairs.
 
 Links are confirmed on the full sets of shingles, not on sketches.
 """
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wellops.llm.common import scratch, ship, stored, table, utf8
-from wellops.llm.components import components
+from wellops.llm.components import components, joined
 from wellops.llm.words import BLANKS, Hasher, mix
 
 _BATCH_BYTES = 2 << 20
@@ -45,6 +47,14 @@ class Settings:
     keys: int = 16
     rows: int = 5
     seed: int = 11
+    block: int = 1024
+    long_sketch: int = 1024
+
+    @property
+    def least_equal(self) -> int:
+        """Equal hashes that a pair at the limit has but for a chance of 1 in 10,000 (3.7 deviations)."""
+        total, p = self.long_sketch, self.percent / 100
+        return int(total * p - 3.7 * (total * p * (1 - p)) ** 0.5)
 
 
 def shingle_sets(hasher: Hasher, texts: list[bytes], width: int) -> list[np.ndarray]:
@@ -65,10 +75,9 @@ def shingle_sets(hasher: Hasher, texts: list[bytes], width: int) -> list[np.ndar
     return sets
 
 
-def _half_keys(sets: list[np.ndarray], how: Settings) -> np.ndarray:
-    """(texts, 3 * keys) half-keys; ``sets`` must not be empty sets."""
-    rng = np.random.default_rng(how.seed)
-    total = 3 * how.keys * how.rows
+def _least_hashes(sets: list[np.ndarray], total: int, seed: int) -> np.ndarray:
+    """(total, texts): of each hash function its least value over each set; no set may be empty."""
+    rng = np.random.default_rng(seed)
     turn = rng.integers(0, 2**32, total, dtype=np.uint32) | np.uint32(1)
     shift = rng.integers(0, 2**32, total, dtype=np.uint32)
     sizes = np.array([len(s) for s in sets])
@@ -85,16 +94,22 @@ def _half_keys(sets: list[np.ndarray], how: Settings) -> np.ndarray:
             out += shift[k]
             lows = np.minimum.reduceat(out, first)
             least[k, names] = np.minimum(least[k, names], lows)
-    keys = np.zeros((3 * how.keys, len(sets)), np.uint64)
-    grouped = least.reshape(3 * how.keys, how.rows, len(sets)).astype(np.uint64)
-    keys += np.arange(3 * how.keys, dtype=np.uint64)[:, None] * _TURN[2]
+    return least
+
+
+def _half_keys(sets: list[np.ndarray], how: Settings) -> np.ndarray:
+    """Half-keys (texts, 2 * keys)."""
+    keys = np.zeros((2 * how.keys, len(sets)), np.uint64)
+    grouped = _least_hashes(sets, 2 * how.keys * how.rows, how.seed).reshape(2 * how.keys, how.rows, len(sets)).astype(np.uint64)
+    keys += np.arange(2 * how.keys, dtype=np.uint64)[:, None] * _TURN[2]
     for r in range(how.rows):
         keys = mix(keys * _TURN[3] + grouped[:, r])
-    return keys.T
+    return np.ascontiguousarray(keys.T)
 
 
 def _sketches(docs: DataFrame, how: Settings) -> DataFrame:
-    """doc_id, n_shingles, cls (16-byte fingerprint of the set, null without words), half (the half-keys)."""
+    """doc_id, text_hash, n_shingles, cls (16-byte fingerprint of the set, null without words), half
+    (the half-keys) and mark (half of the bits of each half-key)."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(BLANKS)
@@ -105,16 +120,19 @@ def _sketches(docs: DataFrame, how: Settings) -> DataFrame:
                 sets = shingle_sets(hasher, utf8(part.column("text")), how.shingle)
                 full = [k for k, s in enumerate(sets) if len(s)]
                 halves: list = [None] * len(sets)
+                marks: list = [None] * len(sets)
                 if full:
-                    for k, row in zip(full, _half_keys([sets[k] for k in full], how).view(np.int64)):
-                        halves[k] = row
+                    keys = _half_keys([sets[k] for k in full], how)
+                    for k, row, mark in zip(full, keys.view(np.int64), (keys >> np.uint64(32)).astype("<u4")):
+                        halves[k], marks[k] = row, mark.tobytes()
                 prints = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(prints, pa.binary()),
-                     pa.array(halves, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "cls", "half"])
+                    [part.column("doc_id"), part.column("text_hash"), pa.array([len(s) for s in sets], pa.int64()), pa.array(prints, pa.binary()),
+                     pa.array(halves, pa.list_(pa.int64())), pa.array(marks, pa.binary())],
+                    names=["doc_id", "text_hash", "n_shingles", "cls", "half", "mark"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        sketch, "doc_id long, n_shingles long, cls binary, half array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
+        sketch, "doc_id long, text_hash long, n_shingles long, cls binary, half array<long>, mark binary")
 
 
 def _similar(x: bytes, y: bytes, seen: dict[bytes, set], how: Settings) -> bool:
@@ -146,7 +164,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, how: Settings) -> DataFrame:
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, how: Settings) -> DataFrame:
-    """(cls, text) of the classes ``wanted`` (cls, first_id): the text of the first document of each."""
+    """(cls, text, sig) of the classes ``wanted`` (cls, first_id): the text of the first document of each, and
+    one byte of each hash of its long sketch.
+    """
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(BLANKS)
@@ -154,14 +174,92 @@ def _texts(docs: DataFrame, wanted: DataFrame, how: Settings) -> DataFrame:
             for k in range(batch.num_rows):  # one text at a time: the same fingerprint as in the sketch
                 row = batch.slice(k, 1)
                 own = shingle_sets(hasher, utf8(row.column("text")), how.shingle)[0]
+                sig = _least_hashes([own], how.long_sketch, how.seed + 1) if len(own) else np.zeros(0)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([xxhash.xxh3_128_digest(own.tobytes())], pa.binary()), row.column("text")],
-                    names=["cls", "text"])
+                    [pa.array([xxhash.xxh3_128_digest(own.tobytes())], pa.binary()), row.column("text"),
+                     pa.array([(sig.ravel() & 255).astype(np.uint8).tobytes() if len(own) else b""], pa.binary())],
+                    names=["cls", "text", "sig"])
 
     ids = wanted.select(F.col("first_id").alias("doc_id")).distinct()
     found = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").select("text").mapInArrow(
-        name, "cls binary, text string")
-    return found.join(wanted.select("cls"), "cls", "left_semi").groupBy("cls").agg(F.min("text").alias("text"))
+        name, "cls binary, text string, sig binary")
+    return found.join(wanted.select("cls"), "cls", "left_semi").groupBy("cls").agg(
+        F.min("text").alias("text"), F.first("sig").alias("sig"))
+
+
+def _apart(group: dict[str, list], nearest: bool, how: Settings) -> set[tuple[bytes, bytes]]:
+    """Pairs of a group that are in different components and may be similar enough; see step 4."""
+    _, component = np.unique(np.array(group["component"], object), return_inverse=True)
+    if component.max() == 0:
+        return set()
+    mark = np.frombuffer(b"".join(group["mark"]), "<u4").reshape(len(component), -1).T
+    n, block = np.array(group["n"]), np.array(group["block"])
+    fits = (component[:, None] != component) & (
+        100 * np.minimum(n[:, None], n) >= how.percent * np.maximum(n[:, None], n))
+    if block.min() != block.max():
+        fits &= block[:, None] != block
+    # A pair belongs to the first group it shares: no earlier half-key is equal on either side.
+    for earlier in (mark[:group["i"][0]], mark[how.keys:how.keys + group["j"][0]]):
+        for half in earlier:
+            fits &= half[:, None] != half
+    x, y = np.nonzero(np.triu(fits))
+    sig = np.frombuffer(b"".join(group["sig"]), np.uint8).reshape(len(component), -1)
+    equal = np.concatenate([np.zeros(0, int), *[(sig[x[k:k + 4096]] == sig[y[k:k + 4096]]).sum(axis=1)
+                                                for k in range(0, len(x), 4096)]])
+    near = equal >= how.least_equal
+    x, y, equal = x[near], y[near], equal[near]
+    if nearest:
+        # The best pair of each member outside the largest component.
+        order = np.argsort(-equal, kind="stable")
+        x, y = x[order], y[order]
+        member, other = np.concatenate([x, y]), np.concatenate([y, x])
+        rank = np.concatenate([np.arange(len(x))] * 2)
+        keep = component[member] != np.bincount(component).argmax()
+        member, other, rank = member[keep], other[keep], rank[keep]
+        order = np.lexsort((rank, member))
+        first = np.flatnonzero(np.diff(member[order], prepend=-1))
+        x, y = member[order][first], other[order][first]
+    cls = group["cls"]
+    return {(min(cls[i], cls[j]), max(cls[i], cls[j])) for i, j in zip(x.tolist(), y.tolist())}
+
+
+def _candidates(rest: DataFrame, nearest: bool, how: Settings) -> DataFrame:
+    """Distinct pairs (u, v) of members of the groups in ``rest`` whose components differ."""
+    columns = ["cell", "i", "j", "low", "high", "block", "cls", "n", "component", "mark", "sig"]
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: dict[str, list] = {c: [] for c in columns}
+        found: set[tuple[bytes, bytes]] = set()
+        name = None
+
+        def flush() -> pa.RecordBatch:
+            rows = sorted(found)
+            found.clear()
+            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.binary()) for k in (0, 1)], names=["u", "v"])
+
+        for batch in batches:
+            values = {c: batch.column(c).to_pylist() for c in columns}
+            for k, key in enumerate(zip(values["cell"], values["i"], values["j"], values["low"], values["high"])):
+                if key != name:
+                    if len(group["cls"]) > 1:
+                        found |= _apart(group, nearest, how)
+                    group, name = {c: [] for c in columns}, key
+                for c in columns:
+                    group[c].append(values[c][k])
+            if len(found) > 100_000:
+                yield flush()
+        if len(group["cls"]) > 1:
+            found |= _apart(group, nearest, how)
+        yield flush()
+
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("size") / how.block)).cast("int")
+    own = F.pmod(F.xxhash64("cls"), blocks).cast("int")
+    # Each member meets the members of every block of its group once; groups of one block are not repeated.
+    dealt = rest.withColumns({"block": own, "other": F.explode(F.sequence(F.lit(0), blocks - 1))}).withColumns(
+        {"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+    key = ["cell", "i", "j", "low", "high"]
+    return dealt.select(*columns).repartition(*key).sortWithinPartitions(*key).mapInArrow(
+        pairs, "u binary, v binary").distinct()
 
 
 def near_duplicates(docs: DataFrame, how: Settings | None = None, folder: str | None = None) -> DataFrame:
@@ -171,64 +269,70 @@ def near_duplicates(docs: DataFrame, how: Settings | None = None, folder: str |
     rows of their own and are returned each. A row without an id gets no component (null) and is not kept,
     but counts as text that links others. Other columns are ignored. An empty table gives an empty result.
     """
+    return _judged(docs, how, folder).drop("text_hash")
+
+
+def _judged(docs: DataFrame, how: Settings | None, folder: str | None) -> DataFrame:
+    """As ``near_duplicates``, with a hash of the text to tell rows of one id apart."""
     spark, how = docs.sparkSession, how or Settings()
     ship(spark)
     folder = folder or scratch(spark, "minhash_dedup")
     rows = stored(_sketches(docs, how), folder, "sketches")
     classes = stored(rows.filter("cls is not null").groupBy("cls").agg(
-        F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"), F.first("half").alias("half")),
-        folder, "classes")
+        F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"), F.first("half").alias("half"),
+        F.first("mark").alias("mark")), folder, "classes")
 
-    # Half-keys of A and B that several classes have; a class needs one of each to meet anything.
-    ab = classes.select("cls", "n", F.explode(F.slice("half", 1, 2 * how.keys)).alias("key"))
-    shared = ab.groupBy("key").agg(F.count(F.lit(1)).alias("holders")).filter("holders > 1")
-    held = ab.join(shared, "key")
+    # Half-keys that several classes have; a class needs one of A and one of B to meet anything.
+    keys = classes.select("cls", F.explode("half").alias("key"))
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("holders")).filter("holders > 1")
+    held = keys.join(shared, "key").groupBy("cls").agg(F.collect_list("key").alias("keys"), F.sum("holders").alias("popular"))
     met = stored(
-        held.groupBy("cls").agg(F.collect_list("key").alias("keys"), F.sum("holders").alias("popular"))
-        .join(classes, "cls")
-        .select("cls", "first_id", "n", "popular",
-                F.array_intersect(F.slice("half", 1, how.keys), "keys").alias("a"),
-                F.array_intersect(F.slice("half", how.keys + 1, how.keys), "keys").alias("b"),
-                F.slice("half", 2 * how.keys + 1, how.keys).alias("c"))
+        held.join(classes, "cls").select(
+            "cls", "first_id", "n", "popular", "mark", "half",
+            F.array_intersect(F.slice("half", 1, how.keys), "keys").alias("a"),
+            F.array_intersect(F.slice("half", how.keys + 1, how.keys), "keys").alias("b"))
         .filter((F.size("a") > 0) & (F.size("b") > 0)), folder, "met")
 
-    cells = met.select("cls", "n", "popular", "b", F.explode("a").alias("a")).select(
-        "cls", "n", "popular", "a", F.explode("b").alias("b")).withColumn("cell", F.xxhash64("a", "b"))
+    # Table (i, j) of each pair of half-keys, and its group.
+    i = (F.array_position("half", F.col("a")) - 1).cast("int")
+    j = (F.array_position("half", F.col("b")) - 1 - how.keys).cast("int")
+    cells = met.select("cls", "n", "popular", "half", "b", F.explode("a").alias("a")).select(
+        "cls", "n", "popular", "half", F.explode("b").alias("b"), "a").select(
+        "cls", "n", "popular", i.alias("i"), j.alias("j"), F.xxhash64("a", "b").alias("cell"))
     hubs = cells.groupBy("cell").agg(F.max(F.struct("popular", "cls", "n")).alias("hub"), F.count(F.lit(1)).alias("size"))
-    hubs = hubs.filter("size > 1").select("cell", F.col("hub.cls").alias("hub"), F.col("hub.n").alias("hub_n"))
-    groups = stored(cells.select("cell", "cls", "n").join(hubs, "cell"), folder, "groups")
+    hubs = hubs.filter("size > 1").select("cell", "size", F.col("hub.cls").alias("hub"), F.col("hub.n").alias("hub_n"))
+    groups = stored(cells.select("cell", "i", "j", "cls", "n").join(hubs, "cell"), folder, "groups")
     fits = f"100 * least(n, hub_n) >= {how.percent} * greatest(n, hub_n)"
-    pairs = groups.filter("cls <> hub").filter(fits).select(F.col("cls").alias("u"), F.col("hub").alias("v")).distinct()
+    pairs = groups.filter("cls <> hub").filter(fits).select(
+        F.least("cls", "hub").alias("u"), F.greatest("cls", "hub").alias("v")).distinct()
+    pairs = stored(pairs, folder, "pairs-0")
 
     wanted = groups.select("cls").distinct().join(met.select("cls", "first_id"), "cls")
     texts = stored(_texts(docs, stored(wanted, folder, "wanted"), how), folder, "texts")
-    links = stored(_verified(pairs, texts, how), folder, "links")
-    first = components(links, folder, "stars")
-
-    # Groups that the hub did not join: members of different components, once more apart by C.
-    placed = groups.select("cell", "cls", "n").join(first.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
-        "component", F.coalesce("component", "cls"))
-    open_cells = placed.groupBy("cell").agg((F.min("component") < F.max("component")).alias("open")).filter("open")
-    rest = placed.join(open_cells.select("cell"), "cell", "left_semi").join(met.select("cls", "c"), "cls")
-    rest = stored(rest.select("cls", "n", "component", "cell", F.explode("c").alias("c")).select(
-        F.xxhash64("cell", "c").alias("cell"), "cls", "n", "component"), folder, "rest")
-    other = rest.select("cell", *[F.col(c).alias(f"{c}_2") for c in ("cls", "n", "component")])
-    across = rest.join(other, "cell").filter(
-        (F.col("cls") < F.col("cls_2")) & (F.col("component") != F.col("component_2"))
-        & F.expr(f"100 * least(n, n_2) >= {how.percent} * greatest(n, n_2)"))
-    more = across.select(F.col("cls").alias("u"), F.col("cls_2").alias("v")).distinct()
-    more = more.join(pairs.select("u", "v").union(pairs.select("v", "u")), ["u", "v"], "left_anti")
-    more = stored(_verified(more, texts, how), folder, "more_links")
-    final = components(links.union(more), folder, "components")
+    links = stored(_verified(pairs, texts, how), folder, "links-0")
+    # Groups of three or more that the hub did not join: the nearest across the components, then all pairs. For
+    # that it is enough to know most of what is connected, so one round of joining links does.
+    members = groups.filter("size > 2").select("cell", "i", "j", "size", "cls", "n")
+    for step, nearest in enumerate((True, False), 1):
+        links = stored(joined(links), folder, f"joined-{step}")
+        part_of = links.groupBy(F.col("u").alias("cls")).agg(F.min("v").alias("component"))
+        placed = members.join(part_of, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+        open_cells = placed.groupBy("cell").agg((F.min("component") < F.max("component")).alias("open")).filter("open")
+        rest = placed.join(open_cells.select("cell"), "cell", "left_semi").join(met.select("cls", "mark"), "cls").join(
+            texts.select("cls", "sig"), "cls")
+        new = stored(_candidates(rest, nearest, how).join(pairs, ["u", "v"], "left_anti"), folder, f"pairs-{step}")
+        more = stored(_verified(new, texts, how), folder, f"links-{step}")
+        pairs, links = pairs.union(new), links.union(more)
+    final = components(links, folder, "components")
 
     labelled = classes.select("cls", "first_id").join(final.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "component", F.coalesce("component", "cls"))
     labelled = stored(labelled, folder, "labelled")
     smallest = labelled.groupBy("component").agg(F.min("first_id").alias("component_id"))
     by_class = labelled.join(smallest, "component").select("cls", "component_id")
-    answer = rows.select("doc_id", "n_shingles", "cls").join(by_class, "cls", "left")
+    answer = rows.select("doc_id", "text_hash", "n_shingles", "cls").join(by_class, "cls", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return answer.select("doc_id", "n_shingles", component.alias("component_id"),
+    return answer.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"),
                          F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
 
 
@@ -237,11 +341,9 @@ def deduplicated(docs: DataFrame, how: Settings | None = None) -> DataFrame:
 
     Rows that repeat both id and text stay once. Rows without an id go: they cannot be named.
     """
-    kept = near_duplicates(docs, how).filter("kept").select("doc_id", "n_shingles").distinct()
-    columns = docs.columns
-    rows = docs.withColumn("_row", F.struct(*columns)).select("doc_id", "text", "_row")
-    once = rows.join(kept.select("doc_id").distinct(), "doc_id", "left_semi").groupBy(
-        "doc_id", F.xxhash64("text").alias("_text")).agg(F.first("_row").alias("_row"))
+    kept = _judged(docs, how, None).filter("kept").select("doc_id", "text_hash")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.struct(*docs.columns).alias("_row"))
+    once = rows.join(kept, ["doc_id", "text_hash"], "left_semi").groupBy("doc_id", "text_hash").agg(F.first("_row").alias("_row"))
     return once.select("_row.*")
 
 
