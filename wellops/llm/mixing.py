@@ -28,6 +28,7 @@ MAX_USES = 3
 MAX_PATTERNS = 100_000
 SEED = 17
 _BIN_BITS = 16
+_FILLS = 3
 
 # A source without a name is "", any other one "=" and its name.
 Pattern = tuple[str, ...]
@@ -166,8 +167,8 @@ def _parsed(pattern: str) -> Pattern:
 
 
 def _level() -> Column:
-    return F.when(F.col("_size") * 50 > F.col("more"),
-                  F.ceil(F.log2(F.col("_size") * 50 / F.col("more")))).otherwise(0).cast("long")
+    times = F.try_divide(F.col("_size") * 50, F.col("more"))  # null where nothing is selected
+    return F.when(times > 1, F.ceil(F.log2(times))).otherwise(0).cast("long")
 
 
 def _place() -> Column:
@@ -208,14 +209,16 @@ def plan(sizes: DataFrame, weights: dict[str, float] | None = None, total: float
         flow = sum(flows[pattern].values())
         uses = min(max_uses, flow // n) if n else 1
         shares.append(("\x00".join(pattern), int(uses), int(flow - uses * n) if n and uses < max_uses else 0))
-    share = spark.createDataFrame(shares, "_pattern string, uses long, more long")
+    # Tables of one row per pattern, at most max_patterns, are broadcast: a join by pattern would deal a
+    # third of all documents to one task.
+    share = F.broadcast(spark.createDataFrame(shares, "_pattern string, uses long, more long"))
     bin_ = _level() * 2**_BIN_BITS + F.shiftrightunsigned("_hash", 64 - _BIN_BITS)
     binned = sizes.join(share.filter("more > 0").select("_pattern", "more"), "_pattern").withColumn("bin", bin_)
     upto = Window.partitionBy("_pattern").orderBy("bin")
     last = binned.groupBy("_pattern", "more", "bin").agg(F.sum("_size").alias("words")).withColumn(
         "before", F.sum("words").over(upto) - F.col("words")).filter("more > before and more <= before + words")
     # The documents of the bin where the selection ends, a 65,536th part of the pattern on average.
-    inside = binned.join(last.select("_pattern", "bin", "before"), ["_pattern", "bin"]).withColumn("place", _place())
+    inside = binned.join(F.broadcast(last.select("_pattern", "bin", "before")), ["_pattern", "bin"]).withColumn("place", _place())
     along = Window.partitionBy("_pattern").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
     reached = inside.withColumn("reached", F.col("before") + F.sum("_size").over(along))
     within = F.col("reached") <= F.col("more")
@@ -227,23 +230,30 @@ def plan(sizes: DataFrame, weights: dict[str, float] | None = None, total: float
                      F.lit(-2**63).alias("id"))
     ends = ends.select("_pattern", "more", F.coalesce("end", begin).alias("end"),
                        (F.col("more") - F.coalesce("got", "before")).alias("gap"))
-    # One more document, of those not selected the one nearest to what is missing.
+    ends = ends.withColumn("fills", F.array().cast(f"array<{ends.schema['end'].dataType.simpleString()}>"))
+    ends = F.broadcast(spark.createDataFrame(ends.collect(), ends.schema))
+    # A few more documents, of those not selected each time the one nearest to what is missing.
     miss = F.abs(F.col("_size") - F.col("gap"))
-    fill = sizes.join(ends, "_pattern").withColumn("place", _place()).filter(
-        (F.col("place") > F.col("end")) & (miss < F.col("gap"))).groupBy("_pattern").agg(
-        F.min(F.struct(miss.alias("miss"), "place")).alias("fill"))
-    takes = share.join(ends.select("_pattern", "end"), "_pattern", "left").join(fill, "_pattern", "left").select(
-        "_pattern", "uses", "more", "end", F.col("fill.place").alias("fill"))
-    takes = spark.createDataFrame(takes.collect(), takes.schema)  # one row per pattern
+    for _ in range(_FILLS):
+        fill = sizes.join(ends, "_pattern").withColumn("place", _place()).filter(
+            (F.col("place") > F.col("end")) & ~F.array_contains("fills", F.col("place")) & (miss < F.col("gap"))).groupBy(
+            "_pattern").agg(F.min(F.struct(miss.alias("miss"), "place", "_size")).alias("fill"))
+        ends = ends.join(fill, "_pattern", "left").select(
+            "_pattern", "more", "end", (F.col("gap") - F.coalesce("fill._size", F.lit(0))).alias("gap"),
+            F.when(F.col("fill").isNull(), F.col("fills")).otherwise(F.concat("fills", F.array("fill.place"))).alias("fills"))
+        ends = F.broadcast(spark.createDataFrame(ends.collect(), ends.schema))
+    takes = share.join(ends.select("_pattern", "end", "fills"), "_pattern", "left").select(
+        "_pattern", "uses", "more", "end", "fills")
+    takes = F.broadcast(spark.createDataFrame(takes.collect(), takes.schema))
     return Plan(takes, {s: (by_source[s], wanted[s]) for s in by_source}, flows)
 
 
 def with_uses(sizes: DataFrame, mix: Plan) -> DataFrame:
     """``sizes`` with ``uses``: how often the mix takes each document."""
-    selected = (F.col("_place") <= F.col("end")) | (F.col("_place") == F.col("fill"))
+    selected = (F.col("_place") <= F.col("end")) | F.array_contains("fills", F.col("_place"))
     joined = sizes.join(mix.takes.withColumnRenamed("uses", "_uses"), "_pattern").withColumn("_place", _place())
-    uses = F.col("_uses") + F.coalesce(selected, F.col("_place") <= F.col("end"), F.lit(False)).cast("long")
-    return joined.withColumn("uses", uses).drop("_uses", "more", "_place", "end", "fill")
+    uses = F.col("_uses") + F.coalesce(selected, F.lit(False)).cast("long")
+    return joined.withColumn("uses", uses).drop("_uses", "more", "_place", "end", "fills")
 
 
 def mixed(docs: DataFrame, members: Column | None = None) -> DataFrame:
@@ -269,6 +279,6 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = plan(sizes)
     known = spark.createDataFrame([(s, n, float(t)) for s, (n, t) in mix.sources.items()],
                                   "_pattern string, source_size long, target double")
-    return with_uses(sizes, mix).join(known, "_pattern").select(
+    return with_uses(sizes, mix).join(F.broadcast(known), "_pattern").select(
         "doc_id", F.col("_size").alias("size"), "source_size", "target",
         (F.col("uses") * F.col("_size")).alias("taken"))
