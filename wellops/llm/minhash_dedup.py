@@ -171,14 +171,17 @@ def _texts(docs: DataFrame, wanted: DataFrame, how: Settings) -> DataFrame:
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(BLANKS)
         for batch in batches:
-            for k in range(batch.num_rows):  # one text at a time: the same fingerprint as in the sketch
-                row = batch.slice(k, 1)
-                own = shingle_sets(hasher, utf8(row.column("text")), how.shingle)[0]
-                sig = _least_hashes([own], how.long_sketch, how.seed + 1) if len(own) else np.zeros(0)
+            step = max(1, batch.num_rows * _BATCH_BYTES // max(_BATCH_BYTES, batch.nbytes))
+            for start in range(0, batch.num_rows, step):
+                part = batch.slice(start, step)
+                sets = shingle_sets(hasher, utf8(part.column("text")), how.shingle)
+                full = [k for k, s in enumerate(sets) if len(s)]
+                part = part.take(pa.array(full, pa.int64()))
+                sets = [sets[k] for k in full]
+                sigs = (_least_hashes(sets, how.long_sketch, how.seed + 1).T & 255).astype(np.uint8) if sets else []
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([xxhash.xxh3_128_digest(own.tobytes())], pa.binary()), row.column("text"),
-                     pa.array([(sig.ravel() & 255).astype(np.uint8).tobytes() if len(own) else b""], pa.binary())],
-                    names=["cls", "text", "sig"])
+                    [pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), part.column("text"),
+                     pa.array([sig.tobytes() for sig in sigs], pa.binary())], names=["cls", "text", "sig"])
 
     ids = wanted.select(F.col("first_id").alias("doc_id")).distinct()
     found = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").select("text").mapInArrow(
