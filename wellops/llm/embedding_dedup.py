@@ -272,7 +272,8 @@ def near_duplicates(vectors: DataFrame, how: Settings | None = None, folder: str
         answer = answer.withColumns({"near": F.lit(None).cast("long"), "smallest": F.lit(None).cast("long")})
     component = F.coalesce("smallest", "vec_id")
     return answer.select(
-        "vec_id", (F.coalesce(F.col("copies") - 1, F.lit(0)) + F.coalesce("near", F.lit(0))).cast("long").alias("n_links"),
+        "vec_id", F.when(F.col("vec_id").isNull(), 0).otherwise(
+            F.coalesce(F.col("copies") - 1, F.lit(0)) + F.coalesce("near", F.lit(0))).cast("long").alias("n_links"),
         F.when(F.col("vec_id").isNotNull(), component).alias("component_id"),
         F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
 
