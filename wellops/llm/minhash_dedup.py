@@ -272,11 +272,11 @@ def near_duplicates(docs: DataFrame, how: Settings | None = None, folder: str |
     rows of their own and are returned each. A row without an id gets no component (null) and is not kept,
     but counts as text that links others. Other columns are ignored. An empty table gives an empty result.
     """
-    return _judged(docs, how, folder).drop("text_hash")
+    return _judged(docs, how, folder).drop("text_hash", "component")
 
 
 def _judged(docs: DataFrame, how: Settings | None, folder: str | None) -> DataFrame:
-    """As ``near_duplicates``, with a hash of the text to tell rows of one id apart."""
+    """As ``near_duplicates``, with a hash of the text to tell rows of one id apart, and the component by class."""
     spark, how = docs.sparkSession, how or Settings()
     ship(spark)
     folder = folder or scratch(spark, "minhash_dedup")
@@ -332,19 +332,46 @@ def _judged(docs: DataFrame, how: Settings | None, folder: str | None) -> DataFr
         "component", F.coalesce("component", "cls"))
     labelled = stored(labelled, folder, "labelled")
     smallest = labelled.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    by_class = labelled.join(smallest, "component").select("cls", "component_id")
+    by_class = labelled.join(smallest, "component").select("cls", "component", "component_id")
     answer = rows.select("doc_id", "text_hash", "n_shingles", "cls").join(by_class, "cls", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return answer.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"),
+    return answer.select("doc_id", "text_hash", "n_shingles", "component", component.alias("component_id"),
                          F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
 
 
-def deduplicated(docs: DataFrame, how: Settings | None = None) -> DataFrame:
+def _grouped(docs: DataFrame, hows: tuple[Settings, ...]) -> DataFrame:
+    """doc_id, text_hash and group of each row of ``docs``: texts that any of ``hows`` links, directly or through
+    others, have one group; texts without words have none (null).
+    """
+    folder = scratch(docs.sparkSession, "minhash_groups")
+    parts = []
+    for k, how in enumerate(hows):
+        # Each run writes over the intermediate results of the one before.
+        judged = _judged(docs, how, f"{folder}/run").select("doc_id", "text_hash", F.col("component").alias("group"))
+        parts.append(stored(judged, folder, f"groups-{k}"))
+    out = parts[0]
+    for k, more in enumerate(parts[1:], 1):
+        both = out.select("text_hash", "group").distinct().join(
+            more.select("text_hash", F.col("group").alias("over")).distinct(), "text_hash")
+        both = stored(both.filter("group is not null").select("group", "over").distinct(), folder, f"both-{k}")
+        # Only a group of this run that spans several of the earlier ones joins anything.
+        spans = both.groupBy("over").agg(F.min("group").alias("v"), F.max("group").alias("last")).filter("v < last")
+        links = both.join(spans, "over").filter("group <> v").select(F.col("group").alias("u"), "v").distinct()
+        merged = components(links, folder, f"merged-{k}")
+        out = stored(out.join(merged.withColumnRenamed("node", "group"), "group", "left").select(
+            "doc_id", "text_hash", F.coalesce("component", "group").alias("group")), folder, f"merged-{k}")
+    return out
+
+
+def deduplicated(docs: DataFrame, *hows: Settings) -> DataFrame:
     """``docs`` with one row of each group of near copies, the one with the smallest doc_id; same columns.
 
-    Rows that repeat both id and text stay once. Rows without an id go: they cannot be named.
+    Texts are near copies if any of ``hows`` (the default settings, if none) says so. Rows that repeat both id
+    and text stay once. Rows without an id go: they cannot be named.
     """
-    kept = _judged(docs, how, None).filter("kept").select("doc_id", "text_hash")
+    named = _grouped(docs, hows or (Settings(),)).filter("doc_id is not null")
+    first = named.filter("group is not null").groupBy("group").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
+    kept = first.select("first.*").union(named.filter("group is null").select("doc_id", "text_hash"))
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.struct(*docs.columns).alias("_row"))
     once = rows.join(kept, ["doc_id", "text_hash"], "left_semi").groupBy("doc_id", "text_hash").agg(F.first("_row").alias("_row"))
     return once.select("_row.*")
