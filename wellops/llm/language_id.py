@@ -120,8 +120,11 @@ def predict(docs: DataFrame, model: Model | None, names: tuple[str, str] = ("lan
 def accepted(docs: DataFrame, model: Model | None, min_score: float = 0.0) -> DataFrame:
     """The rows of ``docs`` whose language is not ``und`` and has at least ``min_score``, with the same columns.
 
-    A caller that wants texts of one language only sets ``min_score``; by default mixed ones stay.
+    A caller that wants texts of one language only sets ``min_score``; by default mixed ones stay. Without a
+    model there are no scores, and every text that has a letter stays.
     """
+    if model is None:
+        return docs.filter(F.col("text").rlike(HAS_LETTER))
     lang, score = unused(docs.columns, "_lang_pred"), unused(docs.columns, "_lang_score")
     scored = predict(docs, model, (lang, score))
     return scored.filter((F.col(lang) != UNDETERMINED) & (F.col(score) >= min_score)).drop(lang, score)
