@@ -30,7 +30,7 @@ _CACHE_ENTRIES = 1 << 20
 _MISSES_AT_ONCE = 512
 # A blank beside another one, or at either end: such texts are encoded as they are, without the cache.
 _BLANKS = re.compile(r"\s\s|^\s|\s\Z")
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
 class Encoder:
@@ -38,18 +38,21 @@ class Encoder:
 
     Byte-level pre-tokenization always starts a new token at a single space or newline between two other
     characters, and merges never cross that place. So a text is the sequence of its pieces " word" and
-    "\\nword", and each distinct piece is encoded by the tokenizer once. Texts with blanks in a row, and
-    tokenizers of another kind, go to the tokenizer whole.
+    "\\nword", and each distinct piece is encoded by the tokenizer once. Texts with blanks in a row or the string
+    of an added token, and tokenizers of another kind, go to the tokenizer whole. With ``escape`` the strings
+    of special tokens are ordinary text; by default they are those tokens, as the library has it.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, escape: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = escape
         self.by_piece = type(self.tokenizer.pre_tokenizer) is ByteLevel and self.tokenizer.normalizer is None
+        added = sorted(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values() if t.content)
+        self.not_in_pieces = re.compile("|".join([_BLANKS.pattern, *added]))
         self.cache: dict[str, bytes] = {}
         if self.by_piece:
             vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
@@ -78,7 +81,7 @@ class Encoder:
     def __call__(self, texts: list[str]) -> list[bytes]:
         if not self.by_piece:
             return self.whole(texts)
-        pieces = [None if not t or _BLANKS.search(t) else ("\n" + t).replace("\n", " \n")[1:].split(" ") for t in texts]
+        pieces = [None if not t or self.not_in_pieces.search(t) else ("\n" + t).replace("\n", " \n")[1:].split(" ") for t in texts]
         if len(self.cache) > _CACHE_ENTRIES:
             self.cache.clear()
         missing = set().union(*(p for p in pieces if p is not None)) - self.cache.keys()
@@ -90,19 +93,19 @@ class Encoder:
                 for t, p in zip(texts, pieces)]
 
 
-def _encoder(path: str) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def _encoder(path: str, escape: bool) -> Encoder:
+    if (path, escape) not in _ENCODERS:
+        _ENCODERS[path, escape] = Encoder(path, escape)
+    return _ENCODERS[path, escape]
 
 
-def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
+def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = END_ID, escape: bool = False) -> DataFrame:
     """Tokenize every text of ``docs`` (doc_id, text) into files below ``folder``; returns the manifest.
 
     Manifest: file, n_docs, n_tokens, first_id, one row per file. A null text is empty and a document without
     text is its end id alone. A null doc_id is stored as the smallest 64-bit integer. Repeated rows and
     rows with the same id are all written, next to each other in the order of a hash of their texts. An empty table gives no file.
-    Columns other than the two are ignored. A task that is run again replaces its own file.
+    Columns other than the two are ignored. For ``escape`` see ``Encoder``. A task that is run again replaces its own file.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -111,7 +114,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         file, writer, n_tokens = f"{folder}/part-{context.partitionId():06d}.ids.zst", None, 0
-        encode = _encoder(tokenizer_path)
+        encode = _encoder(tokenizer_path, escape)
         for batch in batches:
             step = max(1, batch.num_rows * _BATCH_BYTES // max(_BATCH_BYTES, batch.nbytes))
             for start in range(0, batch.num_rows, step):
@@ -169,11 +172,11 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
         read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def encode_documents(docs: DataFrame, tokenizer_path: str, folder: str | None = None) -> DataFrame:
+def encode_documents(docs: DataFrame, tokenizer_path: str, folder: str | None = None, escape: bool = False) -> DataFrame:
     """Write the files below ``folder`` (a new one by default), read them back and describe each document."""
     spark = docs.sparkSession
     folder = folder or scratch(spark, "token_files")
-    manifest = stored(write_tokens(docs, f"{folder}/files", tokenizer_path), folder, "manifest")
+    manifest = stored(write_tokens(docs, f"{folder}/files", tokenizer_path, escape=escape), folder, "manifest")
     return read_tokens(manifest)
 
 
