@@ -164,8 +164,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, how: Settings) -> DataFrame:
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, how: Settings) -> DataFrame:
-    """(cls, text, sig) of the classes ``wanted`` (cls, first_id): the text of the first document of each, and
-    one byte of each hash of its long sketch.
+    """(cls, text, sig) of the classes ``wanted`` (cls, first_id, any_hash): the text of the first document of each
+    (one of the hash where no document has an id), and one byte of each hash of its long sketch.
     """
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,7 +184,10 @@ def _texts(docs: DataFrame, wanted: DataFrame, how: Settings) -> DataFrame:
                      pa.array([sig.tobytes() for sig in sigs], pa.binary())], names=["cls", "text", "sig"])
 
     ids = wanted.select(F.col("first_id").alias("doc_id")).distinct()
-    found = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").select("text").mapInArrow(
+    hashes = wanted.filter("first_id is null").select(F.col("any_hash").alias("text_hash")).distinct()
+    unnamed = docs.filter("doc_id is null").select(F.xxhash64("text").alias("text_hash"), "text").join(
+        hashes, "text_hash", "left_semi").select("text").distinct()
+    found = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").select("text").union(unnamed).mapInArrow(
         name, "cls binary, text string, sig binary")
     return found.join(wanted.select("cls"), "cls", "left_semi").groupBy("cls").agg(
         F.min("text").alias("text"), F.first("sig").alias("sig"))
@@ -282,8 +285,8 @@ def _judged(docs: DataFrame, how: Settings | None, folder: str | None) -> DataFr
     folder = folder or scratch(spark, "minhash_dedup")
     rows = stored(_sketches(docs, how), folder, "sketches")
     classes = stored(rows.filter("cls is not null").groupBy("cls").agg(
-        F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"), F.first("half").alias("half"),
-        F.first("mark").alias("mark")), folder, "classes")
+        F.min("doc_id").alias("first_id"), F.min("text_hash").alias("any_hash"), F.first("n_shingles").alias("n"),
+        F.first("half").alias("half"), F.first("mark").alias("mark")), folder, "classes")
 
     # Half-keys that several classes have; a class needs one of A and one of B to meet anything.
     keys = classes.select("cls", F.explode("half").alias("key"))
@@ -291,7 +294,7 @@ def _judged(docs: DataFrame, how: Settings | None, folder: str | None) -> DataFr
     held = keys.join(shared, "key").groupBy("cls").agg(F.collect_list("key").alias("keys"), F.sum("holders").alias("popular"))
     met = stored(
         held.join(classes, "cls").select(
-            "cls", "first_id", "n", "popular", "mark", "half",
+            "cls", "first_id", "any_hash", "n", "popular", "mark", "half",
             F.array_intersect(F.slice("half", 1, how.keys), "keys").alias("a"),
             F.array_intersect(F.slice("half", how.keys + 1, how.keys), "keys").alias("b"))
         .filter((F.size("a") > 0) & (F.size("b") > 0)), folder, "met")
@@ -310,7 +313,7 @@ def _judged(docs: DataFrame, how: Settings | None, folder: str | None) -> DataFr
         F.least("cls", "hub").alias("u"), F.greatest("cls", "hub").alias("v")).distinct()
     pairs = stored(pairs, folder, "pairs-0")
 
-    wanted = groups.select("cls").distinct().join(met.select("cls", "first_id"), "cls")
+    wanted = groups.select("cls").distinct().join(met.select("cls", "first_id", "any_hash"), "cls")
     texts = stored(_texts(docs, stored(wanted, folder, "wanted"), how), folder, "texts")
     links = stored(_verified(pairs, texts, how), folder, "links-0")
     # Groups of three or more that the hub did not join: the nearest across the components, then all pairs. For
@@ -363,17 +366,25 @@ def _grouped(docs: DataFrame, hows: tuple[Settings, ...]) -> DataFrame:
     return out
 
 
-def deduplicated(docs: DataFrame, *hows: Settings) -> DataFrame:
+def deduplicated(docs: DataFrame, *hows: Settings, unnamed: bool = False) -> DataFrame:
     """``docs`` with one row of each group of near copies, the one with the smallest doc_id; same columns.
 
-    Texts are near copies if any of ``hows`` (the default settings, if none) says so. Rows that repeat both id
-    and text stay once. Rows without an id go: they cannot be named.
+    Texts are near copies if any of ``hows`` (the default settings, if none) says so. Of several texts of the
+    smallest id the one with the smallest hash stays. Rows that repeat both id and text stay once. Rows without
+    an id go, as they cannot be named, unless ``unnamed``: then they come after all others of their group, so one
+    stays where no row with an id is near.
     """
-    named = _grouped(docs, hows or (Settings(),)).filter("doc_id is not null")
-    first = named.filter("group is not null").groupBy("group").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
-    kept = first.select("first.*").union(named.filter("group is null").select("doc_id", "text_hash"))
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.struct(*docs.columns).alias("_row"))
-    once = rows.join(kept, ["doc_id", "text_hash"], "left_semi").groupBy("doc_id", "text_hash").agg(F.first("_row").alias("_row"))
+    grouped = _grouped(docs, hows or (Settings(),))
+    if not unnamed:
+        grouped = grouped.filter("doc_id is not null")
+    # Without an id: true, 0. So ids that are null come last and can be joined.
+    key = {"no_id": F.col("doc_id").isNull(), "id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0))}
+    named = grouped.withColumns(key)
+    first = named.filter("group is not null").groupBy("group").agg(F.min(F.struct("no_id", "id", "text_hash")).alias("first"))
+    kept = first.select("first.*").union(named.filter("group is null").select("no_id", "id", "text_hash"))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.struct(*docs.columns).alias("_row")).withColumns(key)
+    once = rows.join(kept, ["no_id", "id", "text_hash"], "left_semi").groupBy("no_id", "id", "text_hash").agg(
+        F.first("_row").alias("_row"))
     return once.select("_row.*")
 
 
