@@ -1,0 +1,118 @@
+from __future__ import annotations
+
+import math
+from collections import defaultdict
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from wellops.llm.embedding_whitening import op13_embedding_whitening, whiten
+
+
+def whole(vector):
+    if vector is None or any(c is None or not math.isfinite(c) or abs(c * 1024) >= 2**62 for c in vector):
+        return None
+    return [math.floor(1024 * c) + 100_000 for c in vector]
+
+
+def reference(rows, by_count=True):
+    """Per length: x vectors with their ids, exact sums and the covariance, centred in whole numbers."""
+    lengths = defaultdict(list)
+    for vec_id, vector in rows:
+        if x := whole(vector):
+            lengths[len(x)].append((vec_id, x))
+    out = {}
+    for dim, own in lengths.items():
+        fitted = [x for _, x in own] if by_count else [list(x) for x in {tuple(x) for _, x in own}]
+        n = len(fitted)
+        sums = [sum(c) for c in zip(*fitted)]
+        centred = np.array([[float(Fraction(n * a - s, n)) for a, s in zip(x, sums)] for x in fitted])
+        out[dim] = own, n, sums, centred.T @ centred / n
+    return out
+
+
+def check(result, rows, by_count=True):
+    got = defaultdict(lambda: defaultdict(list))
+    for r in result:
+        got[r["vec_id"]][r["component"]].append(r)
+    seen = 0
+    for dim, (own, n, sums, v) in reference(rows, by_count).items():
+        values, vectors = np.linalg.eigh(v)
+        values, vectors = values[::-1], vectors[:, ::-1]
+        # The signs are the solver's, the same for all rows.
+        signs = {}
+        for vec_id, x in own:
+            deviation = sum((n * a - s) ** 2 for a, s in zip(x, sums))
+            centred = np.array([float(Fraction(n * a - s, n)) for a, s in zip(x, sums)])
+            for k in range(1, min(8, dim) + 1):
+                e = values[k - 1]
+                spread = e > dim * 2.3e-16 * max(values[0], 0)
+                gap = min([abs(e - values[j]) for j in (k - 2, k) if 0 <= j < dim], default=1) > 1e-9 * values[0]
+                match = [r for r in got[vec_id][k] if r["n"] == n and r["deviation_decimal"] == deviation]
+                assert match
+                r = match[0]
+                got[vec_id][k].remove(r)
+                seen += 1
+                assert r["deviation"] == (deviation if deviation < 2**63 else None)
+                if not spread:
+                    assert r["whitened"] is None
+                    continue
+                assert abs(r["explained"] - e / np.trace(v)) <= 1e-4 * e / np.trace(v)
+                assert 0 <= r["identity_error"] <= 1e-4
+                if gap:
+                    y = centred @ vectors[:, k - 1] / np.sqrt(e)
+                    if abs(y) > 1e-3:
+                        signs.setdefault(k, np.sign(y * r["whitened"]))
+                        assert abs(r["whitened"] - signs[k] * y) < 1e-6 * max(1.0, abs(y))
+    assert seen == len(result)
+
+
+def vectors_of(df):
+    return [tuple(r) for r in df.select("vec_id", "embedding").collect()]
+
+
+def test_query_against_whole_numbers(spark, sf_dir):
+    got = op13_embedding_whitening(spark, sf_dir)
+    assert got.dtypes[:7] == [("vec_id", "bigint"), ("component", "int"), ("n", "bigint"), ("deviation", "bigint"), ("whitened", "double"),
+                              ("explained", "double"), ("identity_error", "double")]
+    rows = got.collect()
+    check(rows, vectors_of(spark.read.parquet(f"{sf_dir}/embeddings.parquet")))
+    assert len({r["identity_error"] for r in rows}) == 1
+
+
+SCHEMA = "vec_id long, embedding array<double>, key string, dim string, n string, copies string, weight string"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, "a", "b", "c", "d", "e") for r in rows], SCHEMA).repartition(3)
+
+
+@pytest.mark.parametrize("by_count", [True, False])
+def test_copies_lengths_and_odd_rows(spark, by_count):
+    rng = np.random.default_rng(2)
+    base = rng.standard_normal((60, 10)) * np.linspace(3, 0.2, 10)
+    rows = [(k, v.tolist()) for k, v in enumerate(base)]
+    rows += [(100 + k, rows[3][1]) for k in range(90)]  # more than half are one vector
+    rows += [(3, rows[3][1]), (None, rows[4][1]), (None, None), (200, None), (201, []), (202, [None] * 10), (203, [float("nan")] + [0.0] * 9),
+             (204, [float("inf")] * 10), (205, [1e300] * 10), (206, [-0.0] * 10), (207, [1e-320] * 10)]
+    rows += [(300 + k, rng.standard_normal(3).tolist()) for k in range(20)]  # another length
+    rows += [(400, [0.5] * 5000), (401, [0.5] * 5000)]  # one distinct vector: no spread
+    rows += [(500, [1.0]), (501, [2.0]), (502, [1.0])]
+    check(whiten(frame(spark, rows), by_count=by_count).collect(), rows, by_count)
+
+
+def test_large_numbers_and_flat_dimensions(spark):
+    rng = np.random.default_rng(5)
+    rows = [(k, [1e12 + float(x), -1e12 + float(y), 7.0, float(x)]) for k, (x, y) in enumerate(rng.standard_normal((40, 2)))]
+    rows += [(k + 40, [float(k) * 1e12, 0.0]) for k in range(9)]  # deviations beyond a long
+    got = whiten(frame(spark, rows)).collect()
+    check(got, rows)
+    assert any(r["deviation"] is None for r in got)
+
+
+def test_nothing_left_and_too_wide(spark):
+    assert whiten(frame(spark, [(1, None), (2, [None]), (3, [])])).count() == 0
+    assert whiten(frame(spark, [(1, [1.0])]).limit(0)).count() == 0
+    with pytest.raises(ValueError, match="3000"):
+        whiten(frame(spark, [(1, [0.0] * 3000), (2, [1.0] * 3000)]))
