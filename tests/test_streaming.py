@@ -186,8 +186,8 @@ def test_service_keeps_running_and_takes_new_files(spark, layout):
         land_feed_batch(_live(spark, {"well_id": 5}), layout.landing("production_live"))
         query.processAllAvailable()
         assert query.isActive
-        streaming.record(spark, layout, "bronze_production", query)
-        streaming.record(spark, layout, "bronze_production", query)
+        streaming.record(spark, layout, "bronze_production")
+        streaming.record(spark, layout, "bronze_production")
     finally:
         query.stop()
     assert datasets.read(spark, layout, "bronze_production").count() == 2
@@ -204,7 +204,7 @@ def test_all_tables_as_a_service_then_aggregates(spark, layout, capsys):
         land_feed_batch(_live(spark, {"well_id": 1}), layout.landing("production_live"))
         running[1].processAllAvailable()
         running[4].processAllAvailable()
-        streaming.record(spark, layout, "silver_production", running[4])
+        streaming.record(spark, layout, "silver_production", as_of=AS_OF)
     finally:
         for query in running:
             query.stop()
@@ -264,19 +264,3 @@ def test_serve_records_and_refreshes(spark, layout):
     done = {(r["dataset"], r["operation"]) for r in datasets.history(spark, layout).collect()}
     assert ("silver_production", "STREAMING UPDATE") in done and ("gold_efficiency", "CREATE OR REFRESH") in done
     assert not [q for q in spark.streams.active if layout.root in (q.name or "")]
-
-
-class _Query:
-    """Progress reports of a query whose ring has turned."""
-
-    runId = "run"
-
-    def __init__(self, *batches):
-        self.recentProgress = [{"batchId": b, "observedMetrics": None} for b in batches]
-
-
-def test_lost_reports_are_an_error(spark, layout):
-    streaming.record(spark, layout, "bronze_orders", _Query(0, 1))
-    streaming.record(spark, layout, "bronze_orders", _Query(1, 2, 3))
-    with pytest.raises(RuntimeError, match="micro-batches 4 to 5 are gone"):
-        streaming.record(spark, layout, "bronze_orders", _Query(6, 7))

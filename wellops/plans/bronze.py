@@ -80,9 +80,14 @@ def orders(spark: SparkSession, layout: Layout, stream: bool = True,
 
 
 def union_production_sql(history: DataFrame, live: DataFrame) -> DataFrame:
-    """The same union written in SQL: by position, so every branch lists and casts its columns."""
+    """The same union written in SQL: by position, so every branch lists and casts its columns. An audit column that only
+    one of them has is null in the other."""
     columns = ", ".join(f"TRY_CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schemas.PRODUCTION)
-    audit = ", ".join(AUDIT_COLUMNS)
+    types = {**dict(history.dtypes), **dict(live.dtypes)}
+
+    def listed(df: DataFrame) -> str:
+        audit = [c if c in df.columns else f"CAST(NULL AS {types[c]}) AS {c}" for c in AUDIT_COLUMNS if c in types]
+        return ", ".join([columns, *audit])
+
     return history.sparkSession.sql(
-        f"SELECT {columns}, {audit} FROM {{history}} UNION ALL SELECT {columns}, {audit} FROM {{live}}",
-        history=history, live=live)
+        f"SELECT {listed(history)} FROM {{history}} UNION ALL SELECT {listed(live)} FROM {{live}}", history=history, live=live)

@@ -77,7 +77,7 @@ def layer_counts(spark: SparkSession, layout: Layout, names: Sequence[str] = DAT
 
     One lazy plan; counting parquet rows reads the file footers only.
     """
-    parts, known = [], datasets.current(spark, layout)
+    parts, known = [], datasets.current(spark, layout, names)
     for name in names:
         if name not in known:
             parts.append(spark.range(1).select(

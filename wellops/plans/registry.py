@@ -1,12 +1,15 @@
 """Run log, model versions and aliases as small tables.
 
-Every change appends a row; the state is the newest row per key. Promotion is always an explicit
-call: offline metrics alone do not decide what runs in production.
+Every change is a row; the state is the newest row per key. Versions and alias changes are numbered commits, so of
+several writers each gets a number of its own (see ``sinks.commits``). Promotion is always an explicit call:
+offline metrics alone do not decide what runs in production.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import re
 import uuid
 from dataclasses import dataclass
 
@@ -15,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wellops.operators.metrics import METRICS
+from wellops.sinks import commits
 from wellops.sinks.layout import Layout, exists
 
 SCHEMAS = {
@@ -35,11 +39,15 @@ class Registry:
         path = self.layout.registry(name)
         if not exists(self.spark, path):
             return self.spark.createDataFrame([], SCHEMAS[name])
-        return self.spark.read.schema(SCHEMAS[name]).parquet(path)
+        reader = self.spark.read.schema(SCHEMAS[name])
+        return reader.parquet(path) if name == "model_runs" else reader.json(f"{path}/*/*")
 
-    def _append(self, name: str, row: tuple) -> None:
-        (self.spark.createDataFrame([row], SCHEMAS[name]).coalesce(1)
-         .write.mode("append").parquet(self.layout.registry(name)))
+    def _commit(self, table: str, name: str, key: str, **values: object) -> int:
+        """A row of a model under the next number, which it holds as ``key``. The model's folder is named by its
+        letters and digits and a digest of its name."""
+        safe = re.sub(r"[^A-Za-z0-9_-]", "_", name) + "-" + hashlib.sha256(name.encode()).hexdigest()[:12]
+        now = dt.datetime.now(dt.timezone.utc).isoformat(timespec="milliseconds")
+        return commits.commit_next(self.spark, f"{self.layout.registry(table)}/{safe}", {"name": name, **values, "timestamp": now}, key, first=1)
 
     def log_run(self, run_name: str, params: dict[str, object], metrics: dict[str, float],
                 model: PipelineModel | None = None) -> str:
@@ -49,22 +57,20 @@ class Registry:
         if model is not None:
             path = self.layout.model(run_id)
             model.save(path)
-        self._append("model_runs", (run_id, f"{run_name}_{now:%Y%m%d_%H%M%S}", now,
-                                    {k: str(v) for k, v in params.items()}, metrics, path))
+        row = (run_id, f"{run_name}_{now:%Y%m%d_%H%M%S}", now, {k: str(v) for k, v in params.items()}, metrics, path)
+        (self.spark.createDataFrame([row], SCHEMAS["model_runs"]).coalesce(1)
+         .write.mode("append").parquet(self.layout.registry("model_runs")))
         return run_id
 
     def register(self, name: str, run_id: str) -> int:
         """Next version of a model."""
-        last = self.table("model_versions").filter(F.col("name") == name).agg(F.max("version")).first()[0] or 0
-        self._append("model_versions", (name, last + 1, run_id, dt.datetime.now(dt.timezone.utc)))
-        return last + 1
+        return self._commit("model_versions", name, "version", run_id=run_id)
 
     def set_alias(self, name: str, alias: str, version: int) -> None:
         known = self.table("model_versions").filter((F.col("name") == name) & (F.col("version") == version))
         if known.isEmpty():
             raise ValueError(f"model {name} has no version {version}")
-        seq = self.table("model_aliases").agg(F.max("seq")).first()[0] or 0
-        self._append("model_aliases", (name, alias, version, seq + 1, dt.datetime.now(dt.timezone.utc)))
+        self._commit("model_aliases", name, "seq", alias=alias, version=version)
 
     def promote(self, name: str, version: int) -> None:
         """Make a version the champion."""

@@ -17,8 +17,6 @@ SCALE_SETTINGS = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    # Rule metrics are read from the progress reports, so keep many of them.
-    "spark.sql.streaming.numRecentProgressUpdates": "10000",
 }
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wellops import names
 from wellops.functions.columns import namespace_name
@@ -45,20 +46,32 @@ def save_table(df: DataFrame, name: str, comment: str = "") -> None:
         df.sparkSession.sql(f"COMMENT ON TABLE {_name(name)} IS {_text(comment)}")
 
 
+def _point(spark: SparkSession, name: str, path: str, schema: T.StructType, comment: str) -> None:
+    """Make a name stand for the files at ``path``. A table of the same columns is moved there, so it is never absent;
+    only other columns, or partitions, need a new table."""
+    table = _name(name)
+    if spark.catalog.tableExists(name):
+        same = spark.table(name).schema.simpleString() == schema.simpleString()
+        if same and not any(c.isPartition for c in spark.catalog.listColumns(name)):
+            spark.sql(f"ALTER TABLE {table} SET LOCATION {_text(path)}")
+            spark.sql(f"COMMENT ON TABLE {table} IS {_text(comment)}")
+            spark.catalog.refreshTable(name)
+            return
+        spark.sql(f"DROP TABLE {table}")
+    spark.catalog.createTable(name, path=path, source="parquet", schema=schema, description=comment)
+
+
 def expose(spark: SparkSession, layout: Layout, namespace: str, portuguese: bool = False) -> None:
     """Make the newest versions of all datasets readable by name, with their comments.
 
     With ``portuguese`` each also gets a view under its Portuguese table and column names, so that
     existing SQL runs as it is.
     """
-    known = datasets.current(spark, layout)
-    for name in (n for n in names.DATASETS if n in known):
-        _, path, comment = known[name]
+    known = datasets.current(spark, layout, list(names.DATASETS))
+    for name, (_, path, comment) in known.items():
         table = _name(f"{namespace}.{name}")
         schema = spark.read.parquet(path).schema
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-        spark.catalog.createTable(f"{namespace}.{name}", path=path, source="parquet", schema=schema,
-                                  description=comment or "")
+        _point(spark, f"{namespace}.{name}", path, schema, comment or "")
         if portuguese:
             own_name, glossary = names.DATASETS[name]
             own = {english: column for column, english in names.GLOSSARIES[glossary].items()}

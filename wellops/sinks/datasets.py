@@ -1,74 +1,78 @@
 """Batch datasets and the run history.
 
-Each refresh writes a new folder and then adds one row to the history; readers take the newest
-folder the history names. A run that fails half-way (or a ``fail`` rule) leaves the previous result
-in place. The history keeps version, time, operation and metrics of every run and micro-batch.
+Each refresh writes a new folder and then commits one version to the history; readers take the folder of the
+newest version. A run that fails half-way (or a ``fail`` rule) leaves the previous result in place, and of several
+writers each gets a version of its own (see ``commits``). The history keeps version, time, operation and metrics of
+every run and micro-batch.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from wellops.sinks import commits
 from wellops.sinks.layout import Layout, exists
 
 HISTORY_SCHEMA = ("dataset string, layer string, version bigint, timestamp timestamp, operation string, "
-                  "operation_metrics map<string,string>, path string, comment string")
+                  "operation_metrics map<string,string>, path string, comment string, writer string")
 
 
 def history(spark: SparkSession, layout: Layout) -> DataFrame:
-    """Version, timestamp, operation and metrics of every dataset."""
-    if not exists(spark, layout.history()):
+    """Version, timestamp, operation, metrics and writer of every dataset."""
+    if not exists(spark, layout.history().rstrip("*")):
         return spark.createDataFrame([], HISTORY_SCHEMA)
-    return spark.read.schema(HISTORY_SCHEMA).parquet(layout.history())
+    return spark.read.schema(HISTORY_SCHEMA).json(f"{layout.history()}/*")
 
 
-def append_history(spark: SparkSession, layout: Layout, rows: list[tuple]) -> None:
-    """``rows``: (dataset, version, operation, metrics, path, comment)."""
-    if not rows:
-        return
-    now = dt.datetime.now(dt.timezone.utc)
-    records = [(name, name.split("_")[0].upper(), version, now, operation,
-                {k: str(v) for k, v in metrics.items()}, path, comment)
-               for name, version, operation, metrics, path, comment in rows]
-    spark.createDataFrame(records, HISTORY_SCHEMA).coalesce(1).write.mode("append").parquet(layout.history())
+def entry(name: str, operation: str, metrics: Mapping[str, object], path: str, comment: str, writer: str = "") -> dict:
+    """What a commit holds beside its version."""
+    now = dt.datetime.now(dt.timezone.utc).isoformat(timespec="milliseconds")
+    return {"dataset": name, "layer": name.split("_")[0].upper(), "timestamp": now, "operation": operation,
+            "operation_metrics": {k: str(v) for k, v in metrics.items()}, "path": path, "comment": comment, "writer": writer}
 
 
-def current(spark: SparkSession, layout: Layout) -> dict[str, tuple[int, str, str]]:
-    """(version, path, comment) of the newest run per dataset; one row each, whatever their size."""
-    newest = (history(spark, layout).groupBy("dataset")
-              .agg(F.max(F.struct("version", "path", "comment")).alias("last")).select("dataset", "last.*"))
-    return {row["dataset"]: (row["version"], row["path"], row["comment"]) for row in newest.collect()}
+def newest(spark: SparkSession, layout: Layout, name: str) -> dict | None:
+    """The newest commit of a dataset."""
+    version = commits.newest(spark, layout.history(name))
+    return None if version < 0 else commits.read(spark, layout.history(name), version)
 
 
 def latest(spark: SparkSession, layout: Layout, name: str) -> tuple[int, str | None, str | None]:
-    """The same for one dataset; version -1 where there is none."""
-    return current(spark, layout).get(name, (-1, None, None))
+    """(version, path, comment) of the newest run; version -1 where there is none."""
+    last = newest(spark, layout, name)
+    return (last["version"], last["path"], last["comment"]) if last else (-1, None, None)
+
+
+def current(spark: SparkSession, layout: Layout, names: Sequence[str]) -> dict[str, tuple[int, str, str]]:
+    """The same for those of ``names`` that exist."""
+    found = {name: latest(spark, layout, name) for name in names}
+    return {name: last for name, last in found.items() if last[0] >= 0}
 
 
 def publish(spark: SparkSession, layout: Layout, name: str, df: DataFrame, comment: str = "",
-            partition_by: str | None = None, metrics: Observation | None = None) -> Mapping[str, int]:
+            partition_by: str | None = None, metrics: Observation | None = None, operation: str = "CREATE OR REFRESH",
+            facts: Mapping[str, object] | None = None) -> Mapping[str, object]:
     """Write a new version of a dataset and return its metrics.
 
     ``metrics`` is an observation already attached to ``df``; without one the rows written are
     counted while they pass. The observation sits in the last stage of the job, where the result of
-    a lost task is counted once. With ``partition_by`` each value is a folder; gather its rows before
-    (see ``silver.production``), or every task writes a file for every value it holds.
+    a lost task is counted once. ``facts`` are kept beside the metrics. With ``partition_by`` each value is a folder;
+    gather its rows before (see ``silver.production``), or every task writes a file for every value it holds.
     """
-    version = latest(spark, layout, name)[0] + 1
-    path = layout.dataset(name, version)
+    path = layout.dataset(name)
     if metrics is None:
-        metrics = Observation(f"{name}_{version}")
+        metrics = Observation(f"{name}_{path[-32:]}")
         df = df.observe(metrics, F.count(F.lit(1)).alias("kept"))
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
-    seen = metrics.get
-    append_history(spark, layout, [(name, version, "CREATE OR REFRESH", seen, path, comment)])
+    seen = {**metrics.get, **(facts or {})}
+    commits.commit_next(spark, layout.history(name), entry(name, operation, seen, path, comment))
     return seen
 
 

@@ -24,8 +24,9 @@ class Layout:
     def schema(self, name: str) -> str:
         return f"{self.root}/schemas/{name}"
 
-    def dataset(self, name: str, version: int) -> str:
-        return f"{self.root}/datasets/{name}/version={version:06d}"
+    def dataset(self, name: str) -> str:
+        """A new folder for one version; which version it becomes is decided by the commit."""
+        return f"{self.root}/datasets/{name}/{uuid.uuid4().hex}"
 
     def stream(self, name: str) -> str:
         return f"{self.root}/streams/{name}"
@@ -36,8 +37,9 @@ class Layout:
     def scratch(self, name: str) -> str:
         return f"{self.root}/scratch/{name}-{uuid.uuid4().hex}"
 
-    def history(self) -> str:
-        return f"{self.root}/run_history"
+    def history(self, name: str = "*") -> str:
+        """The commits of one dataset, or of all."""
+        return f"{self.root}/run_history/{name}"
 
     def registry(self, table: str) -> str:
         return f"{self.root}/registry/{table}"
@@ -46,13 +48,13 @@ class Layout:
         return f"{self.root}/models/{run_id}"
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, hadoop_path = _file_system(spark, path)
+    fs, hadoop_path = file_system(spark, path)
     return fs.exists(hadoop_path)
 
 
@@ -60,7 +62,7 @@ def create_landing(spark: SparkSession, layout: Layout) -> list[str]:
     """Create the four landing folders where they are absent."""
     paths = [layout.landing(source) for source in SOURCES]
     for path in paths:
-        fs, hadoop_path = _file_system(spark, path)
+        fs, hadoop_path = file_system(spark, path)
         fs.mkdirs(hadoop_path)
     return paths
 

@@ -2,8 +2,8 @@
 
 ``run_available`` takes what has landed and stops; ``start`` keeps the streams running. Both use the
 same checkpoints, so they can follow each other. The file sink commits per micro-batch: a ``fail``
-rule stops the query and leaves the table as it was. Rule metrics come with the progress reports of
-each query and go to the run history, one version per micro-batch.
+rule stops the query and leaves the table as it was. Rule metrics go to the run history, one version per
+micro-batch, also where a driver was lost (see ``metrics``).
 """
 
 from __future__ import annotations
@@ -17,12 +17,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wellops.operators.quality import Rule
 from wellops.plans import bronze, silver
-from wellops.plans.pipeline import COMMENTS, refresh_gold
+from wellops.plans.pipeline import refresh_gold
 from wellops.sinks import datasets
 from wellops.sinks.layout import Layout, save_schema, saved_schema
+from wellops.streaming import metrics
+from wellops.streaming.metrics import METRICS
 
-METRICS = "dq"
-_REPORTED: dict[str, int] = {}
 BRONZE = ("bronze_wells", "bronze_production", "bronze_orders")
 SILVER = ("silver_wells", "silver_production", "silver_orders")
 
@@ -68,6 +68,9 @@ def start(spark: SparkSession, layout: Layout, name: str, interval: str | None =
     """Create or continue a streaming table. Without ``interval`` it takes what is there and ends."""
     df = build(spark, layout, name, **settings)
     _check_schema(spark, layout, name, df)
+    # What an earlier driver did not come to record, before this one goes on.
+    metrics.reconcile(spark, layout, name, lambda: build(spark, layout, name, **settings))
+    metrics.watch(spark, layout, name, f"{name}@{layout.root}")
     writer = (df.writeStream.format("parquet").outputMode("append").queryName(f"{name}@{layout.root}")
               .option("checkpointLocation", layout.checkpoint(name)))
     if name == "silver_production":
@@ -76,28 +79,9 @@ def start(spark: SparkSession, layout: Layout, name: str, interval: str | None =
     return writer.start(layout.stream(name))
 
 
-def record(spark: SparkSession, layout: Layout, name: str, query: StreamingQuery) -> None:
-    """Add the micro-batches finished since the last call to the run history.
-
-    Metrics come from the reports that a query keeps, a bounded number of them. If some are gone before
-    they were recorded, this is an error: call it more often, or keep more reports.
-    """
-    last, _, _ = datasets.latest(spark, layout, name)
-    # The last report taken of this run; a ring of reports that has turned since then has lost some.
-    rows, before = [], _REPORTED.get(str(query.runId))
-    for progress in query.recentProgress:
-        batch, seen = progress["batchId"], (progress["observedMetrics"] or {}).get(METRICS)
-        if before is not None and batch <= before:
-            continue
-        if before is not None and batch > before + 1:
-            raise RuntimeError(f"{name}: reports of micro-batches {before + 1} to {batch - 1} are gone")
-        before = batch
-        if batch > last and seen and seen["rows"]:
-            rows.append((name, batch, "STREAMING UPDATE", seen.asDict(), layout.stream(name), COMMENTS[name]))
-            last = batch
-    datasets.append_history(spark, layout, rows)
-    if before is not None:
-        _REPORTED[str(query.runId)] = before
+def record(spark: SparkSession, layout: Layout, name: str, **settings) -> None:
+    """Make sure that every micro-batch committed so far is in the run history."""
+    metrics.reconcile(spark, layout, name, lambda: build(spark, layout, name, **settings), running=True)
 
 
 def run_available(spark: SparkSession, layout: Layout, names: Sequence[str] = BRONZE + SILVER, **settings) -> None:
@@ -105,7 +89,7 @@ def run_available(spark: SparkSession, layout: Layout, names: Sequence[str] = BR
     for name in names:
         query = start(spark, layout, name, **settings)
         query.awaitTermination()
-        record(spark, layout, name, query)
+        record(spark, layout, name, **settings)
 
 
 def start_all(spark: SparkSession, layout: Layout, interval: str = "30 seconds", **settings) -> list[StreamingQuery]:
@@ -118,8 +102,8 @@ def serve(spark: SparkSession, layout: Layout, interval: str = "30 seconds", rec
           refresh_every: float = 900.0, stop: Callable[[], bool] = lambda: False, **settings) -> None:
     """Always-on service: tables running, metrics recorded, aggregates refreshed, until ``stop`` says so.
 
-    A stream that fails, or metrics that are lost, end the service with an error; the streams are
-    stopped in any case and go on from their checkpoints at the next start.
+    A stream that fails ends the service with an error; the streams are stopped in any case and go on from their
+    checkpoints at the next start. ``record_every`` is how often the history is compared with the checkpoints.
     """
     running = dict(zip(BRONZE + SILVER, start_all(spark, layout, interval, **settings)))
     refreshed = float("-inf")
@@ -129,7 +113,7 @@ def serve(spark: SparkSession, layout: Layout, interval: str = "30 seconds", rec
             for name, query in running.items():
                 if ending:
                     query.processAllAvailable()
-                record(spark, layout, name, query)
+                record(spark, layout, name, **settings)
                 if (failure := query.exception()) is not None:
                     raise failure
             if ending or time.monotonic() - refreshed >= refresh_every:
