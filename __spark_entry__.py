@@ -6,7 +6,6 @@ results in SQL. The jobs themselves live in the package ``wellops``.
 
 from __future__ import annotations
 
-import importlib.util
 import os
 import sys
 import uuid
@@ -32,13 +31,14 @@ from wellops.sinks import catalog, datasets
 from wellops.sinks.landing import land_csv, land_feed_batch, land_json
 from wellops.sinks.layout import Layout, create_landing
 from wellops.sources import fixtures
+from wellops.streaming import incremental
 from wellops.streaming import pipeline as streaming
 
-# The operators for training data are an optional part: without their folder everything else still works.
-if importlib.util.find_spec("wellops.llm") and importlib.util.find_spec("wellops.llm.catalog"):
+# The operators for training data are an optional part: without them, or a library they need, everything else still works.
+try:
     import corpus_pipeline
     from wellops.llm import catalog as training_data
-else:
+except ImportError:
     training_data = None
 
 ORDER_RULES = rules.order_rules(priorities=fixtures.ORDER_PRIORITIES)
@@ -321,6 +321,70 @@ def stream_audit_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].union(parts[1])
 
 
+def stream_history_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics of every micro-batch, some of them of a driver that was lost before it recorded them.
+
+    Four loads of the raw readings, two of them run by streams that nobody listens to; the next start finds the
+    batches without metrics and runs them again.
+    """
+    layout = _landing(spark, "stream_history_complete")
+    raw = fixtures.raw_production(spark, sf_dir).withColumn("_part", F.pmod("well_id", F.lit(4)))
+    for part in range(4):
+        land_csv(raw.filter(F.col("_part") == part).drop("_part"), layout.landing("production_csv"), mode="append")
+        for name in ("bronze_production", "silver_production"):
+            streaming.start(spark, layout, name, recorded=part % 2 == 0, as_of=fixtures.AS_OF, order_rules=ORDER_RULES).awaitTermination()
+    for name in ("bronze_production", "silver_production"):
+        streaming.record(spark, layout, name, as_of=fixtures.AS_OF, order_rules=ORDER_RULES)
+    measured = F.col("operation_metrics")
+    return datasets.history(spark, layout).select(
+        "dataset", "version", measured["rows"].cast("bigint").alias("row_count"), measured["kept"].cast("bigint").alias("kept"))
+
+
+def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Production by field from stored partial results, after two loads with a refresh each."""
+    return datasets.read(spark, _incremental(spark, sf_dir, "gold_incremental"), "gold_production_by_field")
+
+
+def gold_incremental_efficiency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return datasets.read(spark, _incremental(spark, sf_dir, "gold_incremental_efficiency"), "gold_efficiency")
+
+
+def gold_incremental_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return datasets.read(spark, _incremental(spark, sf_dir, "gold_incremental_cost"), "gold_maintenance_cost")
+
+
+def stream_active_wells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct wells by field, over all days and in one year, from sketches that two loads were merged into: how far they are
+    from the exact counts, in steps of two per cent."""
+    layout = _incremental(spark, sf_dir, "stream_active_wells")
+    sketches = datasets.read(spark, layout, incremental.SKETCHES)
+    exact = datasets.read(spark, layout, "silver_production").join(
+        datasets.read(spark, layout, "silver_wells").select("well_id", "field"), "well_id")
+    parts = []
+    for period, condition in (("all", "true"), ("1996", "year(prod_date) = 1996")):
+        estimated = incremental.active_wells(sketches.filter(condition), "field")
+        counted = exact.filter(condition).groupBy("field").agg(F.countDistinct("well_id").alias("exact_wells"))
+        parts.append(counted.join(estimated, "field", "left").select(
+            "field", F.lit(period).alias("period"), "exact_wells",
+            (F.abs(F.col("active_wells") - F.col("exact_wells")) <= F.greatest(F.lit(1.0), 0.02 * F.col("exact_wells"))).alias("within_two_percent")))
+    return parts[0].unionByName(parts[1])
+
+
+def _incremental(spark: SparkSession, sf_dir: str, purpose: str) -> Layout:
+    layout = _landing(spark, purpose)
+    land_csv(first_per_key(fixtures.raw_wells(spark, sf_dir), "sap_code", ["well_id"]), layout.landing("wells_csv"))
+    land_csv(fixtures.raw_history(spark, sf_dir), layout.landing("production_csv"))
+    orders = fixtures.raw_orders(spark, sf_dir)
+    land_json(orders.filter("order_id % 2 = 0"), layout.landing("orders_json"))
+    _stream(spark, layout, *streaming.BRONZE, *streaming.SILVER)
+    incremental.refresh(spark, layout)
+    land_feed_batch(fixtures.raw_live(spark, sf_dir), layout.landing("production_live"))
+    land_json(orders.filter("order_id % 2 <> 0"), layout.landing("orders_json"), mode="append")
+    _stream(spark, layout, *streaming.BRONZE, *streaming.SILVER)
+    incremental.refresh(spark, layout)
+    return layout
+
+
 def stream_dq_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Violations per rule and micro-batch, as reported by the running stream."""
     layout = _streamed_production(spark, sf_dir, "stream_dq_metrics", "bronze_production", "silver_production")
@@ -493,6 +557,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_silver_orders": stream_silver_orders,
         "stream_incremental": stream_incremental,
         "stream_dq_metrics": stream_dq_metrics,
+        "stream_history_complete": stream_history_complete,
+        "gold_incremental": gold_incremental,
+        "stream_active_wells": stream_active_wells,
+        "gold_incremental_efficiency": gold_incremental_efficiency,
+        "gold_incremental_cost": gold_incremental_cost,
         "stream_rescued_values": stream_rescued_values,
         "stream_audit_columns": stream_audit_columns,
         "table_comments": table_comments,

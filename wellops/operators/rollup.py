@@ -23,6 +23,11 @@ def partials_per_well(df: DataFrame, by: Sequence[str], rows: str, measures: Seq
     return df.groupBy(*by).agg(*aggregates)
 
 
+def merged(partials: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Partial results of several loads as one: counts and sums add up."""
+    return partials.groupBy(*by).agg(*[F.sum(c).alias(c) for c in partials.columns if c not in by])
+
+
 def total(measure: str, places: int = 2) -> Column:
     return F.round(F.sum(f"sum_{measure}"), places)
 

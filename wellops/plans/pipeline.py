@@ -60,16 +60,22 @@ def refresh_silver(spark: SparkSession, layout: Layout, as_of: str | None = None
 def refresh_gold(spark: SparkSession, layout: Layout) -> None:
     """Recompute the three aggregates from the validated datasets.
 
-    Two of them start from the readings summed per well, so that rollup is stored and the readings
-    are scanned once.
+    They start from readings and orders summed per well, so those rollups are stored and each input is scanned once.
     """
     wells, production, orders = (datasets.read(spark, layout, f"silver_{name}")
                                  for name in ("wells", "production", "orders"))
     per_well = datasets.stored(gold.readings_per_well(production), layout.scratch("readings_per_well"))
-    for name, df in (("gold_production_by_field", gold.production_of_wells(per_well, wells)),
-                     ("gold_maintenance_cost", gold.maintenance_cost(orders)),
-                     ("gold_efficiency", gold.efficiency_of_wells(per_well, wells, orders))):
-        datasets.publish(spark, layout, name, df, COMMENTS[name])
+    orders_per_well = datasets.stored(gold.orders_per_well(orders), layout.scratch("orders_per_well"))
+    publish_gold(spark, layout, per_well, orders_per_well, wells)
+
+
+def publish_gold(spark: SparkSession, layout: Layout, readings_per_well: DataFrame, orders_per_well: DataFrame, wells: DataFrame,
+                 operation: str = "CREATE OR REFRESH") -> None:
+    """The three aggregates from readings and orders summed per well."""
+    for name, df in (("gold_production_by_field", gold.production_of_wells(readings_per_well, wells)),
+                     ("gold_maintenance_cost", gold.maintenance_cost_of_wells(orders_per_well)),
+                     ("gold_efficiency", gold.efficiency_of_wells(readings_per_well, wells, orders_per_well))):
+        datasets.publish(spark, layout, name, df, COMMENTS[name], operation=operation)
 
 
 def layer_counts(spark: SparkSession, layout: Layout, names: Sequence[str] = DATASETS) -> DataFrame:

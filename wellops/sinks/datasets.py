@@ -84,10 +84,10 @@ def read(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_stream(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
+def read_stream(spark: SparkSession, layout: Layout, name: str, options: Mapping[str, str] | None = None) -> DataFrame:
     """A streaming table as the source of the next stream."""
     path = layout.stream(name)
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    return spark.readStream.options(**(options or {})).schema(spark.read.parquet(path).schema).parquet(path)
 
 
 def stored(df: DataFrame, path: str) -> DataFrame:

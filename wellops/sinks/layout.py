@@ -31,6 +31,9 @@ class Layout:
     def stream(self, name: str) -> str:
         return f"{self.root}/streams/{name}"
 
+    def partials(self, name: str) -> str:
+        return f"{self.root}/partials/{name}"
+
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/checkpoints/{name}"
 
@@ -58,6 +61,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def numbered(spark: SparkSession, folder: str) -> list[int]:
+    """The entries of a folder that are numbers, in order: micro-batches in a checkpoint, or folders of them."""
+    if not exists(spark, folder):
+        return []
+    fs, hadoop_path = file_system(spark, folder)
+    return sorted(int(n) for status in fs.listStatus(hadoop_path) if (n := status.getPath().getName()).isdigit())
+
+
 def create_landing(spark: SparkSession, layout: Layout) -> list[str]:
     """Create the four landing folders where they are absent."""
     paths = [layout.landing(source) for source in SOURCES]

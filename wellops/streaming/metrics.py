@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 from wellops.plans.pipeline import COMMENTS
 from wellops.sinks import commits, datasets
-from wellops.sinks.layout import Layout, exists, file_system
+from wellops.sinks.layout import Layout, file_system, numbered
 
 METRICS = "dq"
 OPERATION = "STREAMING UPDATE"
@@ -70,18 +70,14 @@ def watch(spark: SparkSession, layout: Layout, name: str, query_name: str, only:
     _WATCHED[query_name] = (spark, layout, name, only)
 
 
-def _logged(spark: SparkSession, folder: str) -> list[int]:
-    """The batches in a log of a checkpoint."""
-    if not exists(spark, folder):
-        return []
-    fs, path = file_system(spark, folder)
-    return sorted(int(n) for status in fs.listStatus(path) if (n := status.getPath().getName()).isdigit())
+def unwatch(query_name: str) -> None:
+    _WATCHED.pop(query_name, None)
 
 
 def missing(spark: SparkSession, layout: Layout, name: str) -> list[int]:
     """Committed micro-batches without metrics. Checkpoints keep the last hundred; what came before the first one kept is
     compared by number."""
-    done = _logged(spark, f"{layout.checkpoint(name)}/commits")
+    done = numbered(spark, f"{layout.checkpoint(name)}/commits")
     known = set(commits.versions(spark, layout.history(name)))
     return [b for b in range(done[-1] + 1) if b not in known] if done else []
 
@@ -97,7 +93,7 @@ def _copy(spark: SparkSession, layout: Layout, name: str, batch: int) -> str:
         if part in ("offsets", "commits"):
             fs.mkdirs(path(f"{target}/{part}"))
             last = batch if part == "offsets" else batch - 1
-            for k in (b for b in _logged(spark, f"{source}/{part}") if b <= last):
+            for k in (b for b in numbered(spark, f"{source}/{part}") if b <= last):
                 util.copy(fs, path(f"{source}/{part}/{k}"), fs, path(f"{target}/{part}/{k}"), False, conf)
         else:
             util.copy(fs, status.getPath(), fs, path(f"{target}/{part}"), False, conf)
@@ -105,7 +101,7 @@ def _copy(spark: SparkSession, layout: Layout, name: str, batch: int) -> str:
 
 
 def _replay(spark: SparkSession, layout: Layout, name: str, batch: int, build: Callable[[], DataFrame]) -> None:
-    if batch not in _logged(spark, f"{layout.checkpoint(name)}/offsets"):
+    if batch not in numbered(spark, f"{layout.checkpoint(name)}/offsets"):
         raise RuntimeError(f"{name}: metrics of micro-batch {batch} are gone, and so are its offsets")
     query_name = f"replay-{batch}-{name}@{layout.root}"
     watch(spark, layout, name, query_name, only=batch)
@@ -121,7 +117,7 @@ def _replay(spark: SparkSession, layout: Layout, name: str, batch: int, build: C
         _wait(lambda: batch in commits.versions(spark, layout.history(name)))
     finally:
         query.stop()
-        _WATCHED.pop(query_name, None)
+        unwatch(query_name)
     if batch in missing(spark, layout, name):
         raise RuntimeError(f"{name}: micro-batch {batch} gave no metrics when it was run again")
 

@@ -17,10 +17,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wellops.operators.quality import Rule
 from wellops.plans import bronze, silver
-from wellops.plans.pipeline import refresh_gold
 from wellops.sinks import datasets
 from wellops.sinks.layout import Layout, save_schema, saved_schema
-from wellops.streaming import metrics
+from wellops.streaming import incremental, metrics
 from wellops.streaming.metrics import METRICS
 
 BRONZE = ("bronze_wells", "bronze_production", "bronze_orders")
@@ -64,14 +63,22 @@ def _check_schema(spark: SparkSession, layout: Layout, name: str, df: DataFrame)
         raise ValueError(f"schema of {name} changed: {'; '.join(changed)}")
 
 
-def start(spark: SparkSession, layout: Layout, name: str, interval: str | None = None, **settings) -> StreamingQuery:
-    """Create or continue a streaming table. Without ``interval`` it takes what is there and ends."""
+def start(spark: SparkSession, layout: Layout, name: str, interval: str | None = None, recorded: bool = True,
+          **settings) -> StreamingQuery:
+    """Create or continue a streaming table. Without ``interval`` it takes what is there and ends.
+
+    With ``recorded=False`` nobody listens to its metrics; the next start makes up for it.
+    """
     df = build(spark, layout, name, **settings)
     _check_schema(spark, layout, name, df)
     # What an earlier driver did not come to record, before this one goes on.
     metrics.reconcile(spark, layout, name, lambda: build(spark, layout, name, **settings))
-    metrics.watch(spark, layout, name, f"{name}@{layout.root}")
-    writer = (df.writeStream.format("parquet").outputMode("append").queryName(f"{name}@{layout.root}")
+    query_name = f"{name}@{layout.root}"
+    if recorded:
+        metrics.watch(spark, layout, name, query_name)
+    else:
+        metrics.unwatch(query_name)
+    writer = (df.writeStream.format("parquet").outputMode("append").queryName(query_name)
               .option("checkpointLocation", layout.checkpoint(name)))
     if name == "silver_production":
         writer = writer.partitionBy("year")
@@ -117,7 +124,7 @@ def serve(spark: SparkSession, layout: Layout, interval: str = "30 seconds", rec
                 if (failure := query.exception()) is not None:
                     raise failure
             if ending or time.monotonic() - refreshed >= refresh_every:
-                refresh_gold(spark, layout)
+                incremental.refresh(spark, layout)
                 refreshed = time.monotonic()
             if ending:
                 return
