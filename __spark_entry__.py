@@ -6,6 +6,7 @@ results in SQL. The jobs themselves live in the package ``wellops``.
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import sys
 import uuid
@@ -27,7 +28,7 @@ from wellops.operators.split import is_train_by_key
 from wellops.plans import bi, bronze, features, forecast, gold, gold_sql, pipeline, rules, silver, silver_sql
 from wellops.plans.registry import CHALLENGER, CHAMPION, Registry
 from wellops.session import work_dir
-from wellops.sinks import catalog, datasets
+from wellops.sinks import by_well, catalog, datasets
 from wellops.sinks.landing import land_csv, land_feed_batch, land_json
 from wellops.sinks.layout import Layout, create_landing
 from wellops.sources import fixtures
@@ -385,6 +386,33 @@ def _incremental(spark: SparkSession, sf_dir: str, purpose: str) -> Layout:
     return layout
 
 
+def stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validated readings after their small files were packed, and more were streamed and packed with them."""
+    layout = _landing(spark, "stream_compacted")
+    tables, tomorrow = ("bronze_production", "silver_production"), dt.datetime.now(dt.timezone.utc) + dt.timedelta(days=1)
+    land_csv(fixtures.raw_history(spark, sf_dir).repartition(8), layout.landing("production_csv"))
+    for step in range(2):
+        _stream(spark, layout, *tables)
+        for name in tables:
+            streaming.compact(spark, layout, name, before=tomorrow)
+        if step == 0:
+            land_feed_batch(fixtures.raw_live(spark, sf_dir), layout.landing("production_live"))
+    return datasets.read(spark, layout, "silver_production").drop(*AUDIT)
+
+
+def _by_well(spark: SparkSession, sf_dir: str, purpose: str, plan: Callable[[by_well.ByWell], DataFrame]) -> DataFrame:
+    """A plan over readings and wells stored by well; the result is stored and the tables are dropped."""
+    root, namespace = work_dir(spark, purpose), f"wellops_{uuid.uuid4().hex}"
+    before = spark.catalog.currentDatabase()
+    catalog.use_namespace(spark, namespace, f"{root}/tables")
+    try:
+        stored = by_well.store(spark, namespace, _production(spark, sf_dir), _wells(spark, sf_dir), buckets=16)
+        return datasets.stored(plan(stored), f"{root}/result")
+    finally:
+        spark.sql(f"USE {before}")
+        catalog.drop_namespace(spark, namespace)
+
+
 def stream_dq_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Violations per rule and micro-batch, as reported by the running stream."""
     layout = _streamed_production(spark, sf_dir, "stream_dq_metrics", "bronze_production", "silver_production")
@@ -558,6 +586,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_incremental": stream_incremental,
         "stream_dq_metrics": stream_dq_metrics,
         "stream_history_complete": stream_history_complete,
+        "stream_compacted": stream_compacted,
+        "table_production_by_well": lambda spark, sf_dir: _by_well(spark, sf_dir, "production_by_well", by_well.production_by_field),
+        "table_weekly_by_well": lambda spark, sf_dir: _by_well(spark, sf_dir, "weekly_by_well", by_well.weekly_production),
         "gold_incremental": gold_incremental,
         "stream_active_wells": stream_active_wells,
         "gold_incremental_efficiency": gold_incremental_efficiency,

@@ -396,6 +396,9 @@ def _main() -> dict[str, str]:
             (SELECT CAST(((well_id % 4) + 4) % 4 AS BIGINT) AS version, count(*) AS row_count,
             count(*) FILTER (WHERE {_kept(PRODUCTION_RULES)}) AS kept FROM typed_production GROUP BY 1)
             CROSS JOIN (SELECT unnest(['bronze_production', 'silver_production']) AS dataset)""", "typed_production"),
+        "stream_compacted": _query("SELECT * FROM production", "production"),
+        "table_production_by_well": _query("SELECT * FROM production_by_field", "production_by_field"),
+        "table_weekly_by_well": _query("SELECT * FROM weekly", "weekly"),
         "stream_active_wells": _query(
             """SELECT field, period, count(DISTINCT well_id) AS exact_wells, true AS within_two_percent FROM (
             SELECT field, well_id, 'all' AS period FROM located

@@ -21,20 +21,28 @@ def weekly_production(production: DataFrame, wells: DataFrame, iso_year: bool =
     By default the year is the calendar year, so the last days of December may fall in week 1 of
     the year that ends; ``iso_year=True`` uses the year of the week instead.
     """
+    result = weekly_of_located(weekly_per_well(production, iso_year).join(wells.select("well_id", "field"), "well_id"))
+    return result.orderBy("field", "year", "week") if sort else result
+
+
+def weekly_per_well(production: DataFrame, iso_year: bool = False) -> DataFrame:
+    """Readings summed by well and week."""
     dated = production.select(
         "well_id", "reading_id", "oil_bbl", "bsw_pct", "wellhead_psi", "temp_c", "hours_on",
         calendar_year("prod_date", iso_year).alias("year"), F.weekofyear("prod_date").alias("week"))
-    per_well = partials_per_well(dated, ["well_id", "year", "week"], "reading_id",
-                                 ["oil_bbl", "bsw_pct", "wellhead_psi", "temp_c", "hours_on"])
-    result = (per_well.join(wells.select("well_id", "field"), "well_id")
-              .groupBy("field", "year", "week")
-              .agg(total("oil_bbl").alias("weekly_oil_bbl"),
-                   mean("bsw_pct").alias("mean_bsw_pct"),
-                   mean("wellhead_psi", 1).alias("mean_wellhead_psi"),
-                   mean("temp_c", 1).alias("mean_temp_c"),
-                   mean("hours_on", 1).alias("mean_hours_on"),
-                   F.countDistinct("well_id").alias("active_wells")))
-    return result.orderBy("field", "year", "week") if sort else result
+    return partials_per_well(dated, ["well_id", "year", "week"], "reading_id",
+                             ["oil_bbl", "bsw_pct", "wellhead_psi", "temp_c", "hours_on"])
+
+
+def weekly_of_located(per_well: DataFrame) -> DataFrame:
+    """Weeks by field from readings summed by well and week, with the field of the well."""
+    return (per_well.groupBy("field", "year", "week")
+            .agg(total("oil_bbl").alias("weekly_oil_bbl"),
+                 mean("bsw_pct").alias("mean_bsw_pct"),
+                 mean("wellhead_psi", 1).alias("mean_wellhead_psi"),
+                 mean("temp_c", 1).alias("mean_temp_c"),
+                 mean("hours_on", 1).alias("mean_hours_on"),
+                 F.countDistinct("well_id").alias("active_wells")))
 
 
 def with_earlier_weeks(weekly: DataFrame, frame: tuple[int, int] = (-3, 0)) -> DataFrame:

@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from wellops.sinks import commits
+from wellops.sinks import commits, compaction
 from wellops.sinks.layout import Layout, exists
 
 HISTORY_SCHEMA = ("dataset string, layer string, version bigint, timestamp timestamp, operation string, "
@@ -77,11 +77,11 @@ def publish(spark: SparkSession, layout: Layout, name: str, df: DataFrame, comme
 
 
 def read(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
-    """The newest version of a dataset (batch) or the rows a stream has committed."""
+    """The newest version of a dataset (batch) or the rows a stream has committed, compacted or not."""
     _, path, _ = latest(spark, layout, name)
     if path is None:
         raise ValueError(f"dataset {name} not found below {layout.root}")
-    return spark.read.parquet(path)
+    return compaction.read(spark, layout, name) if path == layout.stream(name) else spark.read.parquet(path)
 
 
 def read_stream(spark: SparkSession, layout: Layout, name: str, options: Mapping[str, str] | None = None) -> DataFrame:

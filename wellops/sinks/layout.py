@@ -34,6 +34,12 @@ class Layout:
     def partials(self, name: str) -> str:
         return f"{self.root}/partials/{name}"
 
+    def packed(self, name: str) -> str:
+        return f"{self.root}/packed/{name}"
+
+    def compaction(self, name: str) -> str:
+        return f"{self.root}/compactions/{name}"
+
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/checkpoints/{name}"
 

@@ -17,12 +17,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wellops.operators.quality import Rule
 from wellops.plans import bronze, silver
-from wellops.sinks import datasets
+from wellops.sinks import compaction, datasets
 from wellops.sinks.layout import Layout, save_schema, saved_schema
 from wellops.streaming import incremental, metrics
 from wellops.streaming.metrics import METRICS
 
 BRONZE = ("bronze_wells", "bronze_production", "bronze_orders")
+PARTITIONED = {"silver_production": ("year",)}
 SILVER = ("silver_wells", "silver_production", "silver_orders")
 
 
@@ -80,8 +81,8 @@ def start(spark: SparkSession, layout: Layout, name: str, interval: str | None =
         metrics.unwatch(query_name)
     writer = (df.writeStream.format("parquet").outputMode("append").queryName(query_name)
               .option("checkpointLocation", layout.checkpoint(name)))
-    if name == "silver_production":
-        writer = writer.partitionBy("year")
+    if name in PARTITIONED:
+        writer = writer.partitionBy(*PARTITIONED[name])
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
     return writer.start(layout.stream(name))
 
@@ -91,6 +92,11 @@ def record(spark: SparkSession, layout: Layout, name: str, **settings) -> None:
     metrics.reconcile(spark, layout, name, lambda: build(spark, layout, name, **settings), running=True)
 
 
+def compact(spark: SparkSession, layout: Layout, name: str, **options) -> tuple[int, int] | None:
+    """Pack the closed small files of a table for its batch readers (see ``sinks.compaction``)."""
+    return compaction.compact(spark, layout, name, partition_by=PARTITIONED.get(name, ()), **options)
+
+
 def run_available(spark: SparkSession, layout: Layout, names: Sequence[str] = BRONZE + SILVER, **settings) -> None:
     """Bring the tables up to date with the landing folders, one after the other."""
     for name in names:
@@ -106,14 +112,15 @@ def start_all(spark: SparkSession, layout: Layout, interval: str = "30 seconds",
 
 
 def serve(spark: SparkSession, layout: Layout, interval: str = "30 seconds", record_every: float = 60.0,
-          refresh_every: float = 900.0, stop: Callable[[], bool] = lambda: False, **settings) -> None:
-    """Always-on service: tables running, metrics recorded, aggregates refreshed, until ``stop`` says so.
+          refresh_every: float = 900.0, compact_every: float = 86_400.0, stop: Callable[[], bool] = lambda: False, **settings) -> None:
+    """Always-on service: tables running, metrics recorded, aggregates refreshed, closed small files packed, until ``stop``
+    says so.
 
     A stream that fails ends the service with an error; the streams are stopped in any case and go on from their
     checkpoints at the next start. ``record_every`` is how often the history is compared with the checkpoints.
     """
     running = dict(zip(BRONZE + SILVER, start_all(spark, layout, interval, **settings)))
-    refreshed = float("-inf")
+    refreshed, compacted = float("-inf"), time.monotonic()
     try:
         while True:
             ending = stop()
@@ -126,6 +133,10 @@ def serve(spark: SparkSession, layout: Layout, interval: str = "30 seconds", rec
             if ending or time.monotonic() - refreshed >= refresh_every:
                 incremental.refresh(spark, layout)
                 refreshed = time.monotonic()
+            if time.monotonic() - compacted >= compact_every:
+                for name in running:
+                    compact(spark, layout, name)
+                compacted = time.monotonic()
             if ending:
                 return
             time.sleep(record_every)
