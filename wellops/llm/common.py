@@ -19,8 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, purpose: str) -> str:
-    """A new folder for one run below ``spark.checkpoint.dir``, or the warehouse where that is unset."""
+    """A new folder for one run below ``spark.checkpoint.dir``, or the warehouse where that is unset.
+
+    A warehouse without a scheme is a folder of each machine, so on a cluster it can't be shared: that is an error.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.master.startswith("local") and (
+            base.startswith("file:") or "://" not in base):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return f"{base.rstrip('/')}/llm/{purpose}-{uuid.uuid4().hex}"
 
 
@@ -31,6 +37,13 @@ def stored(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, folder: str, *names: str) -> None:
+    """Remove intermediate results that nothing reads any more: what was made from them is itself stored."""
+    for name in names:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable on executors; once per application.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wellops.llm.common import stored
+from wellops.llm.common import discard, stored
 
 
 def _signature(edges: DataFrame) -> tuple:
@@ -38,12 +38,13 @@ def joined(links: DataFrame) -> DataFrame:
 def components(links: DataFrame, folder: str, name: str) -> DataFrame:
     """(node, component) for every node of ``links`` (u, v); the component is its smallest node.
 
-    Each round is written to ``folder``. Their number grows with the logarithm of the longest chain.
+    Each round is written to ``folder``, and the one before it removed. Their number grows with the logarithm of the longest chain.
     """
     edges, seen, step = links.filter("u <> v"), None, 0
     while True:
         step += 1
         edges = stored(joined(edges), folder, f"{name}-{step}")
+        discard(links.sparkSession, folder, f"{name}-{step - 1}")
         if (now := _signature(edges)) == seen:
             break
         seen = now

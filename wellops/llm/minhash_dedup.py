@@ -4,19 +4,19 @@ A table key of ordinary banding takes its own ``rows`` hashes, so 256 tables of
 Here a text has two small collections A and B of ``keys`` half-keys with ``rows`` hashes each; table (i, j)
 has the key (A_i, B_j). 16 + 16 half-keys of 5 hashes, 160 in all, give the same 256 tables. Two texts meet
 in a table if they agree in some half-key of A and in some of B: at similarity 0.85 one of 16 half-keys
-agrees with probability 0.99992, so 0.02 % of such pairs are missed, of pairs at 0.9 practically none.
+agrees with probability 0.99992, so 0.02 % of such pairs are missed, of pairs at 0.9 practically none. Where hashes are counted, a pair at the limit is dropped with a chance of 1 in 10,000.
 
 1. One pass over the texts: shingle sets, their sizes, fingerprints and half-keys. Equal sets are one class.
 2. Half-keys that only one class has are dropped before any two are combined, which loses no pair.
-3. In each table group the class that shares most half-keys is the hub, and all others are verified
-   against it: one pair per member, not all pairs of a group.
-4. Where the verified links leave a group in several components, its members are compared across the
-   components by longer sketches (1,024 hashes of these texts alone), in blocks of bounded size, each pair in the
-   first group it shares. First each member is verified against its nearest one of another component only,
-   which joins most; then all pairs that are still apart and may be similar enough. So no link of a group
-   is lost to the choice of the hub, and no group is expanded into pairs.
-
-Links are confirmed on the full sets of shingles, not on sketches.
+3. In each table group the class that shares most half-keys is the hub, and all others are compared with it: one pair per
+   member, not all pairs of a group. Pairs that agree in too few of the hashes are dropped, the others are verified on
+   their texts, and the links are joined to components.
+4. Where a group still has several components, members are compared across them in blocks of bounded size: first by their
+   hashes, which leaves few members, then by their full shingle sets, where one matrix product gives the sizes of
+   all intersections of a block. What leaves the task is a spanning forest of the components that links join, never the
+   links. So no link of a group is lost to the choice of the hub, and no group is expanded into pairs.
+
+Links are confirmed on the full sets of shingles (in step 4 on their 64-bit hashes), not on sketches.
 """
 
 from __future__ import annotations
@@ -30,12 +30,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wellops.llm.common import scratch, ship, stored, table, utf8
-from wellops.llm.components import components, joined
+from wellops.llm.common import discard, scratch, ship, stored, table, utf8
+from wellops.llm.components import components
 from wellops.llm.words import BLANKS, Hasher, mix
 
 _BATCH_BYTES = 2 << 20
 _HASHES_AT_ONCE = 1 << 15
+_COLUMNS_AT_ONCE = 1 << 12
+_BLOCK_BYTES = 8 << 20
 _TURN = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
 
 
@@ -48,12 +50,11 @@ class Settings:
     rows: int = 5
     seed: int = 11
     block: int = 1024
-    long_sketch: int = 1024
 
     @property
     def least_equal(self) -> int:
         """Equal hashes that a pair at the limit has but for a chance of 1 in 10,000 (3.7 deviations)."""
-        total, p = self.long_sketch, self.percent / 100
+        total, p = 2 * self.keys * self.rows, self.percent / 100
         return int(total * p - 3.7 * (total * p * (1 - p)) ** 0.5)
 
 
@@ -97,19 +98,20 @@ def _least_hashes(sets: list[np.ndarray], total: int, seed: int) -> np.ndarray:
     return least
 
 
-def _half_keys(sets: list[np.ndarray], how: Settings) -> np.ndarray:
-    """Half-keys (texts, 2 * keys)."""
+def _half_keys(sets: list[np.ndarray], how: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Half-keys (texts, 2 * keys), and a byte of each of their hashes (texts, 2 * keys * rows)."""
     keys = np.zeros((2 * how.keys, len(sets)), np.uint64)
-    grouped = _least_hashes(sets, 2 * how.keys * how.rows, how.seed).reshape(2 * how.keys, how.rows, len(sets)).astype(np.uint64)
+    least = _least_hashes(sets, 2 * how.keys * how.rows, how.seed)
+    grouped = least.reshape(2 * how.keys, how.rows, len(sets)).astype(np.uint64)
     keys += np.arange(2 * how.keys, dtype=np.uint64)[:, None] * _TURN[2]
     for r in range(how.rows):
         keys = mix(keys * _TURN[3] + grouped[:, r])
-    return np.ascontiguousarray(keys.T)
+    return np.ascontiguousarray(keys.T), np.ascontiguousarray((least & 255).astype(np.uint8).T)
 
 
 def _sketches(docs: DataFrame, how: Settings) -> DataFrame:
-    """doc_id, text_hash, n_shingles, cls (16-byte fingerprint of the set, null without words), half
-    (the half-keys) and mark (half of the bits of each half-key)."""
+    """doc_id, text_hash, n_shingles, cls (16-byte fingerprint of the set, null without words), half (the half-keys) and
+    mark (a byte of each hash)."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(BLANKS)
@@ -122,8 +124,8 @@ def _sketches(docs: DataFrame, how: Settings) -> DataFrame:
                 halves: list = [None] * len(sets)
                 marks: list = [None] * len(sets)
                 if full:
-                    keys = _half_keys([sets[k] for k in full], how)
-                    for k, row, mark in zip(full, keys.view(np.int64), (keys >> np.uint64(32)).astype("<u4")):
+                    keys, bytes_ = _half_keys([sets[k] for k in full], how)
+                    for k, row, mark in zip(full, keys.view(np.int64), bytes_):
                         halves[k], marks[k] = row, mark.tobytes()
                 prints = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
@@ -135,6 +137,23 @@ def _sketches(docs: DataFrame, how: Settings) -> DataFrame:
         sketch, "doc_id long, text_hash long, n_shingles long, cls binary, half array<long>, mark binary")
 
 
+def _marks(column: pa.Array, count: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(count, -1)
+
+
+def _likely(pairs: DataFrame, classes: DataFrame, how: Settings) -> DataFrame:
+    """The pairs (u, v) that agree in enough hashes."""
+
+    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                equal = (_marks(batch.column("x"), batch.num_rows) == _marks(batch.column("y"), batch.num_rows)).sum(axis=1)
+                yield batch.select(["u", "v"]).filter(pa.array(equal >= how.least_equal))
+
+    of = {c: classes.select(F.col("cls").alias(c), F.col("mark").alias(m)) for c, m in (("u", "x"), ("v", "y"))}
+    return pairs.join(of["u"], "u").join(of["v"], "v").select("u", "v", "x", "y").mapInArrow(agree, "u binary, v binary")
+
+
 def _similar(x: bytes, y: bytes, seen: dict[bytes, set], how: Settings) -> bool:
     both = []
     for text in (x, y):
@@ -163,109 +182,136 @@ def _verified(pairs: DataFrame, texts: DataFrame, how: Settings) -> DataFrame:
         verify, "u binary, v binary")
 
 
-def _texts(docs: DataFrame, wanted: DataFrame, how: Settings) -> DataFrame:
-    """(cls, text, sig) of the classes ``wanted`` (cls, first_id, any_hash): the text of the first document of each
-    (one of the hash where no document has an id), and one byte of each hash of its long sketch.
-    """
+# A row by its id, rows without one last, and a hash of its text. No part is null, so they can be joined.
+_ROW = ("no_id", "id", "text_hash")
+
+
+def _named(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({"no_id": F.col("doc_id").isNull(), "id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0))})
+
+
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(cls, text) of the classes ``wanted`` (cls, first): the text of the first row of each."""
+    rows = _named(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text"))
+    return rows.join(wanted.select("cls", "first.*"), [*_ROW]).groupBy("cls").agg(F.first("text").alias("text"))
+
 
-    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(texts: DataFrame, how: Settings) -> DataFrame:
+    """(cls, shingles): the sorted hashes of each full set, eight bytes each."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(BLANKS)
         for batch in batches:
             step = max(1, batch.num_rows * _BATCH_BYTES // max(_BATCH_BYTES, batch.nbytes))
             for start in range(0, batch.num_rows, step):
                 part = batch.slice(start, step)
                 sets = shingle_sets(hasher, utf8(part.column("text")), how.shingle)
-                full = [k for k, s in enumerate(sets) if len(s)]
-                part = part.take(pa.array(full, pa.int64()))
-                sets = [sets[k] for k in full]
-                sigs = (_least_hashes(sets, how.long_sketch, how.seed + 1).T & 255).astype(np.uint8) if sets else []
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), part.column("text"),
-                     pa.array([sig.tobytes() for sig in sigs], pa.binary())], names=["cls", "text", "sig"])
-
-    ids = wanted.select(F.col("first_id").alias("doc_id")).distinct()
-    hashes = wanted.filter("first_id is null").select(F.col("any_hash").alias("text_hash")).distinct()
-    unnamed = docs.filter("doc_id is null").select(F.xxhash64("text").alias("text_hash"), "text").join(
-        hashes, "text_hash", "left_semi").select("text").distinct()
-    found = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").select("text").union(unnamed).mapInArrow(
-        name, "cls binary, text string, sig binary")
-    return found.join(wanted.select("cls"), "cls", "left_semi").groupBy("cls").agg(
-        F.min("text").alias("text"), F.first("sig").alias("sig"))
-
-
-def _apart(group: dict[str, list], nearest: bool, how: Settings) -> set[tuple[bytes, bytes]]:
-    """Pairs of a group that are in different components and may be similar enough; see step 4."""
-    _, component = np.unique(np.array(group["component"], object), return_inverse=True)
-    if component.max() == 0:
-        return set()
-    mark = np.frombuffer(b"".join(group["mark"]), "<u4").reshape(len(component), -1).T
-    n, block = np.array(group["n"]), np.array(group["block"])
-    fits = (component[:, None] != component) & (
-        100 * np.minimum(n[:, None], n) >= how.percent * np.maximum(n[:, None], n))
-    if block.min() != block.max():
-        fits &= block[:, None] != block
-    # A pair belongs to the first group it shares: no earlier half-key is equal on either side.
-    for earlier in (mark[:group["i"][0]], mark[how.keys:how.keys + group["j"][0]]):
-        for half in earlier:
-            fits &= half[:, None] != half
-    x, y = np.nonzero(np.triu(fits))
-    sig = np.frombuffer(b"".join(group["sig"]), np.uint8).reshape(len(component), -1)
-    equal = np.concatenate([np.zeros(0, int), *[(sig[x[k:k + 4096]] == sig[y[k:k + 4096]]).sum(axis=1)
-                                                for k in range(0, len(x), 4096)]])
-    near = equal >= how.least_equal
-    x, y, equal = x[near], y[near], equal[near]
-    if nearest:
-        # The best pair of each member outside the largest component.
-        order = np.argsort(-equal, kind="stable")
-        x, y = x[order], y[order]
-        member, other = np.concatenate([x, y]), np.concatenate([y, x])
-        rank = np.concatenate([np.arange(len(x))] * 2)
-        keep = component[member] != np.bincount(component).argmax()
-        member, other, rank = member[keep], other[keep], rank[keep]
-        order = np.lexsort((rank, member))
-        first = np.flatnonzero(np.diff(member[order], prepend=-1))
-        x, y = member[order][first], other[order][first]
-    cls = group["cls"]
-    return {(min(cls[i], cls[j]), max(cls[i], cls[j])) for i, j in zip(x.tolist(), y.tolist())}
-
-
-def _candidates(rest: DataFrame, nearest: bool, how: Settings) -> DataFrame:
-    """Distinct pairs (u, v) of members of the groups in ``rest`` whose components differ."""
-    columns = ["cell", "i", "j", "low", "high", "block", "cls", "n", "component", "mark", "sig"]
-
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group: dict[str, list] = {c: [] for c in columns}
-        found: set[tuple[bytes, bytes]] = set()
-        name = None
-
-        def flush() -> pa.RecordBatch:
-            rows = sorted(found)
-            found.clear()
-            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.binary()) for k in (0, 1)], names=["u", "v"])
+                yield pa.RecordBatch.from_arrays([part.column("cls"), pa.array([s.tobytes() for s in sets], pa.binary())], names=["cls", "shingles"])
 
-        for batch in batches:
-            values = {c: batch.column(c).to_pylist() for c in columns}
-            for k, key in enumerate(zip(values["cell"], values["i"], values["j"], values["low"], values["high"])):
-                if key != name:
-                    if len(group["cls"]) > 1:
-                        found |= _apart(group, nearest, how)
-                    group, name = {c: [] for c in columns}, key
-                for c in columns:
-                    group[c].append(values[c][k])
-            if len(found) > 100_000:
-                yield flush()
-        if len(group["cls"]) > 1:
-            found |= _apart(group, nearest, how)
-        yield flush()
-
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("size") / how.block)).cast("int")
+    return texts.select("cls", "text").mapInArrow(hashed, "cls binary, shingles binary")
+
+
+def joined_components(component: list[bytes], sets: list[np.ndarray], percent: int) -> list[tuple[bytes, bytes]]:
+    """Pairs of components that links between ``sets`` join, as a spanning forest.
+
+    The sizes of the intersections come from one product of the sets as rows of zeros and ones, taken over a bounded number of
+    shingles at a time; shingles of a single set cannot count. Members of the largest component are not compared
+    among themselves.
+    """
+    names, of = np.unique(np.array(component, object), return_inverse=True)
+    if len(names) == 1:
+        return []
+    apart = np.flatnonzero(of != np.bincount(of).argmax())
+    sizes = np.array([len(s) for s in sets], np.int64)
+    _, column, holders = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner, several = np.repeat(np.arange(len(sets)), sizes), holders[column] > 1
+    owner, column = owner[several], (np.cumsum(holders > 1) - 1)[column[several]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    shared = np.zeros((len(apart), len(sets)), np.float32)  # whole numbers below 2**24 are exact
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS_AT_ONCE):
+        low, high = np.searchsorted(column, [first, first + _COLUMNS_AT_ONCE])
+        rows = np.zeros((len(sets), min(_COLUMNS_AT_ONCE, int(column[-1]) + 1 - first)), np.float32)
+        rows[owner[low:high], column[low:high] - first] = 1
+        shared += rows[apart] @ rows.T
+    union = sizes[apart][:, None] + sizes - shared.astype(np.int64)
+    x, y = np.nonzero((100 * shared.astype(np.int64) >= percent * union) & (of[apart][:, None] != of))
+    root = list(range(len(names)))
+
+    def find(k: int) -> int:
+        while root[k] != k:
+            root[k] = root[root[k]]
+            k = root[k]
+        return k
+
+    forest = []
+    for i, j in np.unique(np.stack([of[apart][x], of[y]], axis=1), axis=0).tolist():
+        a, b = find(i), find(j)
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            forest.append((names[i], names[j]))
+    return forest
+
+
+def _grouped_rows(batches: Iterator[pa.RecordBatch], key: list[str], values: list[str]) -> Iterator[tuple[tuple, list[list]]]:
+    """Consecutive rows of equal ``key``, each with its columns ``values`` as lists."""
+    name, held = None, [[] for _ in values]
+    for batch in batches:
+        rows = zip(zip(*(batch.column(c).to_pylist() for c in key)), *(batch.column(c) for c in values))
+        for own, *cells in rows:
+            if own != name:
+                if held[0]:
+                    yield name, held
+                name, held = own, [[] for _ in values]
+            for out, cell in zip(held, cells):
+                out.append(cell.as_py())
+    if held[0]:
+        yield name, held
+
+
+_BLOCK = ["cell", "low", "high"]
+
+
+def _comparable(rest: DataFrame, how: Settings) -> DataFrame:
+    """cell, low, high, cls and component of the members of the groups in ``rest`` (cell, size, bytes, cls, component, mark) that agree
+    in enough hashes with a member of another component, by pair of blocks."""
+    schema = pa.schema([("cell", pa.int64()), ("low", pa.int32()), ("high", pa.int32()), ("cls", pa.binary()), ("component", pa.binary())])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (cell, low, high), (cls, component, mark) in _grouped_rows(batches, _BLOCK, ["cls", "component", "mark"]):
+            _, of = np.unique(np.array(component, object), return_inverse=True)
+            marks = np.frombuffer(b"".join(mark), np.uint8).reshape(len(cls), -1)
+            found = np.zeros(len(cls), bool)
+            apart = np.flatnonzero(of != np.bincount(of).argmax())
+            for start in range(0, len(apart), 64):
+                part = apart[start:start + 64]
+                near = ((marks[part][:, None] == marks).sum(axis=2) >= how.least_equal) & (of[part][:, None] != of)
+                found[part] |= near.any(axis=1)
+                found |= near.any(axis=0)
+            keep = np.flatnonzero(found).tolist()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([v] * len(keep), t) for v, t in ((cell, pa.int64()), (low, pa.int32()), (high, pa.int32()))]
+                + [pa.array([c[k] for k in keep], pa.binary()) for c in (cls, component)], schema=schema)
+
+    blocks = F.greatest(F.ceil(F.col("size") / how.block), F.ceil(F.col("bytes") / _BLOCK_BYTES)).cast("int")
     own = F.pmod(F.xxhash64("cls"), blocks).cast("int")
     # Each member meets the members of every block of its group once; groups of one block are not repeated.
     dealt = rest.withColumns({"block": own, "other": F.explode(F.sequence(F.lit(0), blocks - 1))}).withColumns(
         {"low": F.least("block", "other"), "high": F.greatest("block", "other")})
-    key = ["cell", "i", "j", "low", "high"]
-    return dealt.select(*columns).repartition(*key).sortWithinPartitions(*key).mapInArrow(
-        pairs, "u binary, v binary").distinct()
+    return dealt.select(*_BLOCK, "cls", "component", "mark").repartition(*_BLOCK).sortWithinPartitions(*_BLOCK).mapInArrow(
+        compare, "cell long, low int, high int, cls binary, component binary")
+
+
+def _across(rest: DataFrame, how: Settings) -> DataFrame:
+    """Pairs (u, v) of components that links join, within the blocks of ``rest`` (cell, low, high, component, shingles)."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, (component, shingles) in _grouped_rows(batches, _BLOCK, ["component", "shingles"]):
+            found = joined_components(component, [np.frombuffer(s, np.uint64) for s in shingles], how.percent)
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.binary()) for k in (0, 1)], names=["u", "v"])
+
+    return rest.select(*_BLOCK, "component", "shingles").repartition(*_BLOCK).sortWithinPartitions(*_BLOCK).mapInArrow(
+        compare, "u binary, v binary").distinct()
 
 
 def near_duplicates(docs: DataFrame, how: Settings | None = None, folder: str | None = None) -> DataFrame:
@@ -284,9 +330,9 @@ def _judged(docs: DataFrame, how: Settings | None, folder: str | None) -> DataFr
     ship(spark)
     folder = folder or scratch(spark, "minhash_dedup")
     rows = stored(_sketches(docs, how), folder, "sketches")
-    classes = stored(rows.filter("cls is not null").groupBy("cls").agg(
-        F.min("doc_id").alias("first_id"), F.min("text_hash").alias("any_hash"), F.first("n_shingles").alias("n"),
-        F.first("half").alias("half"), F.first("mark").alias("mark")), folder, "classes")
+    classes = stored(_named(rows.filter("cls is not null")).groupBy("cls").agg(
+        F.min(F.struct(*_ROW)).alias("first"), F.first("n_shingles").alias("n"), F.first("half").alias("half"),
+        F.first("mark").alias("mark")), folder, "classes")
 
     # Half-keys that several classes have; a class needs one of A and one of B to meet anything.
     keys = classes.select("cls", F.explode("half").alias("key"))
@@ -294,46 +340,50 @@ def _judged(docs: DataFrame, how: Settings | None, folder: str | None) -> DataFr
     held = keys.join(shared, "key").groupBy("cls").agg(F.collect_list("key").alias("keys"), F.sum("holders").alias("popular"))
     met = stored(
         held.join(classes, "cls").select(
-            "cls", "first_id", "any_hash", "n", "popular", "mark", "half",
+            "cls", "first", "n", "popular",
             F.array_intersect(F.slice("half", 1, how.keys), "keys").alias("a"),
             F.array_intersect(F.slice("half", how.keys + 1, how.keys), "keys").alias("b"))
         .filter((F.size("a") > 0) & (F.size("b") > 0)), folder, "met")
 
-    # Table (i, j) of each pair of half-keys, and its group.
-    i = (F.array_position("half", F.col("a")) - 1).cast("int")
-    j = (F.array_position("half", F.col("b")) - 1 - how.keys).cast("int")
-    cells = met.select("cls", "n", "popular", "half", "b", F.explode("a").alias("a")).select(
-        "cls", "n", "popular", "half", F.explode("b").alias("b"), "a").select(
-        "cls", "n", "popular", i.alias("i"), j.alias("j"), F.xxhash64("a", "b").alias("cell"))
-    hubs = cells.groupBy("cell").agg(F.max(F.struct("popular", "cls", "n")).alias("hub"), F.count(F.lit(1)).alias("size"))
-    hubs = hubs.filter("size > 1").select("cell", "size", F.col("hub.cls").alias("hub"), F.col("hub.n").alias("hub_n"))
-    groups = stored(cells.select("cell", "i", "j", "cls", "n").join(hubs, "cell"), folder, "groups")
+    # The table of each pair of half-keys, and its group.
+    cells = met.select("cls", "n", "popular", "b", F.explode("a").alias("a")).select(
+        "cls", "n", "popular", "a", F.explode("b").alias("b")).select("cls", "n", "popular", F.xxhash64("a", "b").alias("cell"))
+    hubs = cells.groupBy("cell").agg(F.max(F.struct("popular", "cls", "n")).alias("hub"), F.count(F.lit(1)).alias("size"),
+                                     (F.sum("n") * 8).alias("bytes"))
+    hubs = hubs.filter("size > 1").select("cell", "size", "bytes", F.col("hub.cls").alias("hub"), F.col("hub.n").alias("hub_n"))
+    groups = stored(cells.select("cell", "cls", "n").join(hubs, "cell"), folder, "groups")
     fits = f"100 * least(n, hub_n) >= {how.percent} * greatest(n, hub_n)"
     pairs = groups.filter("cls <> hub").filter(fits).select(
         F.least("cls", "hub").alias("u"), F.greatest("cls", "hub").alias("v")).distinct()
-    pairs = stored(pairs, folder, "pairs-0")
-
-    wanted = groups.select("cls").distinct().join(met.select("cls", "first_id", "any_hash"), "cls")
-    texts = stored(_texts(docs, stored(wanted, folder, "wanted"), how), folder, "texts")
-    links = stored(_verified(pairs, texts, how), folder, "links-0")
-    # Groups of three or more that the hub did not join: the nearest across the components, then all pairs. For
-    # that it is enough to know most of what is connected, so one round of joining links does.
-    members = groups.filter("size > 2").select("cell", "i", "j", "size", "cls", "n")
-    for step, nearest in enumerate((True, False), 1):
-        links = stored(joined(links), folder, f"joined-{step}")
-        part_of = links.groupBy(F.col("u").alias("cls")).agg(F.min("v").alias("component"))
-        placed = members.join(part_of, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-        open_cells = placed.groupBy("cell").agg((F.min("component") < F.max("component")).alias("open")).filter("open")
-        rest = placed.join(open_cells.select("cell"), "cell", "left_semi").join(met.select("cls", "mark"), "cls").join(
-            texts.select("cls", "sig"), "cls")
-        new = stored(_candidates(rest, nearest, how).join(pairs, ["u", "v"], "left_anti"), folder, f"pairs-{step}")
-        more = stored(_verified(new, texts, how), folder, f"links-{step}")
-        pairs, links = pairs.union(new), links.union(more)
-    final = components(links, folder, "components")
-
-    labelled = classes.select("cls", "first_id").join(final.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
+    pairs = stored(_likely(pairs, classes, how), folder, "pairs")
+
+    ends = pairs.select(F.explode(F.array("u", "v")).alias("cls")).distinct()
+    texts = stored(_texts(docs, met.join(ends, "cls", "left_semi")), folder, "texts")
+    links = stored(_verified(pairs, texts, how), folder, "links")
+    final = stored(components(links, folder, "components"), folder, "joined")
+    # Groups that the hub did not join: their members are compared across the components.
+    members = groups.filter("size > 2").select("cell", "size", "bytes", "cls").join(
+        final.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    same = [F.bit_xor(F.xxhash64(F.lit(k), "cls")).alias(f"set_{k}") for k in (0, 1)]
+    apart = members.groupBy("cell", "size").agg((F.min("component") < F.max("component")).alias("apart"), *same)
+    # Tables with the same members are one group.
+    apart = apart.filter("apart").groupBy("size", "set_0", "set_1").agg(F.min("cell").alias("cell")).select("cell")
+    rest = members.join(apart, "cell", "left_semi").join(classes.select("cls", "mark"), "cls")
+    rest = stored(_comparable(rest, how), folder, "apart")
+    if not rest.isEmpty():
+        known = stored(rest.select("cls").distinct().join(met.select("cls", "first"), "cls"), folder, "known")
+        sets = stored(_sets(_texts(docs, known), how), folder, "sets")
+        bridges = stored(_across(rest.join(sets, "cls"), how), folder, "bridges")
+        wider = components(bridges, folder, "bridged").select(F.col("node").alias("component"), F.col("component").alias("wider"))
+        # A component of one class is not among the nodes joined so far.
+        alone = bridges.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(final, "node", "left_anti")
+        final = final.unionByName(alone.withColumn("component", F.col("node"))).join(wider, "component", "left").select(
+            "node", F.coalesce("wider", "component").alias("component"))
+
+    labelled = classes.select("cls", F.when(~F.col("first.no_id"), F.col("first.id")).alias("first_id")).join(final.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "component", F.coalesce("component", "cls"))
     labelled = stored(labelled, folder, "labelled")
+    discard(spark, folder, "classes", "met", "groups", "pairs", "texts", "links", "joined", "apart", "known", "sets", "bridges")
     smallest = labelled.groupBy("component").agg(F.min("first_id").alias("component_id"))
     by_class = labelled.join(smallest, "component").select("cls", "component", "component_id")
     answer = rows.select("doc_id", "text_hash", "n_shingles", "cls").join(by_class, "cls", "left")
@@ -349,9 +399,9 @@ def _grouped(docs: DataFrame, hows: tuple[Settings, ...]) -> DataFrame:
     folder = scratch(docs.sparkSession, "minhash_groups")
     parts = []
     for k, how in enumerate(hows):
-        # Each run writes over the intermediate results of the one before.
         judged = _judged(docs, how, f"{folder}/run").select("doc_id", "text_hash", F.col("component").alias("group"))
         parts.append(stored(judged, folder, f"groups-{k}"))
+        discard(docs.sparkSession, folder, "run")
     out = parts[0]
     for k, more in enumerate(parts[1:], 1):
         both = out.select("text_hash", "group").distinct().join(
@@ -377,14 +427,11 @@ def deduplicated(docs: DataFrame, *hows: Settings, unnamed: bool = False) -> Dat
     grouped = _grouped(docs, hows or (Settings(),))
     if not unnamed:
         grouped = grouped.filter("doc_id is not null")
-    # Without an id: true, 0. So ids that are null come last and can be joined.
-    key = {"no_id": F.col("doc_id").isNull(), "id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0))}
-    named = grouped.withColumns(key)
-    first = named.filter("group is not null").groupBy("group").agg(F.min(F.struct("no_id", "id", "text_hash")).alias("first"))
-    kept = first.select("first.*").union(named.filter("group is null").select("no_id", "id", "text_hash"))
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.struct(*docs.columns).alias("_row")).withColumns(key)
-    once = rows.join(kept, ["no_id", "id", "text_hash"], "left_semi").groupBy("no_id", "id", "text_hash").agg(
-        F.first("_row").alias("_row"))
+    named = _named(grouped)
+    first = named.filter("group is not null").groupBy("group").agg(F.min(F.struct(*_ROW)).alias("first"))
+    kept = first.select("first.*").union(named.filter("group is null").select(*_ROW))
+    rows = _named(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.struct(*docs.columns).alias("_row")))
+    once = rows.join(kept, [*_ROW], "left_semi").groupBy(*_ROW).agg(F.first("_row").alias("_row"))
     return once.select("_row.*")
 
 
