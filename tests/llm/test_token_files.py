@@ -23,7 +23,7 @@ def expected(rows, tokenizer):
     out = {}
     for doc_id, text in rows:
         ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
-        out.setdefault(-2**63 if doc_id is None else doc_id, []).append(ids)
+        out.setdefault(doc_id, []).append(ids)
     return {k: sorted(v) for k, v in out.items()}
 
 
@@ -31,7 +31,7 @@ def check(result, rows, tokenizer):
     wanted, position = expected(rows, tokenizer), 0
     got = sorted(result, key=lambda r: r["start"])
     assert len(got) == len(rows)
-    assert [r["doc_id"] for r in got] == sorted(r["doc_id"] for r in got)
+    assert [r["doc_id"] for r in got] == sorted((r["doc_id"] for r in got), key=lambda d: (d is not None, d or 0))
     for r in got:
         assert r["start"] == position
         position += r["n_tokens"]
@@ -82,6 +82,19 @@ def test_reader_takes_one_document_and_finds_damage(tmp_path, monkeypatch):
         list(reader.documents())
 
 
+def test_smallest_id_and_no_id_are_told_apart(spark, tokenizer):
+    rows = [(-2**63, "a b"), (None, "c"), (None, None), (0, "d"), (-1, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = encode_documents(docs, default_tokenizer()).collect()
+    check(got, rows, tokenizer)
+    assert [r["doc_id"] for r in sorted(got, key=lambda r: r["start"])][:3] == [None, None, -2**63]
+
+
+def test_file_systems_that_tasks_cannot_write_to_are_refused(spark, odd_documents):
+    with pytest.raises(ValueError, match="pass a folder"):
+        write_tokens(odd_documents, "viewfs://cluster/x", default_tokenizer())
+
+
 def test_manifest_counts(spark, odd_documents, tmp_path):
     manifest = write_tokens(odd_documents, f"{tmp_path}/files", default_tokenizer())
     rows = manifest.collect()

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wellops.llm.common import scratch, ship, stored, table
-from wellops.llm.seekable import Reader, Writer
+from wellops.llm.seekable import Reader, Writer, open_fs
 
 END_ID = 2
 VOCABULARY = "byte_bpe_50k.json"
@@ -28,8 +28,9 @@ VOCABULARY = "byte_bpe_50k.json"
 _BATCH_BYTES = 8 << 20
 _CACHE_ENTRIES = 1 << 20
 _MISSES_AT_ONCE = 512
-# A blank beside another one, or at either end: such texts are encoded as they are, without the cache.
-_BLANKS = re.compile(r"\s\s|^\s|\s\Z")
+_CACHE_CHARS = 1 << 26
+# A piece that is empty, or has a blank at either end or beside another one: texts with such are encoded whole.
+_NOT_A_PIECE = re.compile(r"^\Z|\s\s|^\s|\s\Z")
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
@@ -51,9 +52,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = escape
         self.by_piece = type(self.tokenizer.pre_tokenizer) is ByteLevel and self.tokenizer.normalizer is None
-        added = sorted(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values() if t.content)
-        self.not_in_pieces = re.compile("|".join([_BLANKS.pattern, *added]))
-        self.cache: dict[str, bytes] = {}
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        # The ids of a piece, None for what is not one.
+        self.cache: dict[str, bytes | None] = {}
+        self.held = 0
         if self.by_piece:
             vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
             self.begins = {c: np.zeros(max(vocabulary.values()) + 1, bool) for c in " \n"}
@@ -81,16 +83,27 @@ class Encoder:
     def __call__(self, texts: list[str]) -> list[bytes]:
         if not self.by_piece:
             return self.whole(texts)
-        pieces = [None if not t or self.not_in_pieces.search(t) else ("\n" + t).replace("\n", " \n")[1:].split(" ") for t in texts]
-        if len(self.cache) > _CACHE_ENTRIES:
+        pieces = [None if not t or any(a in t for a in self.added) else ("\n" + t).replace("\n", " \n")[1:].split(" ") for t in texts]
+        if len(self.cache) > _CACHE_ENTRIES or self.held > _CACHE_CHARS:
             self.cache.clear()
+            self.held = 0
         missing = set().union(*(p for p in pieces if p is not None)) - self.cache.keys()
+        self.held += sum(map(len, missing))
+        other = [m for m in missing if _NOT_A_PIECE.search(m.removeprefix("\n"))]
+        self.cache.update(dict.fromkeys(other))
+        missing.difference_update(other)
         self._learn([m for m in missing if m[0] != "\n"], " ")
         self._learn([m for m in missing if m[0] == "\n"], "\n")
-        get = self.cache.__getitem__
-        # The newline put before the first word is one id, four bytes.
-        return [(self.whole([t])[0] if t else b"") if p is None else b"".join(map(get, p))[4:]
-                for t, p in zip(texts, pieces)]
+        return [self._joined(t, p) for t, p in zip(texts, pieces)]
+
+    def _joined(self, text: str, pieces: list[str] | None) -> bytes:
+        if not text:
+            return b""
+        if pieces is not None:
+            ids = list(map(self.cache.__getitem__, pieces))
+            if None not in ids:
+                return b"".join(ids)[4:]  # the newline put before the first word is one id, four bytes
+        return self.whole([text])[0]
 
 
 def _encoder(path: str, escape: bool) -> Encoder:
@@ -103,12 +116,13 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     """Tokenize every text of ``docs`` (doc_id, text) into files below ``folder``; returns the manifest.
 
     Manifest: file, n_docs, n_tokens, first_id, one row per file. A null text is empty and a document without
-    text is its end id alone. A null doc_id is stored as the smallest 64-bit integer. Repeated rows and
+    text is its end id alone. Rows without a doc_id come first and are read back without one. Repeated rows and
     rows with the same id are all written, next to each other in the order of a hash of their texts. An empty table gives no file.
     Columns other than the two are ignored. For ``escape`` see ``Encoder``. A task that is run again replaces its own file.
     """
     spark = docs.sparkSession
     ship(spark)
+    open_fs(folder)  # fails here, not in a task, where the file system is not one that tasks can write to
     end = struct.pack("<I", end_id)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,7 +143,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
                                                "first_id": writer.doc_ids[0]}], schema=_MANIFEST)
 
     # The hash and the row number spread a frequent id over several files.
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-2**63)).alias("doc_id"),
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumns({"_hash": F.xxhash64("text"), "_row": F.monotonically_increasing_id()})
     order = ["doc_id", "_hash", "_row"]
