@@ -70,3 +70,18 @@ def test_all_bytes_of_a_long_text_count(documents):
     texts = {r["lang"]: r["text"].encode() for r in documents.filter("n_chars > 500").collect()}
     two = [texts["de"] * 3 + texts["fr"] * 50, texts["fr"] * 3 + texts["de"] * 50]
     assert [model.labels[k] for k in pooled(model, two).argmax(axis=1)] == ["fr", "de"]
+
+
+def test_sample_is_of_distinct_texts(spark):
+    """A text that repeats very often neither crowds out others nor grows the sample, whichever way its hash falls."""
+    from wellops.llm.language_id import _excerpts
+    german = [("de", f"der Text Nummer {k} steht hier im Buch") for k in range(60)]
+    english = [("en", f"the text number {k} is here in the book") for k in range(60)]
+    plain = spark.createDataFrame(german + english, "lang string, text string")
+    wanted = _excerpts(plain, 400, 2, 64)
+    assert {lang for lang, _ in wanted} == {"de", "en"} and len(wanted) == 240
+    for k in range(4):
+        copies = spark.range(5_000).selectExpr("'de' AS lang", f"'der Text Nummer {k} steht hier im Buch' AS text")
+        assert _excerpts(plain.union(copies), 400, 2, 64) == wanted
+    some = _excerpts(plain, 20, 1, 64)
+    assert {lang for lang, _ in some} == {"de", "en"} and 10 <= len(some) <= 80

@@ -38,19 +38,25 @@ def crc_bucket(parts: int, key: str = "doc_id") -> Column:
 
 
 def _excerpts(labelled: DataFrame, per_label: int, excerpts: int, width: int) -> list[tuple[str, bytes]]:
-    """At most about ``per_label`` texts a label, chosen by a hash of the text, ``excerpts`` windows of each."""
-    rows = labelled.filter(F.col("text").rlike(HAS_LETTER) & F.col("lang").isNotNull()).select("lang", "text")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    """About ``per_label`` distinct texts a label, chosen by a hash of the text, ``excerpts`` windows of each.
+
+    Distinct texts are counted (by sketch) and sampled, so a text that repeats any number of times is one text, and a rerun
+    takes the same. One row a label reaches the driver, as the network has an output for each.
+    """
+    rows = labelled.filter(F.col("text").rlike(HAS_LETTER) & F.col("lang").isNotNull()).select(
+        "lang", "text", F.xxhash64("text").alias("place"))
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("place").alias("n")).collect()}
     if not counts:
         return []
-    # The share of the 64-bit hash range that holds per_label rows of a label on average.
+    # The share of the 64-bit hash range that holds per_label texts of a label on average.
     bound = F.create_map(*[F.lit(x) for k, n in sorted(counts.items())
                            for x in (k, int(min(1.0, per_label / n) * 2 * (_LIMIT - 1024)) - _LIMIT)])
     cuts = [F.expr(f"substring(text, greatest(1, cast(pmod(shiftright(xxhash64(text, 'excerpt'), {8 * k}), length(text)) "
                    f"as int) - {width // 2}), {width})") for k in range(excerpts)]
-    picked = rows.filter(F.xxhash64("text") < bound[F.col("lang")])
-    got = picked.select("lang", F.explode(F.array(*cuts)).alias("cut")).limit(4 * per_label * excerpts * len(counts))
-    return sorted((r["lang"], r["cut"].encode()) for r in got.collect() if r["cut"])
+    picked = rows.filter(F.col("place") < bound[F.col("lang")])
+    # Cut first, so that only the windows are moved to where repeated texts become one.
+    once = picked.select("lang", "place", F.array(*cuts).alias("cuts")).groupBy("lang", "place").agg(F.min("cuts").alias("cuts"))
+    return sorted((r["lang"], cut.encode()) for r in once.collect() for cut in r["cuts"] if cut)
 
 
 def fit(labelled: DataFrame, per_label: int = 400, excerpts: int = 4, how: gru.Training | None = None) -> Model | None:
