@@ -114,7 +114,7 @@ def fit(docs: DataFrame, labels: DataFrame, how: Settings | None = None) -> Mode
     if not n:
         return None
     share = F.when(F.col("label") == 1, min(1.0, how.per_label / n.get(1, 1))).otherwise(min(1.0, how.per_label / n.get(0, 1)))
-    picked = known.filter(F.xxhash64("doc_id", F.lit("labelled")) < (share * 2.0**64 - 2.0**63)).limit(4 * how.per_label)
+    picked = known.filter(F.xxhash64("doc_id", F.lit("labelled")) < (share * 2.0**64 - 2.0**63))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(BLANKS)
@@ -125,8 +125,9 @@ def fit(docs: DataFrame, labels: DataFrame, how: Settings | None = None) -> Mode
                 names=["doc_id", "label", "counts"])
 
     # Bounded by per_label, so a broadcast is safe at any size of the corpus.
+    # Of the rows that repeat an id the one with the smallest term counts is learned from.
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "label", "text").mapInArrow(
-        vectors, "doc_id long, label int, counts binary").collect()
+        vectors, "doc_id long, label int, counts binary").groupBy("doc_id", "label").agg(F.min("counts").alias("counts")).collect()
     if not rows:
         return None
     rows = sorted(rows, key=lambda r: (r["doc_id"], r["label"], r["counts"]))
