@@ -105,10 +105,10 @@ def test_components_joined_by_exact_intersections():
                 if 100 * shared >= percent * (len(a) + len(sets[j]) - shared):
                     root[find(component[i])] = find(component[j])
         wanted = {frozenset(c for c in root if find(c) == r) for r in map(find, root)}
-        for columns in (4096, 37):
+        for columns in (2048, 37):
             minhash_dedup._COLUMNS_AT_ONCE = columns
             forest = joined_components(component, sets, percent)
-            minhash_dedup._COLUMNS_AT_ONCE = 4096
+            minhash_dedup._COLUMNS_AT_ONCE = 2048
             part = {c: c for c in component}
             for u, v in forest:
                 low, high = part[u], part[v]

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
+_LIBC = ctypes.CDLL(None)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +40,59 @@ def stored(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_CACHE: dict = {}
+_OWNER = ""
+
+
+def give_back() -> None:
+    """Return to the system what this process has freed but still holds."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
+
+
+def worker_cache(owner: str) -> dict:
+    """What the tasks of one operator keep in a Python worker from one task to the next.
+
+    Workers are used again by whatever comes next; one that goes over to another operator drops what it kept.
+    """
+    global _OWNER
+    if owner != _OWNER:
+        _OWNER = owner
+        _CACHE.clear()
+        give_back()
+    return _CACHE
+
+
+def in_worker(owner: str) -> Callable:
+    """For functions over Arrow batches: the worker belongs to ``owner`` and gives memory back when the task ends."""
+
+    def wrap(run: Callable) -> Callable:
+        def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            worker_cache(owner)
+            try:
+                yield from run(batches)
+            finally:
+                give_back()
+
+        return wrapped
+
+    return wrap
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 512) -> Iterator[None]:
+    """Jobs that run inside send their rows to Python in batches of at most ``rows``, for rows of long texts: a batch is held
+    several times over, by the JVM and by the worker."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def discard(spark: SparkSession, folder: str, *names: str) -> None:
     """Remove intermediate results that nothing reads any more: what was made from them is itself stored."""
     for name in names:

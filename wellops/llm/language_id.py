@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wellops.llm import gru
-from wellops.llm.common import ship, table, unused, utf8
+from wellops.llm.common import in_worker, ship, table, unused, utf8
 
 UNDETERMINED = "und"
 HAS_LETTER = r"\p{L}"
@@ -102,6 +102,7 @@ def predict(docs: DataFrame, model: Model | None, names: tuple[str, str] = ("lan
     flag = unused(columns, "_has_letter")
     rows = kept.withColumn(flag, F.coalesce(F.col("text").rlike(HAS_LETTER), F.lit(False)))
 
+    @in_worker("language_id")
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             step = max(1, batch.num_rows * _BATCH_BYTES // max(_BATCH_BYTES, batch.nbytes))

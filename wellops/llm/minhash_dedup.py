@@ -30,14 +30,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wellops.llm.common import discard, scratch, ship, stored, table, utf8
+from wellops.llm.common import discard, in_worker, scratch, ship, small_batches, stored, table, utf8
 from wellops.llm.components import components
 from wellops.llm.words import BLANKS, Hasher, mix
 
-_BATCH_BYTES = 2 << 20
+_BATCH_BYTES = 1 << 19
 _HASHES_AT_ONCE = 1 << 15
-_COLUMNS_AT_ONCE = 1 << 12
-_BLOCK_BYTES = 8 << 20
+_COLUMNS_AT_ONCE = 1 << 11
+_BLOCK_BYTES = 4 << 20
 _TURN = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
 
 
@@ -113,6 +113,7 @@ def _sketches(docs: DataFrame, how: Settings) -> DataFrame:
     """doc_id, text_hash, n_shingles, cls (16-byte fingerprint of the set, null without words), half (the half-keys) and
     mark (a byte of each hash)."""
 
+    @in_worker("minhash_dedup")
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(BLANKS)
         for batch in batches:
@@ -144,6 +145,7 @@ def _marks(column: pa.Array, count: int) -> np.ndarray:
 def _likely(pairs: DataFrame, classes: DataFrame, how: Settings) -> DataFrame:
     """The pairs (u, v) that agree in enough hashes."""
 
+    @in_worker("minhash_dedup")
     def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
@@ -171,6 +173,7 @@ def _similar(x: bytes, y: bytes, seen: dict[bytes, set], how: Settings) -> bool:
 def _verified(pairs: DataFrame, texts: DataFrame, how: Settings) -> DataFrame:
     """The pairs (u, v) whose full shingle sets are similar enough."""
 
+    @in_worker("minhash_dedup")
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, set] = {}
         for batch in batches:
@@ -199,6 +202,7 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 def _sets(texts: DataFrame, how: Settings) -> DataFrame:
     """(cls, shingles): the sorted hashes of each full set, eight bytes each."""
 
+    @in_worker("minhash_dedup")
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(BLANKS)
         for batch in batches:
@@ -277,6 +281,7 @@ def _comparable(rest: DataFrame, how: Settings) -> DataFrame:
     in enough hashes with a member of another component, by pair of blocks."""
     schema = pa.schema([("cell", pa.int64()), ("low", pa.int32()), ("high", pa.int32()), ("cls", pa.binary()), ("component", pa.binary())])
 
+    @in_worker("minhash_dedup")
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (cell, low, high), (cls, component, mark) in _grouped_rows(batches, _BLOCK, ["cls", "component", "mark"]):
             _, of = np.unique(np.array(component, object), return_inverse=True)
@@ -305,6 +310,7 @@ def _comparable(rest: DataFrame, how: Settings) -> DataFrame:
 def _across(rest: DataFrame, how: Settings) -> DataFrame:
     """Pairs (u, v) of components that links join, within the blocks of ``rest`` (cell, low, high, component, shingles)."""
 
+    @in_worker("minhash_dedup")
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, (component, shingles) in _grouped_rows(batches, _BLOCK, ["component", "shingles"]):
             found = joined_components(component, [np.frombuffer(s, np.uint64) for s in shingles], how.percent)
@@ -329,7 +335,8 @@ def _judged(docs: DataFrame, how: Settings | None, folder: str | None) -> DataFr
     spark, how = docs.sparkSession, how or Settings()
     ship(spark)
     folder = folder or scratch(spark, "minhash_dedup")
-    rows = stored(_sketches(docs, how), folder, "sketches")
+    with small_batches(spark):
+        rows = stored(_sketches(docs, how), folder, "sketches")
     classes = stored(_named(rows.filter("cls is not null")).groupBy("cls").agg(
         F.min(F.struct(*_ROW)).alias("first"), F.first("n_shingles").alias("n"), F.first("half").alias("half"),
         F.first("mark").alias("mark")), folder, "classes")
@@ -359,7 +366,8 @@ def _judged(docs: DataFrame, how: Settings | None, folder: str | None) -> DataFr
 
     ends = pairs.select(F.explode(F.array("u", "v")).alias("cls")).distinct()
     texts = stored(_texts(docs, met.join(ends, "cls", "left_semi")), folder, "texts")
-    links = stored(_verified(pairs, texts, how), folder, "links")
+    with small_batches(spark):
+        links = stored(_verified(pairs, texts, how), folder, "links")
     final = stored(components(links, folder, "components"), folder, "joined")
     # Groups that the hub did not join: their members are compared across the components.
     members = groups.filter("size > 2").select("cell", "size", "bytes", "cls").join(
@@ -372,8 +380,9 @@ def _judged(docs: DataFrame, how: Settings | None, folder: str | None) -> DataFr
     rest = stored(_comparable(rest, how), folder, "apart")
     if not rest.isEmpty():
         known = stored(rest.select("cls").distinct().join(met.select("cls", "first"), "cls"), folder, "known")
-        sets = stored(_sets(_texts(docs, known), how), folder, "sets")
-        bridges = stored(_across(rest.join(sets, "cls"), how), folder, "bridges")
+        with small_batches(spark):
+            sets = stored(_sets(_texts(docs, known), how), folder, "sets")
+            bridges = stored(_across(rest.join(sets, "cls"), how), folder, "bridges")
         wider = components(bridges, folder, "bridged").select(F.col("node").alias("component"), F.col("component").alias("wider"))
         # A component of one class is not among the nodes joined so far.
         alone = bridges.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(final, "node", "left_anti")

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wellops.llm.common import scratch, ship, stored, table
+from wellops.llm.common import scratch, ship, stored, table, worker_cache
 from wellops.llm.seekable import Reader, Writer, open_fs
 
 END_ID = 2
@@ -31,7 +31,6 @@ _MISSES_AT_ONCE = 512
 _CACHE_CHARS = 1 << 26
 # A piece that is empty, or has a blank at either end or beside another one: texts with such are encoded whole.
 _NOT_A_PIECE = re.compile(r"^\Z|\s\s|^\s|\s\Z")
-_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
 class Encoder:
@@ -107,9 +106,10 @@ class Encoder:
 
 
 def _encoder(path: str, escape: bool) -> Encoder:
-    if (path, escape) not in _ENCODERS:
-        _ENCODERS[path, escape] = Encoder(path, escape)
-    return _ENCODERS[path, escape]
+    kept = worker_cache("token_files")
+    if (path, escape) not in kept:
+        kept[path, escape] = Encoder(path, escape)
+    return kept[path, escape]
 
 
 def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = END_ID, escape: bool = False) -> DataFrame:
