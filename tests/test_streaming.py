@@ -262,5 +262,5 @@ def test_serve_records_and_refreshes(spark, layout):
     turns = iter([False, True])
     streaming.serve(spark, layout, "200 milliseconds", record_every=0.5, stop=lambda: next(turns), as_of=AS_OF)
     done = {(r["dataset"], r["operation"]) for r in datasets.history(spark, layout).collect()}
-    assert ("silver_production", "STREAMING UPDATE") in done and ("gold_efficiency", "CREATE OR REFRESH") in done
+    assert ("silver_production", "STREAMING UPDATE") in done and ("gold_efficiency", "INCREMENTAL REFRESH") in done
     assert not [q for q in spark.streams.active if layout.root in (q.name or "")]
