@@ -307,6 +307,32 @@ def stream_rescued_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return datasets.read(spark, layout, "bronze_orders").filter("rescued IS NOT NULL").select("order_id", "rescued")
 
 
+def stream_added_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Work orders whose later loads bring three fields more, of which one changes its type: columns after a restart, and
+    filled for the rows that came before."""
+    layout = _landing(spark, "stream_added_columns")
+    known, key = fixtures.raw_orders(spark, sf_dir), F.col("order_id")
+    part = F.pmod(key, F.lit(3))
+    rating = F.when(part == 2, (key % 50) / 4).otherwise(key % 7)
+    lines = known.withColumns({
+        "vendor": F.when(key % 2 == 0, F.concat(F.lit("V"), (key % 9).cast("string"))),
+        "rating": F.when(part == 1, F.to_json(F.struct((key % 7).alias("rating")))).otherwise(F.to_json(F.struct(rating.alias("rating")))),
+        "urgent": key % 5 == 0})
+    base = F.to_json(F.struct(*known.columns, "vendor", "urgent"))
+    lines = lines.select(part.alias("_part"), F.concat(F.substr(base, F.lit(1), F.length(base) - 1), F.lit(","),
+                                                       F.substr("rating", F.lit(2))).alias("value"))
+    land_json(known.filter(part == 0), layout.landing("orders_json"))  # without the fields
+    for load in range(3):
+        if load:
+            lines.filter(F.col("_part") == load).select("value").write.mode("append").text(layout.landing("orders_json"))
+        streaming.run_available(spark, layout, ("bronze_orders", "silver_orders"), as_of=fixtures.AS_OF,
+                                order_rules=ORDER_RULES, options={"newColumns": "add"})
+    streaming.run_available(spark, layout, ("bronze_orders", "silver_orders"), as_of=fixtures.AS_OF,
+                            order_rules=ORDER_RULES, options={"newColumns": "add"})
+    return datasets.read(spark, layout, "silver_orders").select(
+        "order_id", "vendor", "rating", "urgent", F.col("rescued").isNull().alias("nothing_left"))
+
+
 def stream_audit_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows, and how many carry each audit column, of a raw and a validated table."""
     layout = _landing(spark, "stream_audit_columns")
@@ -594,6 +620,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gold_incremental_efficiency": gold_incremental_efficiency,
         "gold_incremental_cost": gold_incremental_cost,
         "stream_rescued_values": stream_rescued_values,
+        "stream_added_columns": stream_added_columns,
         "stream_audit_columns": stream_audit_columns,
         "table_comments": table_comments,
         "union_by_position": union_by_position,

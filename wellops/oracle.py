@@ -245,6 +245,10 @@ def _more() -> dict[str, str]:
             CASE order_id % 10 WHEN 3 THEN '{"order_id":"x' || order_id || '"}' WHEN 4 THEN '{"vendor":"ACME"}'
                  ELSE '{"_line":"no json ' || order_id || '"}' END AS rescued
             FROM raw_orders WHERE order_id % 10 IN (3, 4, 5)""", "raw_orders"),
+        "stream_added_columns": _query(
+            """SELECT order_id, CASE WHEN order_id % 3 > 0 AND order_id % 2 = 0 THEN 'V' || (order_id % 9) END AS vendor,
+            CASE order_id % 3 WHEN 1 THEN CAST(order_id % 7 AS DOUBLE) WHEN 2 THEN (order_id % 50) / 4.0 END AS rating,
+            CASE WHEN order_id % 3 > 0 THEN order_id % 5 = 0 END AS urgent, true AS nothing_left FROM work_orders""", "work_orders"),
         "stream_audit_columns": _query(
             """SELECT 'bronze_orders' AS dataset, count(*) AS row_count, count(*) AS with_time, count(*) AS with_file,
             count(*) AS with_stamp FROM raw_orders UNION ALL

@@ -11,10 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wellops import names, schemas
+from wellops.sinks import evolution
 from wellops.sinks.layout import Layout
 from wellops.sources.landing import RESCUED, remembered_schema, scan, unknown_json_columns
 
 AUDIT_COLUMNS = ["ingested_at", "source_file", RESCUED]
+#: Option: what fields nobody knows do. ``rescue`` keeps them in ``rescued``, ``add`` makes them columns at the next start,
+#: ``fail`` stops (only where the schema is inferred).
+NEW_COLUMNS = "newColumns"
 
 
 def _as_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -36,8 +40,10 @@ def _landed(spark: SparkSession, layout: Layout, source: str, fmt: str, schema:
     known = names.known_columns(schema, glossary)
     found = remembered_schema(spark, layout, source, fmt, known)
     options = dict(options or {})
-    if fmt == "json" and options.pop("newColumns", "rescue") == "fail":
-        if unknown := unknown_json_columns(spark, layout, source, known):
+    mode = options.pop(NEW_COLUMNS, "rescue")
+    if fmt == "json":
+        found = evolution.source_schema(found, evolution.added(spark, layout, source))
+        if mode == "fail" and (unknown := set(unknown_json_columns(spark, layout, source, known)) - set(found.names)):
             raise ValueError(f"{source} has new columns: {', '.join(sorted(unknown))}")
     df = names.to_english(scan(spark, layout.landing(source), fmt, found, stream, options), glossary)
     return _as_schema(df, schema)
@@ -58,6 +64,8 @@ def production_live(spark: SparkSession, layout: Layout, stream: bool = True,
     """The live feed has a fixed schema, because its folder starts empty."""
     schema = names.portuguese_schema(schemas.PRODUCTION, "production") if portuguese else schemas.PRODUCTION
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
+    text = evolution.source_schema(text, evolution.added(spark, layout, "production_live"))
+    options = {k: v for k, v in (options or {}).items() if k != NEW_COLUMNS}
     df = names.to_english(scan(spark, layout.landing("production_live"), "json", text, stream, options), "production")
     return _as_schema(df, schemas.PRODUCTION)
 

@@ -20,7 +20,7 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from wellops.sinks import commits
+from wellops.sinks import commits, evolution
 from wellops.sinks.layout import Layout, file_system
 
 TARGET_BYTES = 128 << 20
@@ -33,7 +33,7 @@ def _plain(uri: str) -> str:
 
 
 def _committed(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
-    return spark.read.parquet(layout.stream(name))
+    return spark.read.schema(evolution.stored_schema(spark, layout, name)).parquet(layout.stream(name))
 
 
 def _listed(spark: SparkSession, base: str) -> dict[str, tuple[str, int, int]]:

@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from wellops.sinks import commits, compaction
+from wellops.sinks import commits, compaction, evolution
 from wellops.sinks.layout import Layout, exists
 
 HISTORY_SCHEMA = ("dataset string, layer string, version bigint, timestamp timestamp, operation string, "
@@ -81,13 +81,15 @@ def read(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
     _, path, _ = latest(spark, layout, name)
     if path is None:
         raise ValueError(f"dataset {name} not found below {layout.root}")
-    return compaction.read(spark, layout, name) if path == layout.stream(name) else spark.read.parquet(path)
+    if path != layout.stream(name):
+        return spark.read.parquet(path)
+    return evolution.read(spark, layout, name, compaction.read(spark, layout, name))
 
 
 def read_stream(spark: SparkSession, layout: Layout, name: str, options: Mapping[str, str] | None = None) -> DataFrame:
-    """A streaming table as the source of the next stream."""
-    path = layout.stream(name)
-    return spark.readStream.options(**(options or {})).schema(spark.read.parquet(path).schema).parquet(path)
+    """A streaming table as the source of the next stream, added columns as they are stored."""
+    schema = evolution.stored_schema(spark, layout, name)
+    return spark.readStream.options(**(options or {})).schema(schema).parquet(layout.stream(name))
 
 
 def stored(df: DataFrame, path: str) -> DataFrame:

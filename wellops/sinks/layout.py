@@ -24,6 +24,10 @@ class Layout:
     def schema(self, name: str) -> str:
         return f"{self.root}/schemas/{name}"
 
+    def schema_versions(self, name: str) -> str:
+        """What a schema became later, by numbered commits."""
+        return f"{self.root}/schema_versions/{name}"
+
     def dataset(self, name: str) -> str:
         """A new folder for one version; which version it becomes is decided by the commit."""
         return f"{self.root}/datasets/{name}/{uuid.uuid4().hex}"

@@ -17,8 +17,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wellops.operators.quality import Rule
 from wellops.plans import bronze, silver
-from wellops.sinks import compaction, datasets
-from wellops.sinks.layout import Layout, save_schema, saved_schema
+from wellops.sinks import compaction, datasets, evolution
+from wellops.sinks.layout import Layout, save_schema
 from wellops.streaming import incremental, metrics
 from wellops.streaming.metrics import METRICS
 
@@ -51,14 +51,17 @@ def build(spark: SparkSession, layout: Layout, name: str, as_of: str | None = No
 
 
 def _check_schema(spark: SparkSession, layout: Layout, name: str, df: DataFrame) -> None:
-    """A streaming table keeps its schema for life; a difference is listed and stops the start."""
-    known = saved_schema(spark, layout.schema(name))
+    """A streaming table keeps its schema but for columns its source gained; any other difference is listed and stops the start."""
+    known = evolution.table_schema(spark, layout, name)
     if known is None:
         save_schema(spark, layout.schema(name), df.schema)
         return
     before = {f.name: f.dataType.simpleString() for f in known}
     now = {f.name: f.dataType.simpleString() for f in df.schema}
-    if before != now:
+    new = now.keys() - before.keys()
+    if new and new <= evolution.allowed(spark, layout, name) and all(now.get(c) == kind for c, kind in before.items()):
+        evolution.save_table_schema(spark, layout, name, df.schema)
+    elif before != now:
         changed = sorted(f"{c}: {before.get(c, 'absent')} -> {now.get(c, 'absent')}"
                          for c in before.keys() | now.keys() if before.get(c) != now.get(c))
         raise ValueError(f"schema of {name} changed: {'; '.join(changed)}")
@@ -68,8 +71,11 @@ def start(spark: SparkSession, layout: Layout, name: str, interval: str | None =
           **settings) -> StreamingQuery:
     """Create or continue a streaming table. Without ``interval`` it takes what is there and ends.
 
-    With ``recorded=False`` nobody listens to its metrics; the next start makes up for it.
+    With ``recorded=False`` nobody listens to its metrics; the next start makes up for it. With the option ``newColumns`` as
+    ``add`` a raw table first makes columns of the fields it rescued; start the tables after it then, so that they have them too.
     """
+    if name in BRONZE and name in evolution.FED_BY and (settings.get("options") or {}).get(bronze.NEW_COLUMNS) == "add":
+        evolution.evolve(spark, layout, name)
     df = build(spark, layout, name, **settings)
     _check_schema(spark, layout, name, df)
     # What an earlier driver did not come to record, before this one goes on.
