@@ -99,3 +99,30 @@ def test_odd_documents(spark, odd_documents):
     uses = Counter(r["doc_id"] for r in out.collect())
     assert max(n for k, n in uses.items() if k != 7) <= 3 and uses[7] <= 9
     assert mixed(odd_documents.limit(0)).count() == 0
+
+
+def _used(sizes, mix):
+    return sorted(map(tuple, with_uses(sizes, mix).select("doc_id", "_pattern", "_size", "uses").collect()))
+
+
+def test_many_patterns_by_tables_give_the_same_mix(spark):
+    """More sources than the driver takes, one with a third of all documents, one nameless, one without words."""
+    rows = [(k, "word " * (5 + k * 7 % 31) if k % 40 != 39 else "", None if k % 40 == 1 else "empty" if k % 40 == 39 else
+             "hot" if k % 3 == 0 else f"s{k % 40}") for k in range(2_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sizes = sized(docs, F.array(encoded(F.col("source")))).select("doc_id", "_pattern", "_size", "_hash")
+    few, many = plan(sizes), plan(sizes, max_patterns=3)
+    assert not many.sources and len(few.sources) > 20
+    assert {r["source"]: (r["source_size"], pytest.approx(r["target"], rel=1e-12)) for r in many.quotas.collect()} == few.sources
+    assert _used(sizes, many) == _used(sizes, few)
+    weights = {s: 1.0 + k % 4 for k, s in enumerate(sorted(few.sources))}
+    assert _used(sizes, plan(sizes, weights, 9_000, max_patterns=3)) == _used(sizes, plan(sizes, weights, 9_000))
+
+
+def test_overlapping_patterns_among_many(spark):
+    rows = [(k, "word " * (3 + k % 11), [f"s{k % 30}", "both"] if k % 30 < 2 else [f"s{k % 30}"]) for k in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, sources array<string>")
+    sizes = sized(docs, F.transform("sources", encoded)).select("doc_id", "_pattern", "_size", "_hash")
+    few, many = plan(sizes), plan(sizes, max_patterns=10)
+    assert set(many.flows) == {p for p in few.flows if "=both" in p}
+    assert _used(sizes, many) == _used(sizes, few)

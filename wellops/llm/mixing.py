@@ -1,7 +1,7 @@
 """Mixing sources to target weights by a min-cost flow over membership patterns.
 
 A document may belong to several sources. All documents with the same set of sources form a pattern, and
-only one row per pattern (its number of words) reaches the driver. There a flow routes the words of the
+only one row per pattern (its number of words) is planned with. A flow routes the words of the
 patterns to the quotas of the sources: the first use of a pattern's words is free, the second costs 1 a
 word, the third 2, so repetition is convex and used only where a quota needs it. The flow of a pattern says
 how often all its documents are taken and how many words more come from a seeded selection of them.
@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import heapq
 from collections import defaultdict
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -150,8 +150,10 @@ def route(words: dict[Pattern, int], quotas: dict[str, float], max_uses: int = M
 class Plan:
     """What the mix takes: per pattern the uses of all documents and the end of the seeded selection."""
     takes: DataFrame          # per pattern the uses of all its documents and the end of the selection
-    sources: dict[str, tuple[int, float]]  # size and target of each source
-    flows: dict[Pattern, dict[str, int]]
+    sources: dict[str, tuple[int, float]]  # size and target of each source; empty where they are too many
+    flows: dict[Pattern, dict[str, int]]   # of the patterns that the driver planned
+    quotas: DataFrame         # size and target of each source, as a table
+    tables: _Tables
 
 
 def sized(docs: DataFrame, members: Column, seed: int = SEED) -> DataFrame:
@@ -183,17 +185,47 @@ def _place() -> Column:
                     F.coalesce("doc_id", F.lit(-2**63)).alias("id"))
 
 
-def plan(sizes: DataFrame, weights: dict[str, float] | None = None, total: float | None = None,
-         max_uses: int = MAX_USES, max_patterns: int = MAX_PATTERNS) -> Plan:
-    """The mix of the documents in ``sizes`` (doc_id, _pattern, _size, _hash, as from ``sized``).
+class _Tables:
+    """Tables of one row per pattern, and the documents that meet them.
 
-    ``weights`` by encoded source; by default 5, 2, 1 in turn, by code point. ``total`` is all words by default.
-    More than ``max_patterns`` patterns are an error: they would not be a summary any more.
+    At most ``MAX_PATTERNS`` rows are broadcast: a join by pattern would deal a third of all documents to one task. More
+    are stored; there the patterns with over a thousandth of the documents, fewer than a thousand, are still broadcast, and
+    the documents of the others shuffled.
     """
-    spark = sizes.sparkSession
-    rows = sizes.groupBy("_pattern").agg(F.sum("_size").alias("words")).limit(max_patterns + 1).collect()
-    if len(rows) > max_patterns:
-        raise ValueError(f"more than {max_patterns} membership patterns")
+
+    def __init__(self, spark: SparkSession, hot: DataFrame | None = None):
+        self.spark, self.hot, self.folder, self.n = spark, hot, scratch(spark, "mixing"), 0
+
+    def keep(self, table: DataFrame) -> DataFrame:
+        if self.hot is None:
+            return F.broadcast(self.spark.createDataFrame(table.collect(), table.schema))
+        self.n += 1
+        return stored(table, self.folder, f"patterns-{self.n}")
+
+    def meet(self, rows: DataFrame, table: DataFrame, on: tuple[str, ...] = ("_pattern",)) -> DataFrame:
+        if self.hot is None:
+            return rows.join(F.broadcast(table), list(on))
+        hot = F.broadcast(self.hot)
+        cold = rows.join(hot, "_pattern", "left_anti").join(table.join(hot, "_pattern", "left_anti"), list(on))
+        return rows.join(F.broadcast(table.join(hot, "_pattern", "left_semi")), list(on)).unionByName(cold)
+
+
+def _shares(flows: dict[Pattern, dict[str, int]], words: dict[Pattern, int], max_uses: int) -> list[tuple[str, int, int]]:
+    """Per pattern how often all its documents are taken, and how many words more."""
+    out = []
+    for pattern, n in words.items():
+        flow = sum(flows[pattern].values())
+        uses = min(max_uses, flow // n) if n else 1
+        out.append(("\x00".join(pattern), int(uses), int(flow - uses * n) if n and uses < max_uses else 0))
+    return out
+
+
+_SHARE = "_pattern string, uses long, more long"
+
+
+def _few(patterns: DataFrame, rows: list, weights: dict[str, float] | None, total: float | None, max_uses: int) -> Plan:
+    """The shares of patterns that fit the driver; ``takes`` is not filled in yet."""
+    spark = patterns.sparkSession
     words = {_parsed(r["_pattern"]): r["words"] for r in rows}
     by_source: dict[str, int] = defaultdict(int)
     for pattern, n in words.items():
@@ -203,22 +235,101 @@ def plan(sizes: DataFrame, weights: dict[str, float] | None = None, total: float
     total = sum(words.values()) if total is None else total
     wanted = targets(dict(by_source), weights, total, max_uses)
     flows = route(words, wanted, max_uses)
+    tables = _Tables(spark)
+    quotas = spark.createDataFrame([(s, n, float(wanted[s])) for s, n in by_source.items()], _QUOTAS)
+    share = F.broadcast(spark.createDataFrame(_shares(flows, words, max_uses), _SHARE))
+    return Plan(share, {s: (by_source[s], wanted[s]) for s in by_source}, flows, quotas, tables)
+
+
+_QUOTAS = "source string, source_size long, target double"
+
+
+def _numbered(sources: DataFrame, tables: _Tables) -> DataFrame:
+    """``sources`` with ``number``, their place by code point, the nameless one last. Sorted by ranges; only the number of
+    rows of each range reaches the driver."""
+    at = tables.keep(sources.orderBy(F.col("source") == "", "source").withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftright("_at", 33)
+    before, offsets = 0, []
+    for r in at.groupBy(part.alias("part")).count().orderBy("part").collect():
+        offsets.append((r["part"], before))
+        before += r["count"]
+    offset = F.broadcast(at.sparkSession.createDataFrame(offsets, "part long, offset long"))
+    numbered = at.withColumn("part", part).join(offset, "part")
+    return numbered.select("source", "source_size", (F.col("offset") + F.col("_at").bitwiseAND(F.lit(2**33 - 1))).alias("number"))
+
+
+def _many(patterns: DataFrame, weights: dict[str, float] | None, total: float | None, max_uses: int, max_patterns: int) -> Plan:
+    """The same for any number of patterns. Sizes, weights and targets are tables; a source that shares no pattern with
+    another has its quota as its flow, and the flow network is for the others only."""
+    spark = patterns.sparkSession
+    all_docs = patterns.agg(F.sum("docs")).first()[0]
+    tables = _Tables(spark, patterns.filter(F.col("docs") * 1000 > all_docs).select("_pattern"))
+    several = F.col("_pattern").contains("\x00")
+    pairs = patterns.select("_pattern", "words", F.explode(F.split("_pattern", "\x00")).alias("source"))
+    sources = pairs.groupBy("source").agg(F.sum("words").alias("source_size"))
+    if weights is None:
+        weight = F.element_at(F.array(*[F.lit(w) for w in WEIGHTS]), (F.col("number") % len(WEIGHTS) + 1).cast("int"))
+        weighed = _numbered(sources, tables).withColumn("weight", weight).drop("number")
+    else:
+        given = spark.createDataFrame([(s, float(w)) for s, w in weights.items()], "source string, weight double")
+        missing = F.raise_error(F.concat(F.lit("no weight for source "), F.col("source"))).cast("double")
+        weighed = sources.join(given, "source", "left").withColumn("weight", F.coalesce("weight", missing))
+    weighed = tables.keep(weighed)
+    total = patterns.agg(F.sum("words")).first()[0] if total is None else total
+    # The level of targets for a weight of one rises until no further source is above its most.
+    most, rest, weight, level, fixed = F.col("source_size") * max_uses, float(total), None, None, -1
+    while True:
+        above = F.lit(False) if level is None else F.col("weight") * F.lit(level) > most
+        n, taken, weight = weighed.agg(F.count_if(above), F.coalesce(F.sum(F.when(above, most)), F.lit(0)),
+                                       F.coalesce(F.sum(F.when(~above, F.col("weight"))), F.lit(0.0))).first()
+        rest = float(total) - taken
+        if n == fixed:
+            break
+        fixed, level = n, rest / weight if weight > 0 else float("inf")
+    target = F.when(above, most.cast("double")).otherwise(F.lit(rest) * F.col("weight") / F.lit(weight or 1.0))
+    quotas = tables.keep(weighed.select("source", "source_size", target.alias("target")))
+
+    together = pairs.filter(several).select("source").distinct()
+    linked = pairs.join(together, "source", "left_semi").select("_pattern", "words").distinct()
+    rows = linked.limit(max_patterns + 1).collect()
+    if len(rows) > max_patterns:
+        raise ValueError(f"more than {max_patterns} membership patterns of sources that overlap")
+    words = {_parsed(r["_pattern"]): r["words"] for r in rows}
+    known = {r["source"]: r["target"] for r in quotas.join(together, "source", "left_semi").collect()}
+    flows = route(words, known, max_uses)
+    flow = F.least(F.rint("target").cast("long"), F.col("words") * max_uses)
+    uses = F.when(F.col("words") == 0, F.lit(1)).otherwise(F.least(F.lit(max_uses), F.floor(F.col("flow") / F.greatest("words", F.lit(1)))))
+    more = F.when((F.col("words") > 0) & (F.col("uses") < max_uses), F.col("flow") - F.col("uses") * F.col("words")).otherwise(0)
+    lone = patterns.join(together.withColumnRenamed("source", "_pattern"), "_pattern", "left_anti").filter(~several).join(
+        quotas.withColumnRenamed("source", "_pattern"), "_pattern")
+    lone = lone.withColumn("flow", flow).withColumn("uses", uses.cast("long")).select("_pattern", "uses", more.cast("long").alias("more"))
+    share = tables.keep(lone.unionByName(spark.createDataFrame(_shares(flows, words, max_uses), _SHARE)))
+    return Plan(share, {}, flows, quotas, tables)
 
-    shares = []
-    for pattern, n in words.items():
-        flow = sum(flows[pattern].values())
-        uses = min(max_uses, flow // n) if n else 1
-        shares.append(("\x00".join(pattern), int(uses), int(flow - uses * n) if n and uses < max_uses else 0))
-    # Tables of one row per pattern, at most max_patterns, are broadcast: a join by pattern would deal a
-    # third of all documents to one task.
-    share = F.broadcast(spark.createDataFrame(shares, "_pattern string, uses long, more long"))
+
+def plan(sizes: DataFrame, weights: dict[str, float] | None = None, total: float | None = None,
+         max_uses: int = MAX_USES, max_patterns: int = MAX_PATTERNS) -> Plan:
+    """The mix of the documents in ``sizes`` (doc_id, _pattern, _size, _hash, as from ``sized``).
+
+    ``weights`` by encoded source; by default 5, 2, 1 in turn, by code point. ``total`` is all words by default.
+    Up to ``max_patterns`` patterns are planned on the driver, more by tables, to the same result. Only patterns of
+    sources that overlap always need the driver, for their flow; more of those than ``max_patterns`` are an error.
+    """
+    spark = sizes.sparkSession
+    patterns = stored(sizes.groupBy("_pattern").agg(F.sum("_size").alias("words"), F.count(F.lit(1)).alias("docs")),
+                      scratch(spark, "mixing"), "patterns")
+    rows = patterns.limit(max_patterns + 1).collect()
+    mix = (_few(patterns, rows, weights, total, max_uses) if len(rows) <= max_patterns
+           else _many(patterns, weights, total, max_uses, max_patterns))
+    share, tables = mix.takes, mix.tables
     bin_ = _level() * 2**_BIN_BITS + F.shiftrightunsigned("_hash", 64 - _BIN_BITS)
-    binned = sizes.join(share.filter("more > 0").select("_pattern", "more"), "_pattern").withColumn("bin", bin_)
+    binned = tables.meet(sizes, share.filter("more > 0").select("_pattern", "more")).withColumn("bin", bin_)
     upto = Window.partitionBy("_pattern").orderBy("bin")
     last = binned.groupBy("_pattern", "more", "bin").agg(F.sum("_size").alias("words")).withColumn(
         "before", F.sum("words").over(upto) - F.col("words")).filter("more > before and more <= before + words")
     # The documents of the bin where the selection ends, a 65,536th part of the pattern on average.
-    inside = binned.join(F.broadcast(last.select("_pattern", "bin", "before")), ["_pattern", "bin"]).withColumn("place", _place())
+    last = last.select("_pattern", "bin", "before")
+    inside = tables.meet(binned, last, ("_pattern", "bin")).withColumn("place", _place())
     along = Window.partitionBy("_pattern").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
     reached = inside.withColumn("reached", F.col("before") + F.sum("_size").over(along))
     within = F.col("reached") <= F.col("more")
@@ -231,27 +342,26 @@ def plan(sizes: DataFrame, weights: dict[str, float] | None = None, total: float
     ends = ends.select("_pattern", "more", F.coalesce("end", begin).alias("end"),
                        (F.col("more") - F.coalesce("got", "before")).alias("gap"))
     ends = ends.withColumn("fills", F.array().cast(f"array<{ends.schema['end'].dataType.simpleString()}>"))
-    ends = F.broadcast(spark.createDataFrame(ends.collect(), ends.schema))
+    ends = tables.keep(ends)
     # A few more documents, of those not selected each time the one nearest to what is missing.
     miss = F.abs(F.col("_size") - F.col("gap"))
     for _ in range(_FILLS):
-        fill = sizes.join(ends, "_pattern").withColumn("place", _place()).filter(
+        fill = tables.meet(sizes, ends).withColumn("place", _place()).filter(
             (F.col("place") > F.col("end")) & ~F.array_contains("fills", F.col("place")) & (miss < F.col("gap"))).groupBy(
             "_pattern").agg(F.min(F.struct(miss.alias("miss"), "place", "_size")).alias("fill"))
         ends = ends.join(fill, "_pattern", "left").select(
             "_pattern", "more", "end", (F.col("gap") - F.coalesce("fill._size", F.lit(0))).alias("gap"),
             F.when(F.col("fill").isNull(), F.col("fills")).otherwise(F.concat("fills", F.array("fill.place"))).alias("fills"))
-        ends = F.broadcast(spark.createDataFrame(ends.collect(), ends.schema))
+        ends = tables.keep(ends)
     takes = share.join(ends.select("_pattern", "end", "fills"), "_pattern", "left").select(
         "_pattern", "uses", "more", "end", "fills")
-    takes = F.broadcast(spark.createDataFrame(takes.collect(), takes.schema))
-    return Plan(takes, {s: (by_source[s], wanted[s]) for s in by_source}, flows)
+    return replace(mix, takes=tables.keep(takes))
 
 
 def with_uses(sizes: DataFrame, mix: Plan) -> DataFrame:
     """``sizes`` with ``uses``: how often the mix takes each document."""
     selected = (F.col("_place") <= F.col("end")) | F.array_contains("fills", F.col("_place"))
-    joined = sizes.join(mix.takes.withColumnRenamed("uses", "_uses"), "_pattern").withColumn("_place", _place())
+    joined = mix.tables.meet(sizes, mix.takes.withColumnRenamed("uses", "_uses")).withColumn("_place", _place())
     uses = F.col("_uses") + F.coalesce(selected, F.lit(False)).cast("long")
     return joined.withColumn("uses", uses).drop("_uses", "more", "_place", "end", "fills")
 
@@ -277,8 +387,6 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sized(docs, F.array(encoded(F.col("source")))).select("doc_id", "_pattern", "_size", "_hash")
     sizes = stored(rows, scratch(spark, "mixing"), "sizes")
     mix = plan(sizes)
-    known = spark.createDataFrame([(s, n, float(t)) for s, (n, t) in mix.sources.items()],
-                                  "_pattern string, source_size long, target double")
-    return with_uses(sizes, mix).join(F.broadcast(known), "_pattern").select(
+    return mix.tables.meet(with_uses(sizes, mix), mix.quotas.withColumnRenamed("source", "_pattern")).select(
         "doc_id", F.col("_size").alias("size"), "source_size", "target",
         (F.col("uses") * F.col("_size")).alias("taken"))
