@@ -4,7 +4,7 @@ import compare
 import pytest
 from pyspark.sql import functions as F
 
-from wellops.llm.url_filter import ORACLE_SQL, build, contains, judge, op5_url_filter
+from wellops.llm.url_filter import ORACLE_SQL, build, build_shards, contains, judge, marked, op5_url_filter
 
 
 def test_matches_sql(spark, sf_dir):
@@ -50,3 +50,22 @@ def test_cascade_limits(spark):
     assert build(keys.limit(0), keys).levels == ()
     with pytest.raises(ValueError, match="join"):
         build(keys, keys, max_bits=64)
+
+
+@pytest.mark.parametrize("n,share,max_bits", [(4_000, 3, 1_024), (300, 1, 128)])
+def test_long_lists_are_split_and_exact(spark, n, share, max_bits):
+    universe = spark.range(n).select(F.concat(F.lit("key "), "id").alias("key"), "id")
+    listed = universe.filter(F.col("id") % share == 0).select("key")
+    cascades = build_shards(listed, universe.select("key"), max_bits)
+    assert len(cascades) > 2 and {c.shard for c in cascades} == set(range(len(cascades)))
+    assert max(level.bits for c in cascades for level in c.levels) <= max_bits
+    rows = universe.union(spark.createDataFrame([(None, None)], "key string, id long"))
+    got = marked(rows, {"listed": F.col("key"), "other": F.lit(None).cast("string")}, cascades)
+    assert got.count() == n + 1
+    assert got.filter("listed != coalesce(id % {0} = 0, false) or other".format(share)).count() == 0
+
+
+def test_rules_in_shards_give_the_same_verdicts(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    assert judge(pages, max_bits=63).exceptAll(judge(pages)).count() == 0
+    assert build_shards(pages.selectExpr("url as key").limit(0), pages.selectExpr("url as key"))[0].levels == ()

@@ -6,7 +6,8 @@ in turn until nothing passes by mistake. A key is listed if the first filter it
 even number (counted from one); over the universe the cascade was built for the answer is exact.
 
 A cascade needs about 1.5 log2(universe / listed) bits a listed key, so it is small next to the list and far
-smaller than the corpus. Everything runs as column expressions; nothing but the bits passes the driver.
+smaller than the corpus. Everything runs as column expressions; nothing but the bits passes the driver. A list whose
+bits would be too many for one task is split by a hash of the key into cascades that are asked one after the other.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wellops.llm.common import scratch, stored, table
+from wellops.llm.common import discard, scratch, stored, table
 
 MAX_BITS = 1 << 26
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -38,7 +39,10 @@ class Level:
 
 @dataclass(frozen=True)
 class Cascade:
+    """``levels`` answer for the keys of one of ``shards`` shards."""
     levels: tuple[Level, ...]
+    shard: int = 0
+    shards: int = 1
 
 
 def _positions(key: Column, number: int, bits: int, hashes: int) -> list[Column]:
@@ -61,18 +65,49 @@ def _passes(key: Column, number: int, level: Level) -> Column:
     return out
 
 
+def _shard(key: Column, shards: int) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit(-1)), F.lit(shards))
+
+
 def contains(cascade: Cascade, key: Column) -> Column:
-    """Whether ``key`` is listed; exact for keys of the universe, false for null."""
+    """Whether ``key`` is listed; exact for keys of the universe, false for null and for keys of other shards."""
     answer = F.lit(len(cascade.levels) % 2 == 1)
     for number in range(len(cascade.levels) - 1, -1, -1):
         answer = F.when(_passes(key, number, cascade.levels[number]), answer).otherwise(F.lit(number % 2 == 1))
-    return F.coalesce(key.isNotNull() & answer, F.lit(False))
+    here = key.isNotNull() if cascade.shards == 1 else _shard(key, cascade.shards) == cascade.shard
+    return F.coalesce(key.isNotNull() & here & answer, F.lit(False))
+
+
+def marked(rows: DataFrame, keys: dict[str, Column], cascades: list[Cascade]) -> DataFrame:
+    """``rows`` with a boolean column per name of ``keys``: whether that key is listed.
+
+    One cascade is column expressions only. Of several each is a pass of its own that ends in a written table, so
+    a task holds the bits of one.
+    """
+    folder = scratch(rows.sparkSession, "cascade_marks") if len(cascades) > 1 else ""
+    for k, cascade in enumerate(cascades):
+        rows = rows.withColumns({name: contains(cascade, key) | F.col(name) if k else contains(cascade, key)
+                                 for name, key in keys.items()})
+        if folder:
+            rows = stored(rows, folder, f"shard-{k}")
+            if k:
+                discard(rows.sparkSession, folder, f"shard-{k - 1}")
+    return rows
+
+
+def _rate(n: int, other: int) -> float:
+    """So sharp a first filter that about as many keys pass it by chance as are listed."""
+    return min(0.5, n / (math.sqrt(2) * other)) if other else 0.5
+
+
+def _bits(n: int, rate: float) -> int:
+    return max(64, 64 * math.ceil(-n * math.log(rate) / math.log(2) ** 2 / 64))
 
 
-def _level(keys: DataFrame, n: int, rate: float, number: int, max_bits: int) -> Level:
-    bits = max(64, 64 * math.ceil(-n * math.log(rate) / math.log(2) ** 2 / 64))
-    if bits > max_bits:
-        raise ValueError(f"{n} keys need {bits} bits, over {max_bits}; filter such a list by a join")
+def _level(keys: DataFrame, n: int, rate: float, number: int, max_bits: int | None) -> Level:
+    bits = _bits(n, rate)
+    if max_bits is not None and bits > max_bits:
+        raise ValueError(f"{n} keys need {bits} bits, over {max_bits}; filter such a list by build_shards, or by a join")
     hashes = max(1, round(bits / n * math.log(2))) if n < bits else 1
     hashes = min(hashes, max(1, math.ceil(-math.log2(rate))))
     places = keys.select(F.explode(F.array(*_positions(F.col("key"), number, bits, hashes))).alias("place"))
@@ -84,26 +119,47 @@ def _level(keys: DataFrame, n: int, rate: float, number: int, max_bits: int) ->
     return Level(bits, hashes, tuple(words))
 
 
+def _distinct(listed: DataFrame, universe: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The listed keys, and those of the universe that are not."""
+    inside = stored(listed.select("key").filter("key is not null").distinct(), folder, "listed")
+    outside = universe.select("key").filter("key is not null").distinct().join(inside, "key", "left_anti")
+    return inside, stored(outside, folder, "unlisted")
+
+
+def build_shards(listed: DataFrame, universe: DataFrame, max_bits: int = MAX_BITS) -> list[Cascade]:
+    """The cascades of a list of any length: one while its first filter is within ``max_bits``, else one per shard of the keys,
+    each about half of that."""
+    folder = scratch(listed.sparkSession, "cascade")
+    inside, outside = _distinct(listed, universe, folder)
+    n = inside.count()
+    bits = _bits(n, _rate(n, outside.count())) if n else 0
+    shards = 1 if bits <= max_bits else math.ceil(2 * bits / max_bits)
+    if shards == 1:
+        return [Cascade(_levels(inside, outside, folder, None))]
+    own = [F.col("key").isNotNull() & (_shard(F.col("key"), shards) == k) for k in range(shards)]
+    return [Cascade(_levels(inside.filter(own[k]), outside.filter(own[k]), f"{folder}/{k}", None), k, shards) for k in range(shards)]
+
+
 def build(listed: DataFrame, universe: DataFrame, max_bits: int = MAX_BITS) -> Cascade:
     """The cascade of the keys ``listed`` (key) within ``universe`` (key, all keys that will be asked).
 
     Null keys count as none; repeated ones once. Neither table needs to be inside the other. A list whose
-    first filter would be over ``max_bits`` is refused: the bits are part of every task.
+    first filter would be over ``max_bits`` is refused, as the bits are part of every task; ``build_shards`` splits it.
     """
     folder = scratch(listed.sparkSession, "cascade")
-    inside = stored(listed.select("key").filter("key is not null").distinct(), folder, "listed")
-    outside = stored(universe.select("key").filter("key is not null").distinct().join(inside, "key", "left_anti"),
-                     folder, "unlisted")
+    return Cascade(_levels(*_distinct(listed, universe, folder), folder, max_bits))
+
+
+def _levels(inside: DataFrame, outside: DataFrame, folder: str, max_bits: int | None) -> tuple[Level, ...]:
     n, other = inside.count(), outside.count()
     levels: list[Level] = []
     while n:
-        # The first filter is made sharp enough that about as many keys pass it by chance as are listed.
-        rate = min(0.5, n / (math.sqrt(2) * other)) if not levels and other else 0.5
+        rate = 0.5 if levels else _rate(n, other)
         number = len(levels)
         levels.append(_level(inside, n, rate, number, max_bits))
         passing = stored(outside.filter(_passes(F.col("key"), number, levels[-1])), folder, f"passing-{number}")
         inside, outside, n = passing, inside, passing.count()
-    return Cascade(tuple(levels))
+    return tuple(levels)
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -126,13 +182,14 @@ def candidates(host: Column, path: Column, shapes: list[tuple[int, int]]) -> lis
     return out
 
 
-def judge(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, default: str = DEFAULT) -> DataFrame:
+def judge(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, default: str = DEFAULT,
+          max_bits: int = MAX_BITS) -> DataFrame:
     """``pages`` (page_id, url) as page_id, host, path, rule, verdict.
 
     A rule fits its host and all subdomains if the path starts with the rule's; of several the longest wins,
     at equal length the one with the longer host. Where none fits, the rule is null and the verdict ``default``:
     the cascade has found none of the URL's keys in the list. Repeated rows are judged each, an empty
-    table gives none, other columns are ignored.
+    table gives none, other columns are ignored. A URL of any length is read whole, a null one has neither host nor path.
     """
     spark = pages.sparkSession
     host, path = url_parts(F.col("url"))
@@ -141,14 +198,15 @@ def judge(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, def
     keys = candidates(F.col("host"), F.col("path"), shapes)
     universe = stored(urls.select(F.explode(F.array(*keys)).alias("key")).filter("key is not null").distinct(),
                       scratch(spark, "url_keys"), "universe")
-    found = []
-    for verdict in sorted({v for _, _, v in rules}):
+    found, marks = [], urls
+    for v, verdict in enumerate(sorted({v for _, _, v in rules})):
         listed = spark.createDataFrame([(h + p,) for h, p, v in rules if v == verdict], "key string")
-        cascade = build(listed, universe)
-        found += [F.when(contains(cascade, key), F.struct(
+        named = {f"_listed_{v}_{k}": key for k, key in enumerate(keys)}
+        marks = marked(marks, named, build_shards(listed, universe, max_bits))
+        found += [F.when(F.col(f"_listed_{v}_{k}"), F.struct(
             F.length(key).alias("size"), (F.length(key) - characters).alias("host_size"), key.alias("rule"),
-            F.lit(verdict).alias("verdict"))) for key, (_, characters) in zip(keys, shapes)]
-    best = urls.withColumn("_best", F.array_max(F.array(*found)))
+            F.lit(verdict).alias("verdict"))) for k, (key, (_, characters)) in enumerate(zip(keys, shapes))]
+    best = marks.withColumn("_best", F.array_max(F.array(*found)))
     return best.select("page_id", "host", "path", F.col("_best.rule").alias("rule"),
                        F.coalesce("_best.verdict", F.lit(default)).alias("verdict"))
 
