@@ -277,6 +277,19 @@ def stream_silver_wells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return datasets.read(spark, layout, "silver_wells").drop(*AUDIT)
 
 
+def stream_wells_lowest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Later copies of the codes land and are taken first; once the first copies have come the wells are those of a batch run."""
+    layout = _landing(spark, "stream_wells_lowest")
+    raw = fixtures.raw_wells(spark, sf_dir)
+    first = first_per_key(raw, "sap_code", ["well_id"])
+    later = raw.join(first.select("sap_code", "well_id"), ["sap_code", "well_id"], "left_anti").select(raw.columns)
+    for k, part in enumerate((later, first)):
+        land_csv(part, layout.landing("wells_csv"), mode="append" if k else "overwrite")
+        _stream(spark, layout, "bronze_wells")
+        wells = incremental.refresh_wells(spark, layout, fixtures.AS_OF)
+    return wells.drop(*AUDIT)
+
+
 def stream_silver_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = _landing(spark, "stream_silver_orders")
     land_json(fixtures.raw_orders(spark, sf_dir), layout.landing("orders_json"))
@@ -607,6 +620,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top5_costs": _over(bi.top_costs, _OW),
         "stream_bronze_production": stream_bronze_production,
         "stream_silver_wells": stream_silver_wells,
+        "stream_wells_lowest": stream_wells_lowest,
         "stream_silver_production": stream_silver_production,
         "stream_silver_orders": stream_silver_orders,
         "stream_incremental": stream_incremental,

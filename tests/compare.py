@@ -1,4 +1,4 @@
-"""Order-insensitive comparison of a Spark result with SQL run on DuckDB over the same files."""
+"""Comparison of a Spark result with SQL run on DuckDB over the same files, without or with the order of the rows."""
 
 from __future__ import annotations
 
@@ -56,3 +56,13 @@ def differences(result: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) ->
         return [f"{len(got)} rows, expected {len(want)}"]
     bad = [(g, w) for g, w in zip(got, want) if g != w]
     return [f"{len(bad)} rows differ, first {bad[0]}"] if bad else []
+
+
+def order_differences(result: DataFrame, con: duckdb.DuckDBPyConnection, sql: str, order_by: str) -> list[str]:
+    """Where the rows, as they come, leave the order that ``sql`` has by ``order_by``. Only the sort keys are compared by
+    place, as rows of equal keys may come in any order."""
+    keys = [k.split()[0] for k in order_by.split(",")]
+    want = [tuple(map(_plain, r)) for r in con.sql(f"SELECT {', '.join(keys)} FROM ({sql}) ORDER BY {order_by}").fetchall()]
+    got = [tuple(_plain(r[k]) for k in keys) for r in result.collect()]
+    return [f"place {k}: {g}, expected {w}" for k, (g, w) in enumerate(zip(got, want)) if g != w] + (
+        [f"{len(got)} rows, expected {len(want)}"] if len(got) != len(want) else [])

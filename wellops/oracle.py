@@ -383,6 +383,7 @@ def _main() -> dict[str, str]:
         "stream_bronze_production": _query(
             "SELECT * REPLACE (CAST(prod_date AS VARCHAR) AS prod_date) FROM raw_production", "raw_production"),
         "stream_silver_wells": _query("SELECT * FROM wells", "wells"),
+        "stream_wells_lowest": _query("SELECT * FROM wells", "wells"),
         "stream_silver_production": _query("SELECT * FROM production", "production"),
         "stream_silver_orders": _query("SELECT * FROM work_orders", "work_orders"),
         "stream_incremental": _query(

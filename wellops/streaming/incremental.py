@@ -9,20 +9,25 @@ Every measure of the aggregates is a sum or a count, so partial results per well
    reading again.
 3. The aggregates follow from the totals and the wells.
 
+The wells themselves can follow the same way: per code the row with the lowest id of all that ever came, so that the result is that of
+a batch run whatever the order of arrival (``refresh_wells``), where the streaming table keeps the first arrival.
+
 Distinct wells by field and day are kept as sketches, which merge as well. A well that is not among the validated wells
 yet waits, with its days, until it is.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from wellops.operators.quality import Rule
 from wellops.operators.rollup import merged
-from wellops.plans import gold
+from wellops.plans import gold, silver
 from wellops.plans.pipeline import publish_gold
 from wellops.sinks import datasets
 from wellops.sinks.layout import Layout, numbered
@@ -39,6 +44,7 @@ class Partial:
     table: str
     of: Callable[[DataFrame], DataFrame]
     by: Sequence[str]
+    merge: Callable[[DataFrame, Sequence[str]], DataFrame] = merged
 
 
 def days_of_wells(production: DataFrame) -> DataFrame:
@@ -51,9 +57,29 @@ DAYS = Partial("silver_production", days_of_wells, ("well_id", "prod_date"))
 PARTIALS = {"total_readings_per_well": READINGS, "total_orders_per_well": ORDERS, SEEN: DAYS}
 
 
+def lowest(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Per key the row that comes first by id and then by its other columns, and when the key was last seen.
+
+    Combines before the shuffle, and in any order: the lowest of partial results is the lowest of all rows. Rows without a
+    code are one group, an id that is null is the lowest, as in a batch run.
+    """
+    rest = [c for c in rows.columns if c not in (*by, "well_id", LAST_SEEN)]
+    row = F.min(F.struct("well_id", *rest)).alias("row")
+    return rows.groupBy(*by).agg(row, F.max(LAST_SEEN).alias(LAST_SEEN)).select(
+        *[c if c in (*by, LAST_SEEN) else F.col(f"row.{c}") for c in rows.columns])
+
+
+def wells_by_code(raw: DataFrame) -> DataFrame:
+    return lowest(silver.normalise_wells(raw).withColumn(LAST_SEEN, F.col("ingested_at")), ("sap_code",))
+
+
+LAST_SEEN, LOWEST, WELLS = "last_seen", "total_wells_by_code", "current_wells"
+_KEPT = {**PARTIALS, LOWEST: Partial("bronze_wells", wells_by_code, ("sap_code",), lowest)}
+
+
 def collect_partials(spark: SparkSession, layout: Layout, name: str, options: dict[str, str] | None = None) -> None:
     """Bring the partial results of a total up to date with its table, and stop."""
-    what, folder = PARTIALS[name], layout.partials(name)
+    what, folder = _KEPT[name], layout.partials(name)
 
     def write(df: DataFrame, batch: int) -> None:
         what.of(df).write.mode("overwrite").parquet(f"{folder}/{batch}")
@@ -80,14 +106,16 @@ def pending(spark: SparkSession, layout: Layout, name: str) -> DataFrame | None:
     return spark.read.schema(spark.read.parquet(paths[0]).schema).parquet(*paths)
 
 
-def _refreshed(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
-    """The total with everything that is new, published where something is."""
+def _refreshed(spark: SparkSession, layout: Layout, name: str, keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """The total with everything that is new, published where something is. ``keep`` selects what the total goes on with."""
     last, batches = _new(spark, layout, name)
     if batches:
-        total = merged(pending(spark, layout, name), PARTIALS[name].by)
+        total = _KEPT[name].merge(pending(spark, layout, name), _KEPT[name].by)
+        if keep is not None:
+            total = keep(total)
         datasets.publish(spark, layout, name, total, operation=OPERATION, facts={"through": batches[-1]})
     elif last is None:  # a table without rows
-        return PARTIALS[name].of(datasets.read(spark, layout, PARTIALS[name].table))
+        return _KEPT[name].of(datasets.read(spark, layout, _KEPT[name].table))
     return datasets.read(spark, layout, name)
 
 
@@ -114,11 +142,35 @@ def active_wells(sketches: DataFrame, *by: str) -> DataFrame:
     return sketches.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("active_wells"))
 
 
-def refresh(spark: SparkSession, layout: Layout, options: dict[str, str] | None = None) -> None:
-    """Refresh the three aggregates and the sketches of a layout of streaming tables from what is new since the last time."""
+def refresh_wells(spark: SparkSession, layout: Layout, as_of: str | None = None, rules: Sequence[Rule] | None = None,
+                  forget_after_days: int | None = None, options: dict[str, str] | None = None) -> DataFrame:
+    """Validated wells, one per code by the lowest id, from the raw rows that are new; published as ``WELLS`` and returned.
+
+    What is kept is one row per code. With ``forget_after_days`` a code that no row had for so long before the newest one
+    is forgotten, and a later row of it counts as its first. A run that fails by a rule leaves the published wells as they were.
+    """
+    collect_partials(spark, layout, LOWEST, options)
+
+    def recent(total: DataFrame) -> DataFrame:
+        newest = total.agg(F.max(LAST_SEEN) - F.make_dt_interval(F.lit(forget_after_days)))
+        return total.filter(F.col(LAST_SEEN) >= newest.scalar())
+
+    kept = _refreshed(spark, layout, LOWEST, None if forget_after_days is None else recent)
+    seen = Observation(f"{WELLS}_{uuid.uuid4().hex}")
+    checked = silver.wells(kept.drop(LAST_SEEN), as_of, "dedup", rules, seen)
+    datasets.publish(spark, layout, WELLS, checked, "Validated wells, the lowest id of each code", metrics=seen, operation=OPERATION)
+    return datasets.read(spark, layout, WELLS)
+
+
+def refresh(spark: SparkSession, layout: Layout, options: dict[str, str] | None = None, lowest_wells: bool = False,
+            as_of: str | None = None) -> None:
+    """Refresh the three aggregates and the sketches of a layout of streaming tables from what is new since the last time.
+
+    With ``lowest_wells`` the wells are those of ``refresh_wells``, not the first arrivals.
+    """
     for name in PARTIALS:
         collect_partials(spark, layout, name, options)
-    wells = datasets.read(spark, layout, "silver_wells")
+    wells = refresh_wells(spark, layout, as_of, options=options) if lowest_wells else datasets.read(spark, layout, "silver_wells")
     _sketched(spark, layout, wells)
     publish_gold(spark, layout, _refreshed(spark, layout, "total_readings_per_well"), _refreshed(spark, layout, "total_orders_per_well"),
                  wells, OPERATION)

@@ -118,7 +118,8 @@ def start_all(spark: SparkSession, layout: Layout, interval: str = "30 seconds",
 
 
 def serve(spark: SparkSession, layout: Layout, interval: str = "30 seconds", record_every: float = 60.0,
-          refresh_every: float = 900.0, compact_every: float = 86_400.0, stop: Callable[[], bool] = lambda: False, **settings) -> None:
+          refresh_every: float = 900.0, compact_every: float = 86_400.0, stop: Callable[[], bool] = lambda: False,
+          lowest_wells: bool = False, **settings) -> None:
     """Always-on service: tables running, metrics recorded, aggregates refreshed, closed small files packed, until ``stop``
     says so.
 
@@ -137,7 +138,7 @@ def serve(spark: SparkSession, layout: Layout, interval: str = "30 seconds", rec
                 if (failure := query.exception()) is not None:
                     raise failure
             if ending or time.monotonic() - refreshed >= refresh_every:
-                incremental.refresh(spark, layout)
+                incremental.refresh(spark, layout, lowest_wells=lowest_wells, as_of=settings.get("as_of"))
                 refreshed = time.monotonic()
             if time.monotonic() - compacted >= compact_every:
                 for name in running:
