@@ -85,7 +85,10 @@ def test_scenarios_have_change_and_band_by_value(registered):
         value = _by_hand(nodes, [float(r[c]) for c in FEATURE_COLUMNS])
         change = 100 * (value - r["prev_week_oil_bbl"]) / r["prev_week_oil_bbl"]
         assert math.isclose(r[forecast.PREDICTION], value, rel_tol=1e-9)
-        assert math.isclose(r["change_pct"], change, rel_tol=1e-6, abs_tol=1e-2), (r["change_pct"], change)
+        assert math.isclose(r["change_pct"], change, rel_tol=1e-9, abs_tol=1e-9)
+        assert r["direction"] == ("up" if value >= r["prev_week_oil_bbl"] else "down")
+        share = value / max(2 * value, 200_000)
+        assert r["band"] == ("low" if share < 0.3 else "medium" if share < 0.7 else "high")
 
 
 def test_null_features_and_no_rows(spark, registered):
