@@ -77,6 +77,21 @@ def test_family_that_no_hub_joins(spark):
     same(near_duplicates(docs, Settings(block=16)), rows)
 
 
+def test_gatherings_compared_whole_or_table_by_table(spark, tmp_path, monkeypatch):
+    rows = family(1, 150, 9) + family(2, 40, 14, first=1000) + family(3, 3, 3, first=2000)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(minhash_dedup, "discard", lambda *_: None)
+    taken = {}
+    for most in (0, 10**6):
+        monkeypatch.setattr(minhash_dedup, "_ROWS_A_TABLE_ROW", most)
+        same(near_duplicates(docs, Settings(block=16), folder=f"{tmp_path}/run-{most}"), rows)
+        read = {name: spark.read.parquet(f"{tmp_path}/run-{most}/{name}") for name in ("costly", "members", "met")}
+        taken[most] = {name: df.count() for name, df in read.items()}
+        # A class is in one gathering at most.
+        assert read["members"].select("cls").distinct().count() == taken[most]["members"] <= taken[most]["met"]
+    assert taken[0]["costly"] > 0 == taken[10**6]["costly"]
+
+
 def test_copies_and_shared_passages(spark):
     draw = random.Random(5)
     passage = " ".join(f"p{k}" for k in range(40))

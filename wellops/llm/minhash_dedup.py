@@ -11,10 +11,12 @@ agrees with probability 0.99992, so 0.02 % of such pairs are missed, of pairs at
 3. In each table group the class that shares most half-keys is the hub, and all others are compared with it: one pair per
    member, not all pairs of a group. Pairs that agree in too few of the hashes are dropped, the others are verified on
    their texts, and the links are joined to components.
-4. Where a group still has several components, members are compared across them in blocks of bounded size: first by their
-   hashes, which leaves few members, then by their full shingle sets, where one matrix product gives the sizes of
-   all intersections of a block. What leaves the task is a spanning forest of the components that links join, never the
-   links. So no link of a group is lost to the choice of the hub, and no group is expanded into pairs.
+4. Components that still meet in some table are gathered, and a gathering is compared once, not table by table. The members
+   outside its largest component are compared with all others in blocks of bounded size: first by their hashes, which
+   leaves few, then by their full shingle sets, where one matrix product gives the sizes of all intersections of a
+   block. What leaves the task is a spanning forest of the components that links join, never the links. So no link is
+   lost to the choice of the hub, and no group is expanded into pairs. A gathering that would take more rows than its tables
+   have is compared table by table.
 
 Links are confirmed on the full sets of shingles (in step 4 on their 64-bit hashes), not on sketches.
 """
@@ -27,7 +29,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wellops.llm.common import discard, in_worker, scratch, ship, small_batches, stored, table, utf8
@@ -38,6 +40,7 @@ _BATCH_BYTES = 1 << 19
 _HASHES_AT_ONCE = 1 << 15
 _COLUMNS_AT_ONCE = 1 << 11
 _BLOCK_BYTES = 4 << 20
+_ROWS_A_TABLE_ROW = 1  # a gathering is compared as a whole where that takes at most so many rows for each row of its tables
 _TURN = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
 
 
@@ -273,42 +276,102 @@ def _grouped_rows(batches: Iterator[pa.RecordBatch], key: list[str], values: lis
         yield name, held
 
 
-_BLOCK = ["cell", "low", "high"]
+def _in_component(rows: DataFrame, final: DataFrame, column: str, name: str) -> DataFrame:
+    """``rows`` with ``name``, the component of the class in ``column``; a class without links is its own."""
+    of = final.select(F.col("node").alias(column), F.col("component").alias(name))
+    return rows.join(of, column, "left").withColumn(name, F.coalesce(name, column))
 
 
-def _comparable(rest: DataFrame, how: Settings) -> DataFrame:
-    """cell, low, high, cls and component of the members of the groups in ``rest`` (cell, size, bytes, cls, component, mark) that agree
-    in enough hashes with a member of another component, by pair of blocks."""
-    schema = pa.schema([("cell", pa.int64()), ("low", pa.int32()), ("high", pa.int32()), ("cls", pa.binary()), ("component", pa.binary())])
+def _measured(members: DataFrame, how: Settings) -> DataFrame:
+    """Of each gathering of ``members`` (gathering, cls, component, n): its largest component, the blocks of that (behind) and of
+    the other members (before), and the rows that comparing it takes. What fits one block is one block."""
+
+    def blocks(count: Column, size: Column) -> Column:
+        return F.greatest(F.ceil(count / how.block), F.ceil(size / _BLOCK_BYTES)).cast("int")
+
+    each = members.groupBy("gathering", "component").agg(F.count(F.lit(1)).alias("k"), (F.sum("n") * 8).alias("bytes"))
+    sums = each.groupBy("gathering").agg(F.max(F.struct("k", "bytes", "component")).alias("most"), F.sum("k").alias("k"), F.sum("bytes").alias("bytes"))
+    most, k, size = F.col("most.k"), F.col("k"), F.col("bytes")
+    one = blocks(k, size) <= 1
+    return sums.select("gathering", "k", "most", F.when(one, 0).otherwise(blocks(most, F.col("most.bytes"))).alias("behind"),
+                       F.when(one, 1).otherwise(blocks(k - most, size - F.col("most.bytes"))).alias("before")).select(
+        "gathering", F.col("most.component").alias("largest"), "before", "behind",
+        ((k - most) * (F.col("before") + F.col("behind")) + most * F.col("before")).alias("rows"))
+
+
+def _gathered(star: DataFrame, groups: DataFrame, sizes: DataFrame, final: DataFrame, how: Settings, folder: str) -> DataFrame:
+    """gathering, cls, component and n of the classes (``sizes``: cls, n) that may be linked across the components ``final``.
+
+    Two components are tied if a member of one has the other's hub in a table of ``star`` (cls, hub, tables); all members of a table
+    are in components that ties join. Tables of a single component tie nothing.
+    """
+    spark = groups.sparkSession
+    ties = stored(_in_component(_in_component(star, final, "cls", "u"), final, "hub", "v").groupBy("u", "v").agg(
+        F.sum("tables").alias("tables")), folder, "ties")
+    joined = components(ties.select("u", "v"), f"{folder}/gathering", "step").select(
+        F.col("node").alias("component"), F.xxhash64("component").alias("gathering"))
+    joined = stored(joined, folder, "gathered")
+    discard(spark, folder, "gathering")
+    whole = _in_component(sizes.select("cls", "n"), final, "cls", "component").join(joined, "component")
+    whole = stored(whole.select("gathering", "cls", "component", "n"), folder, "members")
+    tables = ties.withColumnRenamed("v", "component").join(joined, "component").groupBy("gathering").agg(F.sum("tables").alias("tables"))
+    costly = stored(_measured(whole, how).join(tables, "gathering").filter(
+        (F.col("behind") > 0) & (F.col("rows") > F.col("tables") * _ROWS_A_TABLE_ROW)).select("gathering"), folder, "costly")
+    if costly.isEmpty():
+        return whole
+    members = groups.filter("size > 2").select("cell", "size", "cls").join(
+        whole.join(costly, "gathering", "left_semi").drop("gathering"), "cls")
+    same = [F.bit_xor(F.xxhash64(F.lit(k), "cls")).alias(f"set_{k}") for k in (0, 1)]
+    apart = members.groupBy("cell", "size").agg((F.min("component") < F.max("component")).alias("apart"), *same)
+    # Tables with the same members are one group.
+    apart = apart.filter("apart").groupBy("size", "set_0", "set_1").agg(F.min("cell").alias("cell")).select("cell")
+    by_table = members.join(apart, "cell", "left_semi").select(F.col("cell").alias("gathering"), "cls", "component", "n")
+    return whole.join(costly, "gathering", "left_anti").unionByName(by_table)
+
+
+_BLOCK = ["gathering", "low", "high"]
+
+
+def _comparable(members: DataFrame, classes: DataFrame, how: Settings) -> DataFrame:
+    """gathering, low, high, cls and component of the ``members`` (gathering, cls, component, n) that agree in enough hashes with a
+    member of another component, by pair of blocks."""
+    schema = pa.schema([("gathering", pa.int64()), ("low", pa.int32()), ("high", pa.int32()), ("cls", pa.binary()), ("component", pa.binary())])
 
     @in_worker("minhash_dedup")
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (cell, low, high), (cls, component, mark) in _grouped_rows(batches, _BLOCK, ["cls", "component", "mark"]):
+        for (gathering, low, high), (cls, component, mark, block) in _grouped_rows(batches, _BLOCK, ["cls", "component", "mark", "block"]):
             _, of = np.unique(np.array(component, object), return_inverse=True)
             marks = np.frombuffer(b"".join(mark), np.uint8).reshape(len(cls), -1)
             found = np.zeros(len(cls), bool)
-            apart = np.flatnonzero(of != np.bincount(of).argmax())
-            for start in range(0, len(apart), 64):
-                part = apart[start:start + 64]
-                near = ((marks[part][:, None] == marks).sum(axis=2) >= how.least_equal) & (of[part][:, None] != of)
+            if low == high:
+                rows, columns = np.flatnonzero(of != np.bincount(of).argmax()), np.arange(len(cls))
+            else:
+                rows, columns = (np.flatnonzero(np.array(block) == own) for own in (low, high))
+            for start in range(0, len(rows), 64):
+                part = rows[start:start + 64]
+                near = ((marks[part][:, None] == marks[columns]).sum(axis=2) >= how.least_equal) & (of[part][:, None] != of[columns])
                 found[part] |= near.any(axis=1)
-                found |= near.any(axis=0)
+                found[columns] |= near.any(axis=0)
             keep = np.flatnonzero(found).tolist()
             yield pa.RecordBatch.from_arrays(
-                [pa.array([v] * len(keep), t) for v, t in ((cell, pa.int64()), (low, pa.int32()), (high, pa.int32()))]
+                [pa.array([v] * len(keep), t) for v, t in ((gathering, pa.int64()), (low, pa.int32()), (high, pa.int32()))]
                 + [pa.array([c[k] for k in keep], pa.binary()) for c in (cls, component)], schema=schema)
 
-    blocks = F.greatest(F.ceil(F.col("size") / how.block), F.ceil(F.col("bytes") / _BLOCK_BYTES)).cast("int")
-    own = F.pmod(F.xxhash64("cls"), blocks).cast("int")
-    # Each member meets the members of every block of its group once; groups of one block are not repeated.
-    dealt = rest.withColumns({"block": own, "other": F.explode(F.sequence(F.lit(0), blocks - 1))}).withColumns(
+    # The largest component's members meet the blocks of all others, which meet every block; blocks of the
+    # largest do not meet each other. Gatherings of one block are not repeated.
+    most = (F.col("component") == F.col("largest")) & (F.col("behind") > 0)
+    spot = F.xxhash64("cls")
+    own = F.when(most, F.col("before") + F.pmod(spot, F.greatest("behind", F.lit(1)))).otherwise(F.pmod(spot, F.greatest("before", F.lit(1))))
+    last = F.when(most, F.col("before")).otherwise(F.col("before") + F.col("behind")) - 1
+    dealt = members.join(_measured(members, how), "gathering").withColumns(
+        {"block": own.cast("int"), "other": F.explode(F.sequence(F.lit(0), last.cast("int")))}).withColumns(
         {"low": F.least("block", "other"), "high": F.greatest("block", "other")})
-    return dealt.select(*_BLOCK, "cls", "component", "mark").repartition(*_BLOCK).sortWithinPartitions(*_BLOCK).mapInArrow(
-        compare, "cell long, low int, high int, cls binary, component binary")
+    return dealt.select(*_BLOCK, "block", "cls", "component").join(classes.select("cls", "mark"), "cls").repartition(
+        *_BLOCK).sortWithinPartitions(*_BLOCK).mapInArrow(compare, "gathering long, low int, high int, cls binary, component binary")
 
 
 def _across(rest: DataFrame, how: Settings) -> DataFrame:
-    """Pairs (u, v) of components that links join, within the blocks of ``rest`` (cell, low, high, component, shingles)."""
+    """Pairs (u, v) of components that links join, within the blocks of ``rest`` (gathering, low, high, component, shingles)."""
 
     @in_worker("minhash_dedup")
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -355,13 +418,12 @@ def _judged(docs: DataFrame, how: Settings | None, folder: str | None) -> DataFr
     # The table of each pair of half-keys, and its group.
     cells = met.select("cls", "n", "popular", "b", F.explode("a").alias("a")).select(
         "cls", "n", "popular", "a", F.explode("b").alias("b")).select("cls", "n", "popular", F.xxhash64("a", "b").alias("cell"))
-    hubs = cells.groupBy("cell").agg(F.max(F.struct("popular", "cls", "n")).alias("hub"), F.count(F.lit(1)).alias("size"),
-                                     (F.sum("n") * 8).alias("bytes"))
-    hubs = hubs.filter("size > 1").select("cell", "size", "bytes", F.col("hub.cls").alias("hub"), F.col("hub.n").alias("hub_n"))
+    hubs = cells.groupBy("cell").agg(F.max(F.struct("popular", "cls", "n")).alias("hub"), F.count(F.lit(1)).alias("size"))
+    hubs = hubs.filter("size > 1").select("cell", "size", F.col("hub.cls").alias("hub"), F.col("hub.n").alias("hub_n"))
     groups = stored(cells.select("cell", "cls", "n").join(hubs, "cell"), folder, "groups")
     fits = f"100 * least(n, hub_n) >= {how.percent} * greatest(n, hub_n)"
-    pairs = groups.filter("cls <> hub").filter(fits).select(
-        F.least("cls", "hub").alias("u"), F.greatest("cls", "hub").alias("v")).distinct()
+    star = stored(groups.filter("cls <> hub").groupBy("cls", "hub", "n", "hub_n").agg(F.count(F.lit(1)).alias("tables")), folder, "star")
+    pairs = star.filter(fits).select(F.least("cls", "hub").alias("u"), F.greatest("cls", "hub").alias("v")).distinct()
     pairs = stored(_likely(pairs, classes, how), folder, "pairs")
 
     ends = pairs.select(F.explode(F.array("u", "v")).alias("cls")).distinct()
@@ -369,15 +431,9 @@ def _judged(docs: DataFrame, how: Settings | None, folder: str | None) -> DataFr
     with small_batches(spark):
         links = stored(_verified(pairs, texts, how), folder, "links")
     final = stored(components(links, folder, "components"), folder, "joined")
-    # Groups that the hub did not join: their members are compared across the components.
-    members = groups.filter("size > 2").select("cell", "size", "bytes", "cls").join(
-        final.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-    same = [F.bit_xor(F.xxhash64(F.lit(k), "cls")).alias(f"set_{k}") for k in (0, 1)]
-    apart = members.groupBy("cell", "size").agg((F.min("component") < F.max("component")).alias("apart"), *same)
-    # Tables with the same members are one group.
-    apart = apart.filter("apart").groupBy("size", "set_0", "set_1").agg(F.min("cell").alias("cell")).select("cell")
-    rest = members.join(apart, "cell", "left_semi").join(classes.select("cls", "mark"), "cls")
-    rest = stored(_comparable(rest, how), folder, "apart")
+    # What the hubs did not join is compared across the components.
+    members = _gathered(star, groups, met, final, how, folder)
+    rest = stored(_comparable(members, classes, how), folder, "apart")
     if not rest.isEmpty():
         known = stored(rest.select("cls").distinct().join(met.select("cls", "first"), "cls"), folder, "known")
         with small_batches(spark):
@@ -392,7 +448,8 @@ def _judged(docs: DataFrame, how: Settings | None, folder: str | None) -> DataFr
     labelled = classes.select("cls", F.when(~F.col("first.no_id"), F.col("first.id")).alias("first_id")).join(final.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "component", F.coalesce("component", "cls"))
     labelled = stored(labelled, folder, "labelled")
-    discard(spark, folder, "classes", "met", "groups", "pairs", "texts", "links", "joined", "apart", "known", "sets", "bridges")
+    discard(spark, folder, "classes", "met", "groups", "star", "pairs", "texts", "links", "joined", "ties", "gathered",
+            "members", "costly", "apart", "known", "sets", "bridges")
     smallest = labelled.groupBy("component").agg(F.min("first_id").alias("component_id"))
     by_class = labelled.join(smallest, "component").select("cls", "component", "component_id")
     answer = rows.select("doc_id", "text_hash", "n_shingles", "cls").join(by_class, "cls", "left")
