@@ -490,15 +490,21 @@ def deduplicated(docs: DataFrame, *hows: Settings, unnamed: bool = False) -> Dat
     an id go, as they cannot be named, unless ``unnamed``: then they come after all others of their group, so one
     stays where no row with an id is near.
     """
-    grouped = _grouped(docs, hows or (Settings(),))
-    if not unnamed:
-        grouped = grouped.filter("doc_id is not null")
-    named = _named(grouped)
-    first = named.filter("group is not null").groupBy("group").agg(F.min(F.struct(*_ROW)).alias("first"))
-    kept = first.select("first.*").union(named.filter("group is null").select(*_ROW))
+    folder = scratch(docs.sparkSession, "minhash_dedup")
+    grouped = _named(_grouped(docs, hows or (Settings(),)))
     rows = _named(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.struct(*docs.columns).alias("_row")))
-    once = rows.join(kept, [*_ROW], "left_semi").groupBy(*_ROW).agg(F.first("_row").alias("_row"))
-    return once.select("_row.*")
+    if not unnamed:
+        grouped, rows = grouped.filter("not no_id"), rows.filter("not no_id")
+    texts = grouped.groupBy(*_ROW).agg(F.count(F.lit(1)).alias("copies"), F.first("group").alias("group"))
+    first = texts.filter("group is not null").groupBy("group").agg(F.min(F.struct(*_ROW)).alias("first"))
+    first = first.select("first.*", F.lit(True).alias("is_first"))
+    judged = texts.join(first, [*_ROW], "left").select(
+        *_ROW, "copies", (F.col("group").isNull() | F.col("is_first").isNotNull()).alias("stays"))
+    # Texts that go, or that repeat, are fewer than those that stay as they are: their list may be small enough for Spark to send
+    # it to the documents, which are then not shuffled.
+    other = stored(judged.filter("copies > 1 or not stays").select(*_ROW, "stays"), folder, "other")
+    again = rows.join(other.filter("stays"), [*_ROW], "left_semi").groupBy(*_ROW).agg(F.first("_row").alias("_row"))
+    return rows.join(other, [*_ROW], "left_anti").select("_row.*").union(again.select("_row.*"))
 
 
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
