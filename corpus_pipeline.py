@@ -14,9 +14,14 @@ from wellops.llm import decontamination, language_id, minhash_dedup, mixing, tok
 from wellops.llm.common import scratch, stored, table
 
 
+#: The least share of a text that its language must have. Below one half, so that texts of two languages stay.
+MIN_LANGUAGE_SCORE = 0.4
+
+
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of no language (null, or without a letter) go. The network learns from ``docs``."""
-    return language_id.accepted(docs, language_id.fit(docs))
+    """Documents of no language go: null, without a letter, or of no language by ``MIN_LANGUAGE_SCORE`` as the network
+    scores them. It learns from ``docs``."""
+    return language_id.accepted(docs, language_id.fit(docs), MIN_LANGUAGE_SCORE)
 
 
 #: Near copies by either measure: similarity 0.8 on shingles of five words, and the 0.85 on three words of op7, which
