@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from wellops.plans import features, gold
 
 BUCKETS = 256
+#: Rows a bucket holds on average at most. A bucket is sorted, and rolled up, by one task.
+BUCKET_ROWS = 250_000
 HOT = 4
 
 
@@ -34,12 +36,16 @@ class ByWell:
 
 
 def store(spark: SparkSession, namespace: str, production: DataFrame, wells: DataFrame, buckets: int = BUCKETS) -> ByWell:
-    """Write the tables below a namespace, replacing what they held."""
-    counts = production.groupBy("well_id").count()
-    total = production.count()
-    frequent = F.broadcast(counts.filter(F.col("count") * buckets > F.lit(HOT) * total).select("well_id"))
-    hot = production.join(frequent, "well_id", "left_semi").select(*production.columns)
-    rest = production.join(frequent, "well_id", "left_anti").select(*production.columns)
+    """Write the tables below a namespace, replacing what they held. More than ``buckets`` are used where one would hold more than
+    ``BUCKET_ROWS`` on average."""
+    spark.sql(f"DROP TABLE IF EXISTS {namespace}.rows_of_wells")
+    production.groupBy("well_id").count().write.format("parquet").saveAsTable(f"{namespace}.rows_of_wells")
+    counts = spark.table(f"{namespace}.rows_of_wells")
+    total = counts.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+    buckets = max(buckets, -(-total // BUCKET_ROWS))
+    frequent = [r["well_id"] for r in counts.filter(F.col("well_id").isNotNull() & (F.col("count") * buckets > F.lit(HOT) * total)).collect()]
+    of_frequent = F.coalesce(F.col("well_id").isin(frequent), F.lit(False)) if frequent else F.lit(False)
+    hot, rest = production.filter(of_frequent), production.filter(~of_frequent)
     for df, name in ((rest, "readings_by_well"), (wells, "wells_by_well")):
         # One task a bucket, so that each bucket is one sorted file.
         (df.repartition(buckets, "well_id").write.mode("overwrite").bucketBy(buckets, "well_id").sortBy("well_id")
