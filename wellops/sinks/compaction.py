@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wellops.sinks import commits, evolution
-from wellops.sinks.layout import Layout, file_system
+from wellops.sinks.layout import Layout, file_system, unsorted_folders
 
 TARGET_BYTES = 128 << 20
 _MANIFEST = "kind string, path string, base string, part string, bytes long"
@@ -130,7 +130,8 @@ def compact(spark: SparkSession, layout: Layout, name: str, before: dt.datetime
     base = f"{layout.packed(name)}/{uuid.uuid4().hex}"
     seen = Observation(f"compaction_{uuid.uuid4().hex}")
     writer = packed_rows.repartition(sum(bins.values()), *partition_by, "_bin").observe(seen, F.count(F.lit(1)).alias("n")).drop("_bin").write
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(base)
+    with unsorted_folders(spark):
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(base)
     if (written := seen.get["n"]) != (found := rows.count()):
         raise RuntimeError(f"compaction of {name} wrote {written} of {found} rows")
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wellops.sinks import commits, compaction, evolution
-from wellops.sinks.layout import Layout, exists
+from wellops.sinks.layout import Layout, exists, unsorted_folders
 
 HISTORY_SCHEMA = ("dataset string, layer string, version bigint, timestamp timestamp, operation string, "
                   "operation_metrics map<string,string>, path string, comment string, writer string")
@@ -69,8 +69,10 @@ def publish(spark: SparkSession, layout: Layout, name: str, df: DataFrame, comme
         df = df.observe(metrics, F.count(F.lit(1)).alias("kept"))
     writer = df.write.mode("errorifexists")
     if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+        with unsorted_folders(spark):
+            writer.partitionBy(partition_by).parquet(path)
+    else:
+        writer.parquet(path)
     seen = {**metrics.get, **(facts or {})}
     commits.commit_next(spark, layout.history(name), entry(name, operation, seen, path, comment))
     return seen

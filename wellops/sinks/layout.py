@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -96,3 +98,22 @@ def saved_schema(spark: SparkSession, location: str) -> T.StructType | None:
 
 def save_schema(spark: SparkSession, location: str, schema: T.StructType) -> None:
     spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("errorifexists").text(location)
+
+
+#: Folders a task may have open files in at a time; it sorts only the rows of further ones.
+OPEN_FOLDERS = 64
+
+
+@contextmanager
+def unsorted_folders(spark: SparkSession) -> Iterator[None]:
+    """Writes by folder that begin within keep a file open per folder, where Spark would sort all rows of a task first.
+
+    The setting is put back at the end; a stream started within keeps it.
+    """
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(OPEN_FOLDERS))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
