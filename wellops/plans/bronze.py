@@ -6,7 +6,9 @@ and a line that is no row are kept in ``rescued``, a JSON object of names and te
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,7 +33,9 @@ def _as_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
         unread = F.map_filter(F.create_map(*[x for c in texts for x in (F.lit(c), F.when(cast[c].isNull(), F.col(c)))]),
                               lambda name, text: text.isNotNull() & (F.trim(text) != ""))
         both = F.map_concat(F.coalesce(F.from_json(RESCUED, "map<string,string>"), none), unread)
-        cast[RESCUED] = F.when(F.size(both) > 0, F.to_json(both))
+        # Maps are built for the few rows that have anything to rescue.
+        any_left = reduce(Column.__or__, [cast[c].isNull() & (F.trim(c) != "") for c in texts], F.col(RESCUED).isNotNull())
+        cast[RESCUED] = F.when(any_left, F.when(F.size(both) > 0, F.to_json(both)))
     return df.withColumns(cast)
 
 

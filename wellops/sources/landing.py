@@ -89,8 +89,8 @@ def _json_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
     That is the fields that are not in ``schema``, values that are not of the type there, or the whole
     line under ``_line`` if it is no JSON object. Null where nothing was left over.
     """
-    fields = F.from_json("value", "map<string,string>")
-    known, row = [f.name for f in schema], F.from_json("value", schema)
+    fields, row = F.col("_fields"), F.col("_row")
+    known = [f.name for f in schema]
     typed = [f.name for f in schema if f.dataType != T.StringType()]
 
     def left_over(name, text):
@@ -102,8 +102,10 @@ def _json_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
     extra = F.map_filter(fields, left_over)
     broken = (F.trim("value") != "") & (fields.isNull() | ~F.trim("value").startswith("{"))
     rescued = F.when(broken, F.create_map(F.lit(LINE), F.col("value"))).when(F.size(extra) > 0, extra)
-    return lines.filter(F.trim("value") != "").select(
-        row.alias("_row"), F.to_json(rescued).alias(RESCUED), "_metadata").select("_row.*", RESCUED, "_metadata")
+    # Each line is parsed once for its columns and once for all its fields.
+    parsed = lines.filter(F.trim("value") != "").select(
+        "value", F.from_json("value", schema).alias("_row"), F.from_json("value", "map<string,string>").alias("_fields"), "_metadata")
+    return parsed.select("_row.*", F.when(rescued.isNotNull(), F.to_json(rescued)).alias(RESCUED), "_metadata")
 
 
 def scan(spark: SparkSession, path: str, fmt: str, schema: T.StructType, stream: bool = True,
