@@ -368,7 +368,7 @@ def stream_history_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     batches without metrics and runs them again.
     """
     layout = _landing(spark, "stream_history_complete")
-    raw = fixtures.raw_production(spark, sf_dir).withColumn("_part", F.pmod("well_id", F.lit(4)))
+    raw = datasets.stored(fixtures.raw_production(spark, sf_dir).withColumn("_part", F.pmod("well_id", F.lit(4))), layout.scratch("loads"))
     for part in range(4):
         land_csv(raw.filter(F.col("_part") == part).drop("_part"), layout.landing("production_csv"), mode="append")
         for name in ("bronze_production", "silver_production"):
