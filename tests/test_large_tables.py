@@ -13,7 +13,7 @@ from test_layouts import _inputs, namespace  # noqa: F401
 
 from wellops.plans import bronze, gold
 from wellops.sinks import by_well, datasets
-from wellops.sinks.landing import land_json
+from wellops.sinks.landing import land_csv, land_json
 from wellops.streaming import pipeline as streaming
 
 AS_OF = "2024-01-29"
@@ -34,6 +34,19 @@ def test_writes_by_folder_keep_files_open(spark, layout, monkeypatch):
     assert {(r["reading_id"], r["year"]) for r in found.collect()} == {(str(k), 2000 + k % 5) for k in range(100)}
 
 
+def test_streams_by_folder_keep_files_open(spark, layout):
+    before = spark.conf.get(SETTING)
+    spark.conf.set(SETTING, "0")
+    try:
+        land_csv(_readings(spark).repartition(1), layout.landing("production_csv"))
+        streaming.run_available(spark, layout, ["bronze_production", "silver_production"], as_of=AS_OF)
+        assert spark.conf.get(SETTING) == "64"  # the sink reads it at every micro-batch
+        found = datasets.read(spark, layout, "silver_production")
+        assert {(int(r["reading_id"]), r["year"]) for r in found.collect()} == {(k, 2000 + k % 5) for k in range(100)}
+    finally:
+        spark.conf.set(SETTING, before)
+
+
 def _spy(plain, spark, seen):
     def call(self, *columns):
         seen.append(spark.conf.get(SETTING))

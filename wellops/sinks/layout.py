@@ -102,18 +102,23 @@ def save_schema(spark: SparkSession, location: str, schema: T.StructType) -> Non
 
 #: Folders a task may have open files in at a time; it sorts only the rows of further ones.
 OPEN_FOLDERS = 64
+_OPEN = "spark.sql.maxConcurrentOutputFileWriters"
 
 
-@contextmanager
-def unsorted_folders(spark: SparkSession) -> Iterator[None]:
-    """Writes by folder that begin within keep a file open per folder, where Spark would sort all rows of a task first.
+def keep_folders_open(spark: SparkSession) -> None:
+    """Writes by folder keep a file open per folder, where Spark would sort all rows of a task first.
 
-    The setting is put back at the end; a stream started within keeps it.
+    For streams: their sink reads the setting of the session at every micro-batch, so it stays.
     """
-    setting = "spark.sql.maxConcurrentOutputFileWriters"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, str(OPEN_FOLDERS))
+    spark.conf.set(_OPEN, str(OPEN_FOLDERS))
+
+
+@contextmanager
+def unsorted_folders(spark: SparkSession) -> Iterator[None]:
+    """The same for the batch writes within; the setting is put back at the end."""
+    before = spark.conf.get(_OPEN)
+    keep_folders_open(spark)
     try:
         yield
     finally:
-        spark.conf.set(setting, before)
+        spark.conf.set(_OPEN, before)

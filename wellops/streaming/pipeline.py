@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from wellops.operators.quality import Rule
 from wellops.plans import bronze, silver
 from wellops.sinks import compaction, datasets, evolution
-from wellops.sinks.layout import Layout, save_schema, unsorted_folders
+from wellops.sinks.layout import Layout, keep_folders_open, save_schema
 from wellops.streaming import incremental, metrics
 from wellops.streaming.metrics import METRICS
 
@@ -89,9 +89,9 @@ def start(spark: SparkSession, layout: Layout, name: str, interval: str | None =
               .option("checkpointLocation", layout.checkpoint(name)))
     if name in PARTITIONED:
         writer = writer.partitionBy(*PARTITIONED[name])
+        keep_folders_open(spark)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
-    with unsorted_folders(spark):
-        return writer.start(layout.stream(name))
+    return writer.start(layout.stream(name))
 
 
 def record(spark: SparkSession, layout: Layout, name: str, **settings) -> None:
