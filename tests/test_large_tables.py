@@ -11,7 +11,7 @@ import rows
 from pyspark.sql import functions as F
 from test_layouts import _inputs, namespace  # noqa: F401
 
-from wellops.plans import bronze, gold
+from wellops.plans import bronze, gold, silver
 from wellops.sinks import by_well, datasets
 from wellops.sinks.landing import land_csv, land_json
 from wellops.streaming import pipeline as streaming
@@ -77,3 +77,35 @@ def test_maps_are_built_for_rows_to_rescue_only(spark, layout):
     assert out.getvalue().count("from_json(MapType(StringType,StringType,true), value") == 1  # once a line, not at every use
     assert sorted((r["rescued"] for r in df.collect() if r["rescued"]), key=len) == [
         '{"vendor":"V"}', '{"order_id":"x2"}', '{"_line":"no json"}']
+
+
+PARTS = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_batch_writes_take_tables_in_small_parts(spark, layout, monkeypatch):
+    before, seen = [spark.conf.get(name) for name in PARTS], []
+    df = _readings(spark)
+    plain = type(df.write).parquet
+    monkeypatch.setattr(type(df.write), "parquet", lambda self, path: (seen.append([spark.conf.get(name) for name in PARTS]), plain(self, path))[1])
+    datasets.publish(spark, layout, "bronze_production", df)
+    datasets.stored(df, layout.scratch("stored"))
+    assert seen == [[str(16 << 20), str(32 << 20)]] * 2
+    assert [spark.conf.get(name) for name in PARTS] == before
+    spark.conf.set(PARTS[0], "1m")
+    try:
+        datasets.stored(df, layout.scratch("stored"))
+        assert seen[-1][0] == str(1 << 20) and spark.conf.get(PARTS[0]) == "1m"  # smaller settings stay
+    finally:
+        spark.conf.set(PARTS[0], before[0])
+
+
+def test_only_the_year_is_derived_before_rows_are_gathered(spark):
+    plain, gathered = (silver.production(_readings(spark), AS_OF, stamp=False, gather_years=g) for g in (False, True))
+    assert gathered.schema == plain.schema
+    assert sorted(gathered.collect()) == sorted(plain.collect())
+    out = io.StringIO()
+    with redirect_stdout(out):
+        gathered.explain("extended")
+    analyzed = out.getvalue().split("== Analyzed")[1].split("== Optimized")[0]
+    below = analyzed.split("RebalancePartitions")[1]
+    assert "AS year" in below and not any(f"AS {c}#" in below for c in ("is_outlier", "is_high_bsw", "month", "day"))

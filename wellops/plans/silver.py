@@ -55,21 +55,27 @@ def wells(raw: DataFrame, as_of: str | None = None, variant: str = "dedup",
     return _stamped(checked, stamp)
 
 
-def production_before_rules(raw: DataFrame, variant: str = "all") -> DataFrame:
+def production_before_rules(raw: DataFrame, variant: str = "all", gather_years: bool = False) -> DataFrame:
     """``all`` keeps every raw column, ``plain`` only the listed ones.
 
-    Typed values come first and the columns derived from them second, so that each cast is written once.
+    Typed values come first and the columns derived from them second, so that each cast is written once. Rows are
+    gathered by year in between, so that no other derived column is shuffled.
     """
     readings = typed(raw, schemas.PRODUCTION)
     if variant == "plain":
         readings = readings.select(*schemas.PRODUCTION_COLUMNS)
-    return readings.withColumns({
+    derived = {
         "is_outlier": flag(F.col("oil_bbl") > OUTLIER_OIL_BBL),
         "is_high_bsw": flag(F.col("bsw_pct") > MAX_BSW_PCT),
         "year": F.year("prod_date"),
         "month": F.month("prod_date"),
         "day": F.dayofmonth("prod_date"),
-    })
+    }
+    if not gather_years:
+        return readings.withColumns(derived)
+    order = readings.withColumns(derived).columns
+    gathered = readings.withColumn("year", derived.pop("year")).hint("rebalance", "year")
+    return gathered.withColumns(derived).select(*order)
 
 
 def production(raw: DataFrame, as_of: str | None = None, variant: str = "all",
@@ -82,9 +88,7 @@ def production(raw: DataFrame, as_of: str | None = None, variant: str = "all",
     writes, where a repeated task counts once.
     """
     rules = production_rules(as_of) if rules is None else rules
-    df = production_before_rules(raw, variant)
-    if gather_years:
-        df = df.hint("rebalance", "year")
+    df = production_before_rules(raw, variant, gather_years)
     return _stamped(apply_rules(df, rules, observe), stamp)
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wellops.sinks import commits, compaction, evolution
-from wellops.sinks.layout import Layout, exists, unsorted_folders
+from wellops.sinks.layout import Layout, exists, small_parts, unsorted_folders
 
 HISTORY_SCHEMA = ("dataset string, layer string, version bigint, timestamp timestamp, operation string, "
                   "operation_metrics map<string,string>, path string, comment string, writer string")
@@ -68,11 +68,12 @@ def publish(spark: SparkSession, layout: Layout, name: str, df: DataFrame, comme
         metrics = Observation(f"{name}_{path[-32:]}")
         df = df.observe(metrics, F.count(F.lit(1)).alias("kept"))
     writer = df.write.mode("errorifexists")
-    if partition_by:
-        with unsorted_folders(spark):
-            writer.partitionBy(partition_by).parquet(path)
-    else:
-        writer.parquet(path)
+    with small_parts(spark):
+        if partition_by:
+            with unsorted_folders(spark):
+                writer.partitionBy(partition_by).parquet(path)
+        else:
+            writer.parquet(path)
     seen = {**metrics.get, **(facts or {})}
     commits.commit_next(spark, layout.history(name), entry(name, operation, seen, path, comment))
     return seen
@@ -96,5 +97,6 @@ def read_stream(spark: SparkSession, layout: Layout, name: str, options: Mapping
 
 def stored(df: DataFrame, path: str) -> DataFrame:
     """Write a table once and go on from the files, for inputs that several jobs read."""
-    df.write.mode("errorifexists").parquet(path)
+    with small_parts(df.sparkSession):
+        df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

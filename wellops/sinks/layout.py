@@ -122,3 +122,23 @@ def unsorted_folders(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         spark.conf.set(_OPEN, before)
+
+
+#: Bytes of files, and of shuffled rows, that a task of a batch write takes. A file holds a reading in 10 to 20 bytes; as rows that wait
+#: for a shuffle, a sort or a rollup they take ten times that, so at Spark's 128 MB of files a task would spill.
+FILE_PART, SHUFFLE_PART = 16 << 20, 32 << 20
+_PARTS = {"spark.sql.files.maxPartitionBytes": FILE_PART, "spark.sql.adaptive.advisoryPartitionSizeInBytes": SHUFFLE_PART}
+
+
+@contextmanager
+def small_parts(spark: SparkSession) -> Iterator[None]:
+    """Jobs that run within take tables in parts that fit the memory of a task, however large the tables are; smaller settings stay."""
+    before = {name: spark.conf.get(name) for name in _PARTS}
+    in_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    for name, most in _PARTS.items():
+        spark.conf.set(name, str(min(most, in_bytes(before[name]))))
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
