@@ -11,7 +11,7 @@ import rows
 from pyspark.sql import functions as F
 from test_layouts import _inputs, namespace  # noqa: F401
 
-from wellops.plans import bronze, gold, silver
+from wellops.plans import bronze, features, gold, silver
 from wellops.sinks import by_well, datasets
 from wellops.sinks.landing import land_csv, land_json
 from wellops.streaming import pipeline as streaming
@@ -109,3 +109,18 @@ def test_only_the_year_is_derived_before_rows_are_gathered(spark):
     analyzed = out.getvalue().split("== Analyzed")[1].split("== Optimized")[0]
     below = analyzed.split("RebalancePartitions")[1]
     assert "AS year" in below and not any(f"AS {c}#" in below for c in ("is_outlier", "is_high_bsw", "month", "day"))
+
+
+def test_weeks_hold_no_row_of_sums_per_well(spark):
+    """Wells are not told apart by an aggregate of their own, and copies of a well count as they did."""
+    readings = silver.production(_readings(spark), AS_OF).unionByName(silver.production(
+        rows.readings(spark, *[{"reading_id": k, "well_id": w, "prod_date": "2001-05-17"} for k, w in enumerate((2, 2, 3, 4, 9))]), AS_OF))
+    wells = spark.createDataFrame([(1, "A"), (1, "A"), (1, "B"), (2, "A"), (2, "A"), (3, None), (3, None), (4, "B"), (None, "A")],
+                                  "well_id long, field string")
+    df = features.weekly_production(readings, wells)
+    joined = features.weekly_per_well(readings).join(wells, "well_id")
+    assert sorted(map(str, df.collect())) == sorted(map(str, features.weekly_of_located(joined).collect()))
+    out = io.StringIO()
+    with redirect_stdout(out):
+        df.explain("simple")
+    assert not any("keys=[field" in line and "well_id" in line.split("functions=")[0] for line in out.getvalue().splitlines())

@@ -21,7 +21,7 @@ def weekly_production(production: DataFrame, wells: DataFrame, iso_year: bool =
     By default the year is the calendar year, so the last days of December may fall in week 1 of
     the year that ends; ``iso_year=True`` uses the year of the week instead.
     """
-    result = weekly_of_located(weekly_per_well(production, iso_year).join(wells.select("well_id", "field"), "well_id"))
+    result = weekly_of_located(in_fields(weekly_per_well(production, iso_year), wells), one_row_a_well=True)
     return result.orderBy("field", "year", "week") if sort else result
 
 
@@ -34,15 +34,27 @@ def weekly_per_well(production: DataFrame, iso_year: bool = False) -> DataFrame:
                              ["oil_bbl", "bsw_pct", "wellhead_psi", "temp_c", "hours_on"])
 
 
-def weekly_of_located(per_well: DataFrame) -> DataFrame:
-    """Weeks by field from readings summed by well and week, with the field of the well."""
+def in_fields(per_well: DataFrame, wells: DataFrame) -> DataFrame:
+    """Sums per well and week with the field of the well. Copies of a well in a field are one row that counts as often."""
+    copies = wells.groupBy("well_id", "field").agg(F.count(F.lit(1)).alias("copies"))
+    sums = [c for c in per_well.columns if c.startswith(("n_", "sum_"))]
+    return per_well.join(copies, "well_id").withColumns({c: F.col(c) * F.col("copies") for c in sums}).drop("copies")
+
+
+def weekly_of_located(per_well: DataFrame, one_row_a_well: bool = False) -> DataFrame:
+    """Weeks by field from readings summed by well and week, with the field of the well.
+
+    ``one_row_a_well``: no well has two rows in a week and field, so its rows are counted as they are. Telling
+    wells apart would have every task hold a row of sums for each well and week.
+    """
+    active = F.count("well_id") if one_row_a_well else F.countDistinct("well_id")
     return (per_well.groupBy("field", "year", "week")
             .agg(total("oil_bbl").alias("weekly_oil_bbl"),
                  mean("bsw_pct").alias("mean_bsw_pct"),
                  mean("wellhead_psi", 1).alias("mean_wellhead_psi"),
                  mean("temp_c", 1).alias("mean_temp_c"),
                  mean("hours_on", 1).alias("mean_hours_on"),
-                 F.countDistinct("well_id").alias("active_wells")))
+                 active.alias("active_wells")))
 
 
 def with_earlier_weeks(weekly: DataFrame, frame: tuple[int, int] = (-3, 0)) -> DataFrame:
