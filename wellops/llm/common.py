@@ -93,6 +93,29 @@ def small_batches(spark: SparkSession, rows: int = 512) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+_EARLY = {"spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+          "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+          "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
+          "spark.sql.optimizer.runtimeFilter.number.threshold": "2"}
+
+
+@contextmanager
+def early_filter(spark: SparkSession) -> Iterator[None]:
+    """Joins that run inside, of a large table with a list of some of its rows, drop most other rows before the shuffle.
+
+    Spark builds Bloom filters of the first two join columns of the list, of 1 MB each, where the list is too long to be
+    broadcast. It does so for lists with a comparison in a filter, which it takes for selective.
+    """
+    before = {name: spark.conf.get(name) for name in _EARLY}
+    for name, value in _EARLY.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def discard(spark: SparkSession, folder: str, *names: str) -> None:
     """Remove intermediate results that nothing reads any more: what was made from them is itself stored."""
     for name in names:

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wellops.llm.common import discard, in_worker, scratch, ship, small_batches, stored, table, utf8
+from wellops.llm.common import discard, early_filter, in_worker, scratch, ship, small_batches, stored, table, utf8
 from wellops.llm.components import components
 from wellops.llm.words import BLANKS, Hasher, mix
 
@@ -190,6 +190,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, how: Settings) -> DataFrame:
 
 # A row by its id, rows without one last, and a hash of its text. No part is null, so they can be joined.
 _ROW = ("no_id", "id", "text_hash")
+_JOINED = [*reversed(_ROW)]  # what tells most rows apart comes first, see ``early_filter``
 
 
 def _named(rows: DataFrame) -> DataFrame:
@@ -197,9 +198,10 @@ def _named(rows: DataFrame) -> DataFrame:
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(cls, text) of the classes ``wanted`` (cls, first): the text of the first row of each."""
+    """(cls, text) of the classes ``wanted`` (cls, first, n): the text of the first row of each. The list should be stored, and
+    the result be written under ``early_filter``: then the other texts are not shuffled. All classes have shingles."""
     rows = _named(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text"))
-    return rows.join(wanted.select("cls", "first.*"), [*_ROW]).groupBy("cls").agg(F.first("text").alias("text"))
+    return rows.join(wanted.filter("n > 0").select("cls", "first.*"), _JOINED).groupBy("cls").agg(F.first("text").alias("text"))
 
 
 def _sets(texts: DataFrame, how: Settings) -> DataFrame:
@@ -427,7 +429,9 @@ def _judged(docs: DataFrame, how: Settings | None, folder: str | None) -> DataFr
     pairs = stored(_likely(pairs, classes, how), folder, "pairs")
 
     ends = pairs.select(F.explode(F.array("u", "v")).alias("cls")).distinct()
-    texts = stored(_texts(docs, met.join(ends, "cls", "left_semi")), folder, "texts")
+    wanted = stored(met.join(ends, "cls", "left_semi").select("cls", "first", "n"), folder, "wanted")
+    with early_filter(spark):
+        texts = stored(_texts(docs, wanted), folder, "texts")
     with small_batches(spark):
         links = stored(_verified(pairs, texts, how), folder, "links")
     final = stored(components(links, folder, "components"), folder, "joined")
@@ -435,9 +439,10 @@ def _judged(docs: DataFrame, how: Settings | None, folder: str | None) -> DataFr
     members = _gathered(star, groups, met, final, how, folder)
     rest = stored(_comparable(members, classes, how), folder, "apart")
     if not rest.isEmpty():
-        known = stored(rest.select("cls").distinct().join(met.select("cls", "first"), "cls"), folder, "known")
-        with small_batches(spark):
+        known = stored(rest.select("cls").distinct().join(met.select("cls", "first", "n"), "cls"), folder, "known")
+        with small_batches(spark), early_filter(spark):
             sets = stored(_sets(_texts(docs, known), how), folder, "sets")
+        with small_batches(spark):
             bridges = stored(_across(rest.join(sets, "cls"), how), folder, "bridges")
         wider = components(bridges, folder, "bridged").select(F.col("node").alias("component"), F.col("component").alias("wider"))
         # A component of one class is not among the nodes joined so far.
@@ -448,7 +453,7 @@ def _judged(docs: DataFrame, how: Settings | None, folder: str | None) -> DataFr
     labelled = classes.select("cls", F.when(~F.col("first.no_id"), F.col("first.id")).alias("first_id")).join(final.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "component", F.coalesce("component", "cls"))
     labelled = stored(labelled, folder, "labelled")
-    discard(spark, folder, "classes", "met", "groups", "star", "pairs", "texts", "links", "joined", "ties", "gathered",
+    discard(spark, folder, "classes", "met", "groups", "star", "pairs", "wanted", "texts", "links", "joined", "ties", "gathered",
             "members", "costly", "apart", "known", "sets", "bridges")
     smallest = labelled.groupBy("component").agg(F.min("first_id").alias("component_id"))
     by_class = labelled.join(smallest, "component").select("cls", "component", "component_id")
@@ -502,8 +507,10 @@ def deduplicated(docs: DataFrame, *hows: Settings, unnamed: bool = False) -> Dat
         *_ROW, "copies", (F.col("group").isNull() | F.col("is_first").isNotNull()).alias("stays"))
     # Texts that go, or that repeat, are fewer than those that stay as they are: their list may be small enough for Spark to send
     # it to the documents, which are then not shuffled.
-    other = stored(judged.filter("copies > 1 or not stays").select(*_ROW, "stays"), folder, "other")
-    again = rows.join(other.filter("stays"), [*_ROW], "left_semi").groupBy(*_ROW).agg(F.first("_row").alias("_row"))
+    other = stored(judged.filter("copies > 1 or not stays").select(*_ROW, "stays", "copies"), folder, "other")
+    with early_filter(docs.sparkSession):
+        again = rows.join(other.filter("stays and copies > 1"), _JOINED, "left_semi").groupBy(*_ROW).agg(F.first("_row").alias("_row"))
+        again = stored(again, folder, "again")
     return rows.join(other, [*_ROW], "left_anti").select("_row.*").union(again.select("_row.*"))
 
 
