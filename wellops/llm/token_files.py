@@ -2,7 +2,8 @@
 
 Documents are range-partitioned by id, so file k holds smaller ids than file k + 1 and the files in
 order are the documents in ascending order. A task tokenizes and writes its range in one pass and holds
-one Arrow batch at a time. Reading back goes file by file, each in a task of its own.
+a small Arrow batch at a time, which is split into words and put together again by columns. Reading back goes file
+by file, each in a task of its own.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -25,10 +27,11 @@ from wellops.llm.seekable import Reader, Writer, open_fs
 END_ID = 2
 VOCABULARY = "byte_bpe_50k.json"
 
-_BATCH_BYTES = 8 << 20
-_CACHE_ENTRIES = 1 << 20
+_BATCH_BYTES = 4 << 20
+# Of each of the two halves of the cache.
+_CACHE_ENTRIES = 1 << 18
+_CACHE_CHARS = 1 << 23
 _MISSES_AT_ONCE = 512
-_CACHE_CHARS = 1 << 26
 # A piece that is empty, or has a blank at either end or beside another one: texts with such are encoded whole.
 _NOT_A_PIECE = re.compile(r"^\Z|\s\s|^\s|\s\Z")
 
@@ -38,7 +41,8 @@ class Encoder:
 
     Byte-level pre-tokenization always starts a new token at a single space or newline between two other
     characters, and merges never cross that place. So a text is the sequence of its pieces " word" and
-    "\\nword", and each distinct piece is encoded by the tokenizer once. Texts with blanks in a row or the string
+    "\\nword", and a distinct piece is encoded by the tokenizer once, as long as the cache holds it. A full cache
+    becomes the older half, which keeps what is asked for again. Texts with blanks in a row or the string
     of an added token, and tokenizers of another kind, go to the tokenizer whole. With ``escape`` the strings
     of special tokens are ordinary text; by default they are those tokens, as the library has it.
     """
@@ -52,8 +56,9 @@ class Encoder:
         self.tokenizer.encode_special_tokens = escape
         self.by_piece = type(self.tokenizer.pre_tokenizer) is ByteLevel and self.tokenizer.normalizer is None
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
-        # The ids of a piece, None for what is not one.
-        self.cache: dict[str, bytes | None] = {}
+        # The ids of a piece, empty for what is not one.
+        self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.held = 0
         if self.by_piece:
             vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
@@ -79,30 +84,59 @@ class Encoder:
             else:  # a token of this vocabulary begins with a blank elsewhere
                 self.cache.update(zip(part, self.whole([lead + p for p in part])))
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        if not self.by_piece:
-            return self.whole(texts)
-        pieces = [None if not t or any(a in t for a in self.added) else ("\n" + t).replace("\n", " \n")[1:].split(" ") for t in texts]
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """The ids of distinct pieces, empty for what is not one."""
         if len(self.cache) > _CACHE_ENTRIES or self.held > _CACHE_CHARS:
-            self.cache.clear()
-            self.held = 0
-        missing = set().union(*(p for p in pieces if p is not None)) - self.cache.keys()
-        self.held += sum(map(len, missing))
-        other = [m for m in missing if _NOT_A_PIECE.search(m.removeprefix("\n"))]
-        self.cache.update(dict.fromkeys(other))
-        missing.difference_update(other)
-        self._learn([m for m in missing if m[0] != "\n"], " ")
-        self._learn([m for m in missing if m[0] == "\n"], "\n")
-        return [self._joined(t, p) for t, p in zip(texts, pieces)]
-
-    def _joined(self, text: str, pieces: list[str] | None) -> bytes:
-        if not text:
-            return b""
-        if pieces is not None:
-            ids = list(map(self.cache.__getitem__, pieces))
-            if None not in ids:
-                return b"".join(ids)[4:]  # the newline put before the first word is one id, four bytes
-        return self.whole([text])[0]
+            self.older = self.cache if self.held <= _CACHE_CHARS else {}  # very long pieces are not kept
+            self.cache, self.held = {}, 0
+        known = list(map(self.cache.get, pieces))
+        absent = [p for p, ids in zip(pieces, known) if ids is None]
+        self.held += sum(map(len, absent))
+        missing: dict[str, list[str]] = {" ": [], "\n": []}
+        for piece in absent:
+            ids = self.older.get(piece)
+            word = piece.removeprefix("\n")
+            if ids is not None:
+                self.cache[piece] = ids
+            elif word.split() != [word] and _NOT_A_PIECE.search(word):
+                self.cache[piece] = b""
+            else:
+                missing["\n" if piece[0] == "\n" else " "].append(piece)
+        for blank, part in missing.items():
+            self._learn(part, blank)
+        return [self.cache[p] if ids is None else ids for p, ids in zip(pieces, known)]
+
+    def __call__(self, texts: list[str] | pa.Array) -> list[bytes]:
+        texts = pc.fill_null(pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string()), "")
+        if not self.by_piece:
+            return self.whole(texts.to_pylist())
+        whole = np.zeros(len(texts), bool)
+        for added in self.added:
+            whole |= pc.match_substring(texts, added).to_numpy(zero_copy_only=False)
+        rest = np.flatnonzero(~whole)
+        joined = self._joined(texts.take(pa.array(rest))) if len(rest) else []
+        found = dict(zip(rest.tolist(), joined))
+        return [self.whole([texts[k].as_py()])[0] if found.get(k) is None else found[k] for k in range(len(texts))]
+
+    def _joined(self, texts: pa.Array) -> list[bytes | None]:
+        """The ids of texts from those of their pieces, None for texts that have something else."""
+        newline = pa.scalar("\n", texts.type)
+        split = pc.split_pattern(
+            pc.binary_join_element_wise(newline, pc.replace_substring(texts, "\n", " \n"), pa.scalar("", texts.type)), " ")
+        pieces = split.values.dictionary_encode()
+        known = self._pieces(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        firsts = np.cumsum(sizes) - sizes
+        ids = np.frombuffer(b"".join(known), "<u4")
+        which, begins = pieces.indices.to_numpy(), split.offsets.to_numpy()
+        long = sizes[which]
+        ends = np.concatenate(([0], np.cumsum(long)))
+        places = np.repeat(firsts[which] - ends[:-1], long)
+        places += np.arange(len(places))
+        ids, ends = ids[places], ends[begins]
+        unlike = np.logical_or.reduceat(long == 0, begins[:-1])
+        # The newline put before the first word is one id.
+        return [None if u else ids[a + 1:b].tobytes() for a, b, u in zip(ends[:-1].tolist(), ends[1:].tolist(), unlike.tolist())]
 
 
 def _encoder(path: str, escape: bool) -> Encoder:
@@ -133,7 +167,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
             step = max(1, batch.num_rows * _BATCH_BYTES // max(_BATCH_BYTES, batch.nbytes))
             for start in range(0, batch.num_rows, step):
                 part = batch.slice(start, step)
-                for doc_id, raw in zip(part["doc_id"].to_pylist(), encode(part["text"].to_pylist())):
+                for doc_id, raw in zip(part["doc_id"].to_pylist(), encode(part["text"])):
                     writer = writer or Writer(file, f"attempt-{context.taskAttemptId()}")
                     writer.add(doc_id, raw + end)
                     n_tokens += len(raw) // 4 + 1
