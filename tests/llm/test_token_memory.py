@@ -33,3 +33,11 @@ def test_very_long_words_are_not_kept(monkeypatch):
         texts = [f"a {k}" + "x" * 5000]
         assert encode(texts) == encode.whole(texts)
         assert sum(map(len, encode.cache)) + sum(map(len, encode.older)) < 6000
+
+
+def test_rows_reach_the_encoder_in_small_batches(spark, odd_documents, monkeypatch):
+    name, seen, stored = "spark.sql.execution.arrow.maxRecordsPerBatch", [], token_files.stored
+    monkeypatch.setattr(token_files, "stored", lambda *a: (seen.append(int(spark.conf.get(name))), stored(*a))[1])
+    before = spark.conf.get(name)
+    assert encode_documents(odd_documents, default_tokenizer()).count() == odd_documents.count()
+    assert seen and max(seen) <= 1024 and spark.conf.get(name) == before

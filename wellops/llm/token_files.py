@@ -21,13 +21,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wellops.llm.common import scratch, ship, stored, table, worker_cache
+from wellops.llm.common import in_worker, scratch, ship, small_batches, stored, table, worker_cache
 from wellops.llm.seekable import Reader, Writer, open_fs
 
 END_ID = 2
 VOCABULARY = "byte_bpe_50k.json"
 
 _BATCH_BYTES = 4 << 20
+_BATCH_ROWS = 1024
 # Of each of the two halves of the cache.
 _CACHE_ENTRIES = 1 << 18
 _CACHE_CHARS = 1 << 23
@@ -159,6 +160,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     open_fs(folder)  # fails here, not in a task, where the file system is not one that tasks can write to
     end = struct.pack("<I", end_id)
 
+    @in_worker("token_files")
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         file, writer, n_tokens = f"{folder}/part-{context.partitionId():06d}.ids.zst", None, 0
@@ -197,6 +199,7 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
     spark = manifest.sparkSession
     ship(spark)
 
+    @in_worker("token_files")
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()),
                             ("ids_crc32", pa.int64())])
@@ -224,7 +227,8 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, folder: str | None =
     """Write the files below ``folder`` (a new one by default), read them back and describe each document."""
     spark = docs.sparkSession
     folder = folder or scratch(spark, "token_files")
-    manifest = stored(write_tokens(docs, f"{folder}/files", tokenizer_path, escape=escape), folder, "manifest")
+    with small_batches(spark, _BATCH_ROWS):
+        manifest = stored(write_tokens(docs, f"{folder}/files", tokenizer_path, escape=escape), folder, "manifest")
     return read_tokens(manifest)
 
 
