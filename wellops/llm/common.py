@@ -80,17 +80,25 @@ def in_worker(owner: str) -> Callable:
     return wrap
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def limit_batches(spark: SparkSession, rows: int) -> None:
+    """From now on the session's jobs send their rows to Python in batches of at most ``rows``."""
+    now = int(spark.conf.get(_BATCH))
+    spark.conf.set(_BATCH, str(min(rows, now) if now > 0 else rows))
+
+
 @contextmanager
 def small_batches(spark: SparkSession, rows: int = 512) -> Iterator[None]:
     """Jobs that run inside send their rows to Python in batches of at most ``rows``, for rows of long texts: a batch is held
     several times over, by the JVM and by the worker."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    before = spark.conf.get(_BATCH)
+    limit_batches(spark, rows)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        spark.conf.set(_BATCH, before)
 
 
 _EARLY = {"spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
