@@ -1,6 +1,6 @@
 """Benchmark decontamination by suffix arrays over the training texts.
 
-Each task takes its texts in shards of a few megabytes, builds the suffix array of a shard at word level and
+Each task takes its texts in shards of about a megabyte, builds the suffix array of a shard at word level and
 searches it for every suffix of every benchmark item by bisection. The interval found for a suffix
 holds all places where its first ``window`` words occur; neighbouring places on one diagonal join to the
 longest verbatim match. Texts are never moved: a document is whole in one shard, so its answer is final there.
@@ -21,12 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wellops.llm.common import ship, table, unused, utf8
+from wellops.llm.common import in_worker, ship, table, unused, utf8
 from wellops.llm.words import NOT_ALPHANUMERIC, Hasher
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
-_SHARD_BYTES = 4 << 20
+_SHARD_BYTES = 1 << 20
 
 _STATE = ("struct<n_words:bigint,n_hit:bigint,runs:array<bigint>,items:array<string>,"
           "longest:bigint,longest_item:string,longest_at:bigint>")
@@ -198,6 +198,12 @@ def search_shard(index: Index, hasher: Hasher, texts: list[bytes]) -> list[dict]
     return found
 
 
+def _shards(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    size = max(1, batch.num_rows * _SHARD_BYTES // max(_SHARD_BYTES, batch.nbytes))
+    for start in range(0, batch.num_rows, size):
+        yield batch.slice(start, size)
+
+
 def _joined(old: dict | None, new: dict) -> dict:
     """The state after another block of the benchmark."""
     if not old or not old["n_hit"]:
@@ -240,12 +246,11 @@ def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_by
     for index in indexes:
         shared = spark.sparkContext.broadcast(index)  # of bounded size
 
+        @in_worker("decontamination")
         def step(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             hasher, own = Hasher(NOT_ALPHANUMERIC), shared.value
             for batch in batches:
-                size = max(1, batch.num_rows * _SHARD_BYTES // max(_SHARD_BYTES, batch.nbytes))
-                for start in range(0, batch.num_rows, size):
-                    part = batch.slice(start, size)
+                for part in _shards(batch):
                     new = search_shard(own, hasher, utf8(part.column("text")))
                     hits = [_joined(a, b) for a, b in zip(part.column(name).to_pylist(), new)]
                     kind = part.schema.field(name).type
